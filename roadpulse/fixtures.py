@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.columns import DET, UTC
-from roadpulse.functions.geo import utm33
+from roadpulse.functions.geo import project_utm33
 from roadpulse.functions.timefn import hour_floor, local_time
 from roadpulse.operators.axes import Axis
+from roadpulse.session import materialize
 
 AXIS = Axis(datetime(2024, 1, 1), datetime(2024, 1, 31))
 
@@ -92,13 +93,15 @@ def _lattice(site: Column) -> tuple[Column, Column]:
 
 
 def customer_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The large graph: one node per customer, two per site, in metres."""
+    """The large graph: one node per customer, two per site, in metres.
+
+    Written once: graph operators read their nodes several times.
+    """
     lon, lat = _lattice(F.floor(F.col("c_custkey") / 2).cast("int"))
     placed = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("id"), lon.alias("lon"), lat.alias("lat")
     )
-    x, y = utm33("lon", "lat")
-    return placed.select("id", x.alias("x"), y.alias("y"))
+    return materialize(project_utm33(placed).select("id", "x", "y"), "nodes")
 
 
 def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,12 +126,8 @@ def surveyed_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def detector_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detectors with data, in metres."""
-    x, y = utm33("lon", "lat")
-    return (
-        locations(spark, sf_dir)
-        .join(data_ids(spark, sf_dir), DET, "left_semi")
-        .select(F.col(DET).alias("id"), x.alias("x"), y.alias("y"))
-    )
+    placed = locations(spark, sf_dir).join(data_ids(spark, sf_dir), DET, "left_semi")
+    return materialize(project_utm33(placed).select(F.col(DET).alias("id"), "x", "y"), "nodes")
 
 
 def holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,3 +146,41 @@ def query_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("id"), lon.alias("lon"), lat.alias("lat")
     )
+
+
+def context_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as something that happens at its detector's site for `value` minutes."""
+    lon, lat = _lattice(F.floor(F.col("user_id") / 20).cast("int"))
+    minutes = F.floor(F.col("value")).cast("int")
+    placed = table(spark, sf_dir, "events").select(
+        "event_id",
+        F.col("ts").alias("start_utc"),
+        F.timestamp_add("MINUTE", minutes, F.col("ts")).alias("end_utc"),
+        lon.alias("lon"),
+        lat.alias("lat"),
+    )
+    return materialize(project_utm33(placed).drop("lon", "lat"), "events")
+
+
+def low_quality_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions to explain: every detector-hour below the quality threshold, at its place."""
+    site = F.regexp_extract(DET, r"^TEU(\d+)_", 1).cast("int")
+    lon, lat = _lattice(site)
+    asked = readings(spark, sf_dir).filter("quality < 90").select(
+        F.concat_ws("@", DET, F.date_format(UTC, "yyyy-MM-dd HH")).alias("q_id"),
+        UTC,
+        lon.alias("lon"),
+        lat.alias("lat"),
+    )
+    return materialize(project_utm33(asked).drop("lon", "lat"), "asked")
+
+
+def label_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One query vector per label: the mean of its embeddings."""
+    parts = table(spark, sf_dir, "embeddings").select(
+        "label", F.posexplode("embedding").alias("i", "v")
+    )
+    means = parts.groupBy("label", "i").agg(F.avg(F.col("v").cast("double")).alias("m"))
+    return means.groupBy("label").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))), lambda p: p["m"]).alias("embedding")
+    ).select(F.col("label").cast("long").alias("q_id"), "embedding")

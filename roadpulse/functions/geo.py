@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # GRS80 ellipsoid, zone 33N, third-order Krueger series.
@@ -14,22 +14,33 @@ ECCENTRICITY = 0.08181919104281579
 ALPHA = (0.0008377318229233356, 7.608497033275728e-07, 1.203487805324186e-09)
 
 
-def utm33(lon: Column | str, lat: Column | str) -> tuple[Column, Column]:
-    """(easting, northing) in metres."""
-    lon = F.col(lon) if isinstance(lon, str) else lon
-    lat = F.col(lat) if isinstance(lat, str) else lat
-    sin_lat = F.sin(F.radians(lat))
-    lam = F.radians(lon - F.lit(CENTRAL_MERIDIAN_DEG))
+def project_utm33(df: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """Add easting `x` and northing `y` in metres.
+
+    Built in steps, so that shared parts are columns computed once and not copied into
+    every term of the series.
+    """
     e = F.lit(ECCENTRICITY)
-    t = F.sinh(F.atanh(sin_lat) - e * F.atanh(e * sin_lat))
-    xi = F.atan2(t, F.cos(lam))
-    eta = F.atanh(F.sin(lam) / F.sqrt(F.lit(1.0) + t * t))
+    k = F.lit(SCALE * RECTIFYING_RADIUS)
+    sin_lat = F.sin(F.radians(F.col(lat)))
+    conformal = df.withColumns(
+        {
+            "_t": F.sinh(F.atanh(sin_lat) - e * F.atanh(e * sin_lat)),
+            "_lam": F.radians(F.col(lon) - F.lit(CENTRAL_MERIDIAN_DEG)),
+        }
+    )
+    t, lam = F.col("_t"), F.col("_lam")
+    sphere = conformal.withColumns(
+        {"_xi": F.atan2(t, F.cos(lam)), "_eta": F.atanh(F.sin(lam) / F.sqrt(F.lit(1.0) + t * t))}
+    )
+    xi, eta = F.col("_xi"), F.col("_eta")
     east, north = eta, xi
     for j, a in enumerate(ALPHA, start=1):
         east = east + F.lit(a) * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
         north = north + F.lit(a) * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-    k = F.lit(SCALE * RECTIFYING_RADIUS)
-    return F.lit(FALSE_EASTING) + k * east, k * north
+    return sphere.withColumns({"x": F.lit(FALSE_EASTING) + k * east, "y": k * north}).drop(
+        "_t", "_lam", "_xi", "_eta"
+    )
 
 
 def distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:

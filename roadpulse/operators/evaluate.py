@@ -19,6 +19,7 @@ from roadpulse.columns import (
     TRAFFIC,
 )
 from roadpulse.operators.ordering import quantiles_of_counts, running_totals, unpivot
+from roadpulse.session import materialize
 
 SHARE_FLOOR = 1e-6
 
@@ -127,6 +128,7 @@ def feature_drift(
             F.sum(1 - F.col("_train")).alias("n_new"),
         )
     )
+    counted = materialize(counted, "counts")  # read four times below
     sizes = counted.groupBy("feature").agg(F.sum("n_train").alias("all_train"), F.sum("n_new").alias("all_new"))
 
     train_counts = counted.filter("n_train > 0").select("feature", "value", F.col("n_train").alias("n"))

@@ -7,13 +7,15 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from roadpulse.columns import DET, HORIZONS, TRAFFIC, UTC, ZONE
 from roadpulse.functions.timefn import hour_of_week
 
-_BY_TIME = Window.partitionBy(DET).orderBy("t_idx")
+
+def _by_time() -> WindowSpec:
+    return Window.partitionBy(DET).orderBy("t_idx")
 
 
 def window_samples(
@@ -59,73 +61,105 @@ def horizon_targets(cells: DataFrame, col: str = "vkfz", horizons: tuple[int, ..
     """Add `y_<h>` and `mask_<h>`, the target and its validity h hours ahead."""
     cols = {}
     for h in horizons:
-        cols[f"y_{h}"] = F.lead(col, h).over(_BY_TIME)
-        cols[f"mask_{h}"] = F.lead("mask", h).over(_BY_TIME)
+        cols[f"y_{h}"] = F.lead(col, h).over(_by_time())
+        cols[f"mask_{h}"] = F.lead("mask", h).over(_by_time())
     return cells.withColumns(cols)
 
 
-def _predictions(df: DataFrame, model: str, y_hat: dict[int, Column]) -> DataFrame:
-    """Long form (model, det_id, t_idx of the target, horizon, y_hat)."""
+MODELS = ("last_value", "hour_of_week", "ar1")
+
+
+def naive_forecasts(
+    cells: DataFrame,
+    hours: int,
+    col: str = "vkfz",
+    horizons: tuple[int, ...] = HORIZONS,
+    models: tuple[str, ...] = MODELS,
+    zone: str = ZONE,
+) -> DataFrame:
+    """Forecasts of the naive models beside their targets, in one pass over the cells.
+
+    (model, det_id, t_idx, horizon, y_hat, y, mask, split), where t_idx and the last three are of the hour
+    the forecast is for. Everything is a window over the detector, so no model reads the cells
+    again and the targets need no join.
+    """
+    w, whole = _by_time(), Window.partitionBy(DET)
+    valid = (F.col("split") == "train") & F.col("mask")
+    df = cells.select(DET, "t_idx", UTC, "split", "mask", F.col(col).alias("_now"))
+    if "hour_of_week" in models:
+        by_hour = Window.partitionBy(DET, "_how")
+        df = df.withColumn("_how", hour_of_week(UTC, zone)).withColumn(
+            "_mean", F.avg(F.when(valid, F.col("_now"))).over(by_hour)
+        )
+    if "ar1" in models:
+        # Fitted on consecutive valid training hours.
+        df = df.withColumn("_x", F.when(valid, F.lag(F.when(valid, F.col("_now"))).over(w)))
+        df = df.withColumn("_y", F.when(F.col("_x").isNotNull(), F.col("_now")))
+        df = df.withColumn("_b", F.regr_slope("_y", "_x").over(whole)).withColumn(
+            "_a", F.regr_intercept("_y", "_x").over(whole)
+        )
+
+    def y_hat(model: str, h: int) -> Column:
+        if model == "last_value":
+            return F.col("_now")
+        if model == "hour_of_week":
+            return F.lead("_mean", h).over(w)
+        if model == "ar1":
+            a, b = F.col("_a"), F.col("_b")
+            power = F.pow(b, F.lit(float(h)))
+            return F.when(b == 1, F.col("_now") + a * h).otherwise(
+                power * F.col("_now") + a * (1 - power) / (1 - b)
+            )
+        raise ValueError(f"unknown model {model}")
+
+    wide = df.select(
+        DET,
+        "t_idx",
+        *[y_hat(m, h).alias(f"{m}_{h}") for m in models for h in horizons],
+        *[F.lead(F.struct(F.col("_now").alias("y"), "mask", "split"), h).over(w).alias(f"at_{h}") for h in horizons],
+    )
     rows = F.array(
         *[
             F.struct(
-                F.lit(h).alias("horizon"), (F.col("t_idx") + h).alias("t_idx"), p.alias("y_hat")
+                F.lit(m).alias("model"),
+                F.lit(h).alias("horizon"),
+                (F.col("t_idx") + h).alias("at"),
+                F.col(f"{m}_{h}").alias("y_hat"),
+                F.col(f"at_{h}").alias("target"),
             )
-            for h, p in y_hat.items()
+            for m in models
+            for h in horizons
         ]
     )
-    return df.select(F.lit(model).alias("model"), DET, F.col("hours"), F.inline(rows)).filter(
-        F.col("t_idx") < F.col("hours")
-    ).drop("hours")
+    return (
+        wide.select(DET, F.inline(rows))
+        .filter(F.col("at") < hours)
+        .select("model", DET, F.col("at").alias("t_idx"), "horizon", "y_hat", "target.y", "target.mask", "target.split")
+    )
+
+
+_FORECAST = ("model", DET, "t_idx", "horizon", "y_hat")
 
 
 def baseline_last_value(
     cells: DataFrame, hours: int, col: str = "vkfz", horizons: tuple[int, ...] = HORIZONS
 ) -> DataFrame:
     """The current value, carried h hours ahead."""
-    df = cells.withColumn("hours", F.lit(hours))
-    return _predictions(df, "last_value", {h: F.col(col) for h in horizons})
+    return naive_forecasts(cells, hours, col, horizons, ("last_value",)).select(*_FORECAST)
 
 
 def baseline_hour_of_week(
     cells: DataFrame, hours: int, col: str = "vkfz", horizons: tuple[int, ...] = HORIZONS, zone: str = ZONE
 ) -> DataFrame:
     """Mean of valid training rows of the target's local hour of week."""
-    known = F.when((F.col("split") == "train") & F.col("mask"), F.col(col))
-    by_hour = Window.partitionBy(DET, "how")
-    means = cells.withColumn("how", hour_of_week(UTC, zone)).select(
-        DET, "t_idx", F.avg(known).over(by_hour).alias("_mean")
-    )
-    df = means.withColumn("hours", F.lit(hours)).withColumns(
-        {f"_m{h}": F.lead("_mean", h).over(_BY_TIME) for h in horizons}
-    )
-    return _predictions(df, "hour_of_week", {h: F.col(f"_m{h}") for h in horizons})
+    return naive_forecasts(cells, hours, col, horizons, ("hour_of_week",), zone).select(*_FORECAST)
 
 
 def baseline_ar1(
     cells: DataFrame, hours: int, col: str = "vkfz", horizons: tuple[int, ...] = HORIZONS
 ) -> DataFrame:
-    """First-order autoregression per detector, fitted on consecutive valid training hours."""
-    valid = (F.col("split") == "train") & F.col("mask")
-    lagged = cells.withColumn("_x", F.when(valid, F.lag(F.when(valid, F.col(col))).over(_BY_TIME))).withColumn(
-        "_y", F.when(F.col("_x").isNotNull(), F.col(col))
-    )
-    whole = Window.partitionBy(DET)
-    fitted = lagged.select(
-        DET,
-        "t_idx",
-        F.col(col).alias("_now"),
-        F.regr_slope("_y", "_x").over(whole).alias("_b"),
-        F.regr_intercept("_y", "_x").over(whole).alias("_a"),
-        F.lit(hours).alias("hours"),
-    )
-    a, b, now = F.col("_a"), F.col("_b"), F.col("_now")
-
-    def ahead(h: int) -> Column:
-        power = F.pow(b, F.lit(float(h)))
-        return F.when(b == 1, now + a * h).otherwise(power * now + a * (1 - power) / (1 - b))
-
-    return _predictions(fitted, "ar1", {h: ahead(h) for h in horizons})
+    """First-order autoregression per detector, h steps in closed form."""
+    return naive_forecasts(cells, hours, col, horizons, ("ar1",)).select(*_FORECAST)
 
 
 def forecast_vs_actual(preds: DataFrame, cells: DataFrame, col: str = "vkfz") -> DataFrame:
@@ -136,7 +170,7 @@ def forecast_vs_actual(preds: DataFrame, cells: DataFrame, col: str = "vkfz") ->
 
 def week_over_week(df: DataFrame, col: str = "vkfz") -> DataFrame:
     """Value, the value 168 hours earlier, and the change, on the gap-free axis."""
-    before = F.lag(col, 168).over(_BY_TIME)
+    before = F.lag(col, 168).over(_by_time())
     return df.withColumn("last_week", before).withColumn("change", F.col(col) - F.col("last_week"))
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadpulse.session import materialize
+
 BUCKETS = 256
 
 
@@ -77,11 +79,11 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets:
         .groupBy("feature", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return quantiles_of_counts(counted, probs, buckets)
+    return quantiles_of_counts(materialize(counted, "counts"), probs, buckets)
 
 
 def quantiles_of_counts(counted: DataFrame, probs: list[float], buckets: int = BUCKETS) -> DataFrame:
-    """Quantiles per feature of a (feature, value, n) frame."""
+    """Quantiles per feature of a (feature, value, n) frame, which is read several times."""
     ranked = running_totals(counted, "value", ["n"], by=["feature"], buckets=buckets)
     sizes = counted.groupBy("feature").agg(F.sum("n").alias("_size"))
     targets = sizes.select(

@@ -9,40 +9,48 @@ HOT_MIN_ROWS = 20_000
 HOT_SHARES = 10_000
 
 
-def _hot(df: DataFrame, keys: list[str], name: str, min_rows: int) -> DataFrame:
-    """(keys, salts) of keys above max(min_rows, all rows / HOT_SHARES): fewer than HOT_SHARES rows."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    share = counts.agg(F.coalesce(F.sum("_n") / HOT_SHARES, F.lit(0.0))).scalar()
-    return (
-        counts.withColumn("_limit", F.greatest(F.lit(float(min_rows)), share))
-        .filter(F.col("_n") > F.col("_limit"))
-        .select(*keys, F.ceil(F.col("_n") / F.col("_limit")).cast("int").alias(name))
-    )
-
-
 def salted_join(
     left: DataFrame, right: DataFrame, keys: list[str], min_rows: int = HOT_MIN_ROWS
 ) -> DataFrame:
-    """Inner equi-join on `keys`.
+    """Inner equi-join on `keys` that survives keys holding a large part of either side.
 
-    A key is hot when it holds more than 1/10000 of a side's rows (and `min_rows`); there
-    are fewer than 10,000 of those per side whatever the data, so their list is broadcast. The rows of a hot
-    key are cut into chunks on each side and every chunk meets every chunk of the other side:
-    each pair is produced once and no task gets the whole key. Other keys join as usual.
+    A key is hot when it holds more than 1/10000 of a side's rows (and `min_rows`). There are
+    fewer than 10,000 of those per side whatever the data, so their list is broadcast. The
+    rows of a hot key are cut into chunks on each side, and every chunk meets every chunk of
+    the other side: each pair is produced once and no task gets a whole hot key. One
+    counting pass decides; without hot keys this is a plain join.
     """
-    hot_left = _hot(left, keys, "_na", min_rows)
-    hot_right = _hot(right, keys, "_nb", min_rows)
+    counts = [df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) for df in (left, right)]
+    sizes = [
+        c.agg(F.lit(side).alias("side"), F.max("_n").alias("largest"), F.sum("_n").alias("rows"))
+        for side, c in enumerate(counts)
+    ]
+    # Two rows: the largest key and the size of each side.
+    found = {row["side"]: row for row in sizes[0].unionByName(sizes[1]).collect()}
+    limits = [max(float(min_rows), (found[s]["rows"] or 0) / HOT_SHARES) for s in (0, 1)]
+    if all((found[s]["largest"] or 0) <= limits[s] for s in (0, 1)):
+        return left.join(right, keys)
+
+    chunks = [
+        F.broadcast(
+            counts[s]
+            .filter(F.col("_n") > limits[s])
+            .select(*keys, F.ceil(F.col("_n") / limits[s]).cast("int").alias(f"_chunks{s}"))
+        )
+        for s in (0, 1)
+    ]
+
+    def salted(df: DataFrame, own: int) -> DataFrame:
+        tagged = df.join(chunks[0], keys, "left").join(chunks[1], keys, "left")
+
+        def n(side: int) -> Column:
+            return F.coalesce(F.col(f"_chunks{side}"), F.lit(1))
 
-    def salted(df: DataFrame, own: str, own_count: str, other: str, other_count: str) -> DataFrame:
-        tagged = df.join(F.broadcast(hot_left), keys, "left").join(F.broadcast(hot_right), keys, "left")
-        mine: Column = F.coalesce(F.col(own_count), F.lit(1))
-        theirs: Column = F.coalesce(F.col(other_count), F.lit(1))
         return (
-            tagged.withColumn(own, F.pmod(F.xxhash64(*df.columns), mine).cast("int"))
-            .withColumn(other, F.explode(F.sequence(F.lit(0), theirs - 1)))
-            .drop("_na", "_nb")
+            tagged.withColumn(f"_salt{own}", F.pmod(F.xxhash64(*df.columns), n(own)).cast("int"))
+            .withColumn(f"_salt{1 - own}", F.explode(F.sequence(F.lit(0), n(1 - own) - 1)))
+            .drop("_chunks0", "_chunks1")
         )
 
-    a = salted(left, "_a", "_na", "_b", "_nb")
-    b = salted(right, "_b", "_nb", "_a", "_na")
-    return a.join(b, [*keys, "_a", "_b"]).drop("_a", "_b")
+    salts = ["_salt0", "_salt1"]
+    return salted(left, 0).join(salted(right, 1), [*keys, *salts]).drop(*salts)

@@ -10,19 +10,27 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BLOCK_POINTS = 1500
 
 
-@F.pandas_udf("sum_d double, sum_d2 double, max_d double")
-def _reduce_tile(
-    xa: pd.Series, ya: pd.Series, wa: pd.Series, xb: pd.Series, yb: pd.Series, wb: pd.Series
-) -> pd.DataFrame:
-    out = np.empty((len(xa), 3))
-    for i, (x1, y1, w1, x2, y2, w2) in enumerate(zip(xa, ya, wa, xb, yb, wb)):
-        d = np.hypot(np.subtract.outer(x1, x2), np.subtract.outer(y1, y2))
-        out[i] = w1 @ d @ w2, w1 @ (d * d) @ w2, d.max()
-    return pd.DataFrame(out, columns=["sum_d", "sum_d2", "max_d"])
+_SUMS = T.StructType([T.StructField(c, T.DoubleType()) for c in ("sum_d", "sum_d2", "max_d")])
+
+
+def _tile_reducer():
+    """Built per call, so that it is shipped by value to the executors."""
+
+    def reduce_tile(
+        xa: pd.Series, ya: pd.Series, wa: pd.Series, xb: pd.Series, yb: pd.Series, wb: pd.Series
+    ) -> pd.DataFrame:
+        out = np.empty((len(xa), 3))
+        for i, (x1, y1, w1, x2, y2, w2) in enumerate(zip(xa, ya, wa, xb, yb, wb)):
+            d = np.hypot(np.subtract.outer(x1, x2), np.subtract.outer(y1, y2))
+            out[i] = w1 @ d @ w2, w1 @ (d * d) @ w2, d.max()
+        return pd.DataFrame(out, columns=["sum_d", "sum_d2", "max_d"])
+
+    return F.pandas_udf(reduce_tile, _SUMS)
 
 
 def weighted_points(nodes: DataFrame) -> DataFrame:
@@ -53,7 +61,7 @@ def pair_sums(points: DataFrame, block_points: int = BLOCK_POINTS) -> DataFrame:
     earlier = F.sequence(F.lit(0), F.col("block"))
     tiles = side("a", later).join(side("b", earlier), ["a", "b"])
     reduced = tiles.select(
-        (F.col("a") == F.col("b")).alias("same"), _reduce_tile("xa", "ya", "wa", "xb", "yb", "wb").alias("r")
+        (F.col("a") == F.col("b")).alias("same"), _tile_reducer()("xa", "ya", "wa", "xb", "yb", "wb").alias("r")
     )
     half = F.when(F.col("same"), 0.5).otherwise(1.0)  # a block against itself sees each pair twice
     return reduced.agg(

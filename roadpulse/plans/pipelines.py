@@ -2,23 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.columns import (
     DET,
     FEATURES,
+    QUALITY,
     QUALITY_THRESHOLD,
+    RADIUS_M,
     SHORT_GAP_HOURS,
     SPLIT_RATIOS,
     TRAFFIC,
     UTC,
     ZONE,
 )
-from roadpulse.operators.axes import Axis, split_bounds, split_ratio
+from roadpulse.functions.geo import project_utm33
+from roadpulse.operators import eda, evaluate, forecast
+from roadpulse.operators.axes import (
+    Axis,
+    filter_locations_with_data,
+    node_index,
+    split_bounds,
+    split_ratio,
+)
 from roadpulse.operators.clean import clean_detectors, dedupe_first, reindex_hourly
 from roadpulse.operators.features import engineer_features
+from roadpulse.operators.graph import (
+    distance_extremes,
+    graph_density,
+    identity_graph,
+    knn_graph,
+    neighbour_aggregate,
+    radius_graph_binary,
+    radius_graph_density,
+    radius_graph_gaussian,
+)
 from roadpulse.operators.normalize import apply_normalization, normalization_stats
+from roadpulse.session import materialize
+from roadpulse.sources.bundle import write_bundle
 
 
 def feature_cells(
@@ -65,3 +87,102 @@ def normalized_cells(
     labelled = split_ratio(cells, axis.hours, ratios)
     stats = normalization_stats(labelled)
     return apply_normalization(labelled, stats), stats
+
+
+def build_bundle(
+    spark: SparkSession,
+    readings: DataFrame,
+    nodes: DataFrame,
+    axis: Axis,
+    path: str,
+    ratios: tuple[float, float, float] = SPLIT_RATIOS,
+    **cleaning,
+) -> str:
+    """Readings to a committed bundle; returns the path of the new build.
+
+    The dense cells are written once to the shared scratch folder: statistics and the normalised
+    table then read columns from storage instead of running the chain twice.
+    """
+    cells = feature_cells(readings, nodes, axis, ratios=ratios, **cleaning)
+    staged = split_ratio(materialize(cells, "cells"), axis.hours, ratios)
+    stats = materialize(normalization_stats(staged), "stats")
+    config = {
+        "quality_threshold": str(cleaning.get("threshold", QUALITY_THRESHOLD)),
+        "short_gap_limit": str(cleaning.get("limit", SHORT_GAP_HOURS)),
+        "split_ratios": ",".join(str(r) for r in ratios),
+        "zone": cleaning.get("zone", ZONE),
+    }
+    return write_bundle(
+        spark, apply_normalization(staged, stats), nodes.select(DET), axis, stats, path, ratios, config
+    )
+
+
+def graph_nodes(locations: DataFrame, data_ids: DataFrame) -> DataFrame:
+    """(n_idx, id, x, y) of the located detectors with data, in id order, written once."""
+    kept = filter_locations_with_data(locations.select(DET, "lon", "lat"), data_ids)
+    placed = project_utm33(kept).select(DET, "x", "y")
+    indexed = placed.join(node_index(placed), DET)
+    return materialize(indexed.select("n_idx", F.col(DET).alias("id"), "x", "y"), "nodes")
+
+
+def build_graph(
+    locations: DataFrame, data_ids: DataFrame, radius: float = RADIUS_M
+) -> dict[str, DataFrame]:
+    """Nodes, binary edges, and one row of figures on the graph."""
+    nodes = graph_nodes(locations, data_ids)
+    edges = radius_graph_binary(nodes, radius)
+    extremes = distance_extremes(nodes)
+    density = radius_graph_density(nodes, radius)
+    summary = density.select(
+        "*",
+        extremes.select("closest_m").scalar().alias("closest_m"),
+        extremes.select("furthest_m").scalar().alias("furthest_m"),
+    )
+    return {"nodes": nodes, "edges": edges, "summary": summary}
+
+
+def profile_readings(readings: DataFrame) -> dict[str, DataFrame]:
+    """The standard first look at readings."""
+    return {
+        "head": eda.head_rows(readings, [DET, UTC]),
+        "columns": eda.profile_columns(readings),
+        "describe": eda.describe_numeric(readings, [QUALITY, *TRAFFIC]),
+        "sensors": eda.distinct_sensors(readings),
+        "range": eda.time_range(readings),
+        "interval": eda.sampling_interval(readings),
+    }
+
+
+def profile_locations(locations: DataFrame) -> dict[str, DataFrame]:
+    """First rows, columns, and the coordinate of the first location."""
+    return {
+        "head": eda.head_rows(locations, [DET]),
+        "columns": eda.profile_columns(locations),
+        "first": locations.orderBy(DET).limit(1).select(DET, "lon", "lat"),
+    }
+
+
+def baseline_report(cells: DataFrame, axis: Axis, col: str = "vkfz") -> DataFrame:
+    """Test errors of the naive models, horizons as columns. Cells carry split and mask."""
+    judged = forecast.naive_forecasts(cells, axis.hours, col)
+    return evaluate.error_table(evaluate.errors_on_test(judged))
+
+
+def graph_ablation(cells: DataFrame, nodes: DataFrame, axis: Axis, col: str = "vkfz") -> DataFrame:
+    """Density of each graph kind, and how well a node's neighbours tell its own value."""
+    kinds = {
+        "binary": radius_graph_binary(nodes),
+        "gaussian": radius_graph_gaussian(nodes),
+        "knn": knn_graph(nodes).select("src", "dst", "weight"),
+        "identity": identity_graph(nodes),
+    }
+    out = None
+    for name, edges in kinds.items():
+        edges = materialize(edges, "edges")
+        near = neighbour_aggregate(cells, edges, [col], axis.hours).withColumnRenamed(col, "y_hat")
+        judged = cells.select(DET, "t_idx", "mask", F.col(col).alias("y")).join(near, [DET, "t_idx"])
+        row = graph_density(edges, nodes).select(
+            F.lit(name).alias("graph"), "nodes", "edges", "density", evaluate.masked_mae(judged).scalar().alias("mae")
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
