@@ -10,11 +10,12 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.columns import DET, UTC
+from roadpulse.columns import CSV_HEADER, CSV_QUALITY, DET, READINGS_SCHEMA, UTC
 from roadpulse.functions.geo import project_utm33
 from roadpulse.functions.timefn import hour_floor, local_time
 from roadpulse.operators.axes import Axis
-from roadpulse.session import materialize
+from roadpulse.session import materialize, scratch_path
+from roadpulse.sources.readings import DETECTOR_IN_PATH, MONTH_IN_PATH
 
 AXIS = Axis(datetime(2024, 1, 1), datetime(2024, 1, 31))
 
@@ -184,3 +185,69 @@ def label_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
     return means.groupBy("label").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))), lambda p: p["m"]).alias("embedding")
     ).select(F.col("label").cast("long").alias("q_id"), "embedding")
+
+
+# --- the tables as files of the kinds the readers take -----------------------------
+
+
+def detector_files(spark: SparkSession, sf_dir: str) -> str:
+    """The readings as `;`-separated files, one folder per month and detector."""
+    root = scratch_path(spark, "csv")
+    df = readings(spark, sf_dir).withColumnRenamed("quality", CSV_QUALITY)
+    empty = [c for c in CSV_HEADER if c not in df.columns]
+    full = df.withColumns({c: F.lit(None).cast("string") for c in empty})
+    out = full.select(
+        F.lpad(F.month(UTC).cast("string"), 2, "0").alias("mm"),
+        F.concat(F.col(DET), F.lit(".csv")).alias("file"),
+        F.date_format(UTC, "yyyy-MM-dd HH:mm:ss").alias("utc"),
+        *[F.col(f"`{c}`") for c in CSV_HEADER if c != "utc"],
+    )
+    out.repartition("mm", "file").write.partitionBy("mm", "file").option("sep", ";").option("header", True).csv(root)
+    return root
+
+
+def month_archives(spark: SparkSession, sf_dir: str) -> str:
+    """The detector files packed as one archive per month, by the same path rules."""
+    root = scratch_path(spark, "tgz")
+    lines = (
+        spark.read.option("pathGlobFilter", "*.csv")
+        .option("recursiveFileLookup", True)
+        .text(detector_files(spark, sf_dir))
+        .select(
+            F.regexp_extract(F.col("_metadata.file_path"), MONTH_IN_PATH, 1).alias("mm"),
+            F.regexp_extract(F.col("_metadata.file_path"), DETECTOR_IN_PATH, 1).alias("det"),
+            F.monotonically_increasing_id().alias("no"),
+            "value",
+        )
+    )
+    local = root.removeprefix("file:")
+
+    def pack(pdf):
+        import io
+        import os
+        import tarfile
+
+        os.makedirs(local, exist_ok=True)
+        month = pdf["mm"].iloc[0]
+        with tarfile.open(f"{local}/detektoren_2024_{month}.tgz", "w:gz") as tar:
+            for det, part in pdf.sort_values("no").groupby("det"):
+                data = ("\n".join(part["value"]) + "\n").encode()
+                info = tarfile.TarInfo(f"{det}.csv")
+                info.size = len(data)
+                tar.addfile(info, io.BytesIO(data))
+        return pdf[["mm"]].head(1)
+
+    lines.groupBy("mm").applyInPandas(pack, "mm string").count()
+    return root
+
+
+def weekly_files(spark: SparkSession, sf_dir: str) -> str:
+    """The readings as one Parquet file set per week; neighbouring weeks share their border day."""
+    folder = scratch_path(spark, "weeks")
+    day = F.dayofmonth(UTC)
+    weeks = F.filter(
+        F.sequence(F.lit(0), F.lit(4)), lambda w: (day >= 1 + w * 7) & (day <= 8 + w * 7)
+    )
+    listed = readings(spark, sf_dir).withColumn("week", F.explode(weeks))
+    listed.repartition("week").select(*READINGS_SCHEMA.fieldNames(), "week").write.partitionBy("week").parquet(folder)
+    return folder

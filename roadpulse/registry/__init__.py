@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from roadpulse.registry import graphs, reports, tables  # noqa: F401
+from roadpulse.registry import tables, reports, graphs, files  # noqa: F401, I001  (views build on earlier ones)
 from roadpulse.registry.base import ORACLES, QUERIES
 
 
