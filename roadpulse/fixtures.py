@@ -206,39 +206,64 @@ def detector_files(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
-def month_archives(spark: SparkSession, sf_dir: str) -> str:
-    """The detector files packed as one archive per month, by the same path rules."""
-    root = scratch_path(spark, "tgz")
+def _parts(df: DataFrame, rows: int) -> Column:
+    """Number of parts of about `rows` rows."""
+    return df.agg(F.greatest(F.ceil(F.count(F.lit(1)) / rows), F.lit(1)).cast("int")).scalar()
+
+
+def month_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path, content): the detector files packed as monthly archives of about 100 detector-months."""
     lines = (
-        spark.read.option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", True)
-        .text(detector_files(spark, sf_dir))
+        spark.read.text(f"{detector_files(spark, sf_dir)}/*/*.csv")
         .select(
             F.regexp_extract(F.col("_metadata.file_path"), MONTH_IN_PATH, 1).alias("mm"),
             F.regexp_extract(F.col("_metadata.file_path"), DETECTOR_IN_PATH, 1).alias("det"),
             F.monotonically_increasing_id().alias("no"),
             "value",
         )
+        .withColumn("parts", _parts(readings(spark, sf_dir), 50_000))
+        .withColumn("part", F.pmod(F.xxhash64("det"), F.col("parts")))
     )
-    local = root.removeprefix("file:")
 
     def pack(pdf):
         import io
-        import os
         import tarfile
 
-        os.makedirs(local, exist_ok=True)
-        month = pdf["mm"].iloc[0]
-        with tarfile.open(f"{local}/detektoren_2024_{month}.tgz", "w:gz") as tar:
-            for det, part in pdf.sort_values("no").groupby("det"):
-                data = ("\n".join(part["value"]) + "\n").encode()
+        packed = io.BytesIO()
+        with tarfile.open(fileobj=packed, mode="w:gz") as tar:
+            for det, rows in pdf.sort_values("no").groupby("det"):
+                data = ("\n".join(rows["value"]) + "\n").encode()
                 info = tarfile.TarInfo(f"{det}.csv")
                 info.size = len(data)
                 tar.addfile(info, io.BytesIO(data))
-        return pdf[["mm"]].head(1)
+        out = pdf[["part"]].head(1)
+        month = pdf["mm"].iloc[0]
+        return out.assign(
+            path=f"part={out['part'].iloc[0]}/detektoren_2024_{month}.tgz", content=packed.getvalue()
+        )[["path", "content"]]
 
-    lines.groupBy("mm").applyInPandas(pack, "mm string").count()
-    return root
+    return lines.groupBy("mm", "part").applyInPandas(pack, "path string, content binary")
+
+
+def location_documents(spark: SparkSession, sf_dir: str) -> str:
+    """The locations as GeoJSON documents of about 500 features."""
+    path = scratch_path(spark, "geojson")
+    places = locations(spark, sf_dir)
+    properties = F.struct(
+        F.col(DET).alias("teuID"), F.col("direction").alias("richtung"), F.col("lane").alias("spur")
+    )
+    geometry = F.struct(F.lit("Point").alias("type"), F.array("lon", "lat").alias("coordinates"))
+    documents = (
+        places.withColumn("parts", _parts(places, 500))
+        .groupBy(F.pmod(F.xxhash64(DET), F.col("parts")).alias("part"))
+        .agg(
+            F.lit("FeatureCollection").alias("type"),
+            F.collect_list(F.struct(properties.alias("properties"), geometry.alias("geometry"))).alias("features"),
+        )
+    )
+    # One document per line; the reader takes each file as one JSON text, so one per file.
+    documents.write.partitionBy("part").json(path)
+    return path
 
 
 def weekly_files(spark: SparkSession, sf_dir: str) -> str:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from roadpulse.columns import DET, MODERN_ID, SPLIT_RATIOS, UTC
 from roadpulse.functions.timefn import hour_floor
 from roadpulse.operators.ordering import global_rank
+from roadpulse.session import materialize
 
 
 @dataclass(frozen=True)
@@ -108,8 +109,11 @@ def union_months(*parts: DataFrame) -> DataFrame:
 
 
 def node_index(ids: DataFrame, id_col: str = DET) -> DataFrame:
-    """(n_idx, id): position of every distinct id in byte order, from 0."""
-    ranked = global_rank(ids.select(id_col).distinct(), id_col)
+    """(n_idx, id): position of every distinct id in byte order, from 0.
+
+    The ids are written once: ranking reads them three times, their source only once.
+    """
+    ranked = global_rank(materialize(ids.select(id_col).distinct(), "ids"), id_col)
     return ranked.select((F.col("rank") - 1).cast("int").alias("n_idx"), id_col)
 
 

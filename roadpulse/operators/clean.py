@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from roadpulse.columns import (
@@ -35,20 +35,12 @@ def dedupe_first(df: DataFrame, keys: list[str], order: list[Column | str]) -> D
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def reindex_hourly(
-    readings: DataFrame, nodes: DataFrame, axis: Axis, cols: list[str] | None = None
-) -> DataFrame:
-    """One row per listed detector and hour of the axis; hours without a reading are NULL.
-
-    `readings` holds at most one row per (det_id, utc). Off-axis stamps and unlisted
-    detectors are dropped. Each detector gets a marker before its first hour, and every
-    row then emits the empty hours up to the next one. That takes one shuffle on det_id
-    and neither a grid join nor a cross product. Further columns of `nodes` are carried.
-    """
-    cols = cols or [QUALITY, *TRAFFIC]
+def _observed(
+    readings: DataFrame, nodes: DataFrame, axis: Axis, cols: list[str]
+) -> tuple[DataFrame, WindowSpec, list[str]]:
+    """On-axis readings and, at t_idx -1, one marker row per listed detector."""
     flags = [c for c in nodes.columns if c != DET]
-    types = dict(readings.dtypes)
-    flag_types = dict(nodes.dtypes)
+    types, flag_types = dict(readings.dtypes), dict(nodes.dtypes)
     marks = nodes.select(
         DET,
         F.lit(-1).alias("t_idx"),
@@ -58,22 +50,44 @@ def reindex_hourly(
     rows = axis.select_on_axis(readings).select(
         DET, "t_idx", *cols, *[F.lit(None).cast(flag_types[c]).alias(c) for c in flags]
     )
-    w = Window.partitionBy(DET).orderBy("t_idx")
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    following = F.coalesce(F.lead("t_idx").over(w), F.lit(axis.hours))
-    placed = rows.unionByName(marks).select(
+    return rows.unionByName(marks), Window.partitionBy(DET).orderBy("t_idx"), flags
+
+
+def _spread(
+    rows: DataFrame, w: WindowSpec, flags: list[str], axis: Axis, carried: dict[str, Column]
+) -> DataFrame:
+    """One row per hour: each observed row (position `_at`) also emits the empty hours up to the next one.
+
+    `carried` columns are computed on the observed rows, in the same window pass.
+    Detectors without a marker are not listed and fall out.
+    """
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    start = F.greatest("_at", F.lit(0))
+    placed = rows.select(
         DET,
         F.col("t_idx").alias("_at"),
-        following.alias("_next"),
-        F.first("t_idx").over(whole).alias("_first"),
-        *cols,
-        *[F.first(c).over(whole).alias(c) for c in flags],
-    )
-    hours = F.when(
-        F.col("_next") > F.greatest("_at", F.lit(0)),
-        F.sequence(F.greatest("_at", F.lit(0)), F.col("_next") - 1),
+        F.coalesce(F.lead("t_idx").over(w), F.lit(axis.hours)).alias("_next"),
+        F.first("t_idx").over(so_far).alias("_first"),
+        *[F.first(c).over(so_far).alias(c) for c in flags],
+        *[col.alias(name) for name, col in carried.items()],
     )
-    spread = placed.filter(F.col("_first") == -1).select("*", F.explode(hours).alias("t_idx"))
+    hours = F.when(F.col("_next") > start, F.sequence(start, F.col("_next") - 1))
+    return placed.filter(F.col("_first") == -1).select("*", F.explode(hours).alias("t_idx"))
+
+
+def reindex_hourly(
+    readings: DataFrame, nodes: DataFrame, axis: Axis, cols: list[str] | None = None
+) -> DataFrame:
+    """One row per listed detector and hour of the axis; hours without a reading are NULL.
+
+    `readings` holds at most one row per (det_id, utc). Off-axis stamps and unlisted
+    detectors are dropped. Each detector gets a marker before its first hour, and every
+    row then emits the empty hours up to the next one. That takes one shuffle on det_id
+    and neither a grid join nor a cross product. Further columns of `nodes` are carried.
+    """
+    cols = cols or [QUALITY, *TRAFFIC]
+    rows, w, flags = _observed(readings, nodes, axis, cols)
+    spread = _spread(rows, w, flags, axis, {c: F.col(c) for c in cols})
     seen = F.col("t_idx") == F.col("_at")
     return spread.select(
         DET,
@@ -84,6 +98,38 @@ def reindex_hourly(
     )
 
 
+def clean_grid(
+    readings: DataFrame,
+    nodes: DataFrame,
+    axis: Axis,
+    threshold: float = QUALITY_THRESHOLD,
+    limit: int = SHORT_GAP_HOURS,
+) -> DataFrame:
+    """`clean_detectors(reindex_hourly(..))` with a single window pass over the observed rows.
+
+    Each observed row remembers, per feature, the last usable value and its hour; an hour takes
+    that value when it is at most `limit` hours old. The empty hours are made after that, so
+    the dense grid is neither sorted nor windowed for the fill.
+    """
+    rows, w, flags = _observed(readings, nodes, axis, [QUALITY, *TRAFFIC])
+    usable = quality_filter(rows, threshold=threshold)
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = {QUALITY: F.col(QUALITY)}
+    for c in TRAFFIC:
+        carried[c] = F.last(c, ignorenulls=True).over(so_far)
+        carried[f"_t_{c}"] = F.last(F.when(F.col(c).isNotNull(), F.col("t_idx")), ignorenulls=True).over(so_far)
+    spread = _spread(usable, w, flags, axis, carried)
+    filled = spread.select(
+        DET,
+        "t_idx",
+        axis.stamp("t_idx").alias(UTC),
+        F.when(F.col("t_idx") == F.col("_at"), F.col(QUALITY)).alias(QUALITY),
+        *[F.when(F.col("t_idx") - F.col(f"_t_{c}") <= limit, F.col(c)).alias(c) for c in TRAFFIC],
+        *flags,
+    )
+    return valid_mask(filled)
+
+
 def quality_filter(
     df: DataFrame,
     cols: list[str] = TRAFFIC,
@@ -159,9 +205,11 @@ def null_counts(df: DataFrame, cols: list[str] = TRAFFIC) -> DataFrame:
     return counted.unpivot([], cols, "feature", "nulls")
 
 
-def coverage_report(gridded: DataFrame, cleaned: DataFrame | None = None, threshold: float = QUALITY_THRESHOLD) -> DataFrame:
-    """Per detector: rows, raw-valid and mask-valid rows, and their difference."""
-    cleaned = cleaned if cleaned is not None else clean_detectors(gridded, threshold=threshold)
+def coverage_report(cleaned: DataFrame, threshold: float = QUALITY_THRESHOLD) -> DataFrame:
+    """Per detector: rows, raw-valid and mask-valid rows, and their difference.
+
+    Cleaned cells keep the quality they were judged by.
+    """
     raw = F.count_if(F.col(QUALITY) >= threshold)
     ok = F.count_if("mask")
     return cleaned.groupBy(DET).agg(

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadpulse.columns import CYCLIC, DET, FEATURE_SETS, FEATURES, TRAFFIC, UTC, ZONE
 from roadpulse.functions.timefn import cyclic, hour_of_week, local_time
+from roadpulse.operators.axes import Axis, time_axis
 
 
 def cyclic_features(df: DataFrame, zone: str = ZONE, utc: str = UTC) -> DataFrame:
@@ -34,6 +35,21 @@ def _fit_rows(fit_on: str, train_end: int | None):
     raise ValueError("fit_on is 'all', or 'train' with train_end")
 
 
+CALENDAR_HOURS = 1_000_000
+
+
+def calendar(spark: SparkSession, axis: Axis, zone: str = ZONE) -> DataFrame | None:
+    """(t_idx, how, cyclic columns) per hour of the axis, to be broadcast.
+
+    Zone arithmetic is then done once per hour and not once per cell. The size is the
+    length of the axis, known beforehand; beyond a century of hours there is none.
+    """
+    if axis.hours > CALENDAR_HOURS:
+        return None
+    hours = time_axis(spark, axis)
+    return F.broadcast(cyclic_features(with_hour_of_week(hours, zone), zone).drop(UTC))
+
+
 def seasonal_lookup(
     df: DataFrame,
     cols: list[str] = TRAFFIC,
@@ -44,9 +60,8 @@ def seasonal_lookup(
     """Attach `<c>_seasonal`, the detector's mean for the same local hour of week."""
     fit = _fit_rows(fit_on, train_end)
     w = Window.partitionBy(DET, "how")
-    return with_hour_of_week(df, zone).withColumns(
-        {f"{c}_seasonal": F.avg(fit(c)).over(w) for c in cols}
-    )
+    known = df if "how" in df.columns else with_hour_of_week(df, zone)
+    return known.withColumns({f"{c}_seasonal": F.avg(fit(c)).over(w) for c in cols})
 
 
 def impute_seasonal(
@@ -73,10 +88,19 @@ def impute_seasonal(
 
 
 def engineer_features(
-    df: DataFrame, zone: str = ZONE, fit_on: str = "all", train_end: int | None = None
+    df: DataFrame,
+    zone: str = ZONE,
+    fit_on: str = "all",
+    train_end: int | None = None,
+    hours: DataFrame | None = None,
 ) -> DataFrame:
-    """Imputed traffic columns and the four cyclic ones."""
-    return cyclic_features(impute_seasonal(df, TRAFFIC, zone, fit_on, train_end), zone)
+    """Imputed traffic columns and the four cyclic ones.
+
+    `hours`, a `calendar` of the axis, saves the zone arithmetic per cell.
+    """
+    if hours is None:
+        return cyclic_features(impute_seasonal(df, TRAFFIC, zone, fit_on, train_end), zone)
+    return impute_seasonal(df.join(hours, "t_idx"), TRAFFIC, zone, fit_on, train_end).drop("how")
 
 
 def feature_subset(df: DataFrame, kind: str = "all") -> DataFrame:

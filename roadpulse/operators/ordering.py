@@ -27,9 +27,9 @@ def running_totals(
     by = by or []
     sample = counted.select(value, *by).orderBy(F.xxhash64(value, *by)).limit(buckets - 1)
     edges = sample.agg(F.sort_array(F.collect_set(value))).scalar()
-    placed = counted.withColumn("_edges", edges).withColumn(
-        "_bucket", F.size(F.filter("_edges", lambda e: e <= F.col(value)))
-    ).drop("_edges")
+    # Never NULL, or the join below would push a test of this expression down to the scan.
+    bucket = F.coalesce(F.size(F.filter("_edges", lambda e: e <= F.col(value))), F.lit(0))
+    placed = counted.withColumn("_edges", edges).withColumn("_bucket", bucket).drop("_edges")
 
     # One row per (group, bucket): at most `buckets` rows per group, whatever the input size.
     totals = placed.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])

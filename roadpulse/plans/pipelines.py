@@ -26,8 +26,8 @@ from roadpulse.operators.axes import (
     split_bounds,
     split_ratio,
 )
-from roadpulse.operators.clean import clean_detectors, dedupe_first, reindex_hourly
-from roadpulse.operators.features import engineer_features
+from roadpulse.operators.clean import clean_grid, dedupe_first
+from roadpulse.operators.features import calendar, engineer_features
 from roadpulse.operators.graph import (
     distance_extremes,
     graph_density,
@@ -66,10 +66,11 @@ def feature_cells(
         nodes = nodes.select(DET, "failed")
     if not unique:
         order = [c for c in ("month", "file_start", "row_order") if c in readings.columns]
-        readings = dedupe_first(readings, [DET, UTC], order or TRAFFIC)
-    grid = reindex_hourly(readings, nodes, axis)
+        # Without a file order any fixed order serves.
+        readings = dedupe_first(readings, [DET, UTC], order or [F.xxhash64(QUALITY, *TRAFFIC)])
+    cleaned = clean_grid(readings, nodes, axis, threshold, limit)
     train_end = split_bounds(axis.hours, ratios)[0]
-    cells = engineer_features(clean_detectors(grid, threshold, limit), zone, fit_on, train_end)
+    cells = engineer_features(cleaned, zone, fit_on, train_end, calendar(readings.sparkSession, axis, zone))
     failed = F.col("failed")
     return cells.select(
         DET,
@@ -83,7 +84,10 @@ def feature_cells(
 def normalized_cells(
     cells: DataFrame, axis: Axis, ratios: tuple[float, float, float] = SPLIT_RATIOS
 ) -> tuple[DataFrame, DataFrame]:
-    """(cells with split and z-scored traffic columns, one-row statistics)."""
+    """(cells with split and z-scored traffic columns, one-row statistics).
+
+    The cells are read twice, once for the statistics: hand in a stored table.
+    """
     labelled = split_ratio(cells, axis.hours, ratios)
     stats = normalization_stats(labelled)
     return apply_normalization(labelled, stats), stats

@@ -34,32 +34,21 @@ def _(spark, d):
 
 @query("month_from_archive", sql("readings", "SELECT DISTINCT strftime(utc, '%m') AS month FROM readings"))
 def _(spark, d):
-    archives = spark.read.format("binaryFile").load(f"{fx.month_archives(spark, d)}/*.tgz")
-    return archives.select(readings.month_from_archive("path").alias("month"))
+    archives = fx.month_archives(spark, d)
+    return archives.select(readings.month_from_archive("path").alias("month")).distinct()
 
 
 @query("unpack_archives", sql("readings", f"SELECT det_id, utc, {rs(Q7)}, '01' AS month FROM readings"))
 def _(spark, d):
-    lines, _errors = readings.unpack_archives(spark, f"{fx.month_archives(spark, d)}/*.tgz")
+    lines, _errors = readings.unpack(fx.month_archives(spark, d))
     return rounded(readings.parse_lines(lines).select(DET, UTC, QUALITY, *TRAFFIC, "month"))
 
 
 @query("read_locations", sql("locations", f"SELECT det_id, {rs(['lon', 'lat'])}, direction, CAST(lane AS VARCHAR) AS lane FROM locations"))
 def _(spark, d):
-    path = scratch_path(spark, "geojson")
-    feature = F.struct(
-        F.struct(F.col(DET).alias("teuID"), F.col("direction").alias("richtung"), F.col("lane").alias("spur")).alias(
-            "properties"
-        ),
-        F.struct(F.lit("Point").alias("type"), F.array("lon", "lat").alias("coordinates")).alias("geometry"),
-    )
-    places = fx.locations(spark, d)
-    # One feature collection per 500 places, as a GeoJSON document each.
-    tiles = places.groupBy((F.pmod(F.xxhash64(DET), F.lit(4))).alias("part")).agg(
-        F.lit("FeatureCollection").alias("type"), F.collect_list(feature).alias("features")
+    found = readings.read_locations(
+        spark, fx.location_documents(spark, d), properties={"direction": "richtung", "lane": "spur"}
     )
-    tiles.select("type", "features").repartition(4).write.json(path)
-    found = readings.read_locations(spark, path, properties={"direction": "richtung", "lane": "spur"})
     return rounded(found)
 
 

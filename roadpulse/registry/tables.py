@@ -13,6 +13,7 @@ from roadpulse.operators import axes, clean, features, normalize
 from roadpulse.plans.pipelines import feature_cells, normalized_cells
 from roadpulse.registry.base import query, rounded
 from roadpulse.registry.views import CYC, T6, each, how, r, rs, sql
+from roadpulse.session import materialize
 
 T6S = ", ".join(T6)
 KEY = "det_id, t_idx, utc"
@@ -23,7 +24,7 @@ def grid(spark, d):
 
 
 def cleaned(spark, d):
-    return clean.clean_detectors(grid(spark, d))
+    return clean.clean_grid(fx.readings(spark, d), fx.data_ids(spark, d), fx.AXIS)
 
 
 def cells(spark, d):
@@ -35,7 +36,7 @@ def labelled(spark, d):
 
 
 def norm(spark, d):
-    return normalized_cells(cells(spark, d), fx.AXIS)
+    return normalized_cells(materialize(cells(spark, d), "cells"), fx.AXIS)
 
 
 # --- projections, filters, predicates ---------------------------------------
@@ -321,7 +322,7 @@ def _(spark, d):
     ),
 )
 def _(spark, d):
-    return clean.coverage_report(grid(spark, d))
+    return clean.coverage_report(cleaned(spark, d))
 
 
 @query(
@@ -431,8 +432,18 @@ def _(spark, d):
 # --- composites ---------------------------------------------------------------------
 
 
-@query("clean_detectors", sql("cleaned", f"SELECT {KEY}, {rs(T6)}, mask FROM cleaned"))
+CLEAN_SQL = sql("cleaned", f"SELECT {KEY}, {rs(T6)}, mask FROM cleaned")
+
+
+@query("clean_detectors", CLEAN_SQL)
+def _(spark, d):
+    """The three steps one after the other on the grid."""
+    return rounded(clean.clean_detectors(grid(spark, d)).drop(QUALITY))
+
+
+@query("clean_grid", CLEAN_SQL)
 def _(spark, d):
+    """The same in the single pass the feature table uses."""
     return rounded(cleaned(spark, d).drop(QUALITY))
 
 

@@ -175,14 +175,12 @@ def month_from_archive(path: Column | str) -> Column:
     return F.regexp_extract(path, MONTH_IN_ARCHIVE, 1)
 
 
-def unpack_archives(spark: SparkSession, glob: str) -> tuple[DataFrame, DataFrame]:
-    """(lines, errors) of monthly `.tgz` archives of detector files.
+def unpack(archives: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(lines, errors) of a frame of archives (path, content).
 
     One task per archive streams its members; no member path is ever written. A
-    corrupt archive gives a row in `errors` and the others go on. Each use of
-    a result reads the archives again: land the lines once (`land_archives`) to query them.
+    corrupt archive gives a row in `errors` and the others go on.
     """
-    archives = spark.read.format("binaryFile").load(glob).select("path", "content")
     all_rows = archives.mapInPandas(_line_reader(), _LINES)
     lines = all_rows.filter(F.col("error").isNull()).select(
         "archive",
@@ -195,6 +193,14 @@ def unpack_archives(spark: SparkSession, glob: str) -> tuple[DataFrame, DataFram
     return lines, all_rows.filter(F.col("error").isNotNull()).select("archive", "error")
 
 
+def unpack_archives(spark: SparkSession, glob: str) -> tuple[DataFrame, DataFrame]:
+    """(lines, errors) of the monthly `.tgz` archives of detector files that match `glob`.
+
+    Each use of a result reads the archives again: land them once (`land_archives`) to query them.
+    """
+    return unpack(spark.read.format("binaryFile").load(glob).select("path", "content"))
+
+
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Archive lines to readings; cells are found by the name in the header of their file."""
     names = F.transform(F.split("header", SEP), lambda c: F.trim(c))
