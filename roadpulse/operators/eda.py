@@ -141,7 +141,9 @@ def sibling_correlation(pairs: DataFrame, cols: list[str] | None = None) -> Data
         both = a.isNotNull() & b.isNotNull()
         x, y = F.when(both, a), F.when(both, b)
         enough = (F.count_if(both) >= 3) & (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
-        aggs += [F.count_if(both).alias(f"n_{c}"), F.when(enough, F.corr(x, y)).alias(f"r_{c}")]
+        # corr() itself divides by zero for a constant series in ANSI mode.
+        r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+        aggs += [F.count_if(both).alias(f"n_{c}"), F.when(enough, r).alias(f"r_{c}")]
     return pairs.groupBy("det_a", "det_b").agg(*aggs)
 
 

@@ -114,7 +114,7 @@ def feature_drift(
 ) -> DataFrame:
     """Per feature: population stability index on training quantile bins, and KS distance.
 
-    Both samples are reduced to value counts first; cumulative counts come from
+    NULL for a feature one of the samples lacks. Both samples are reduced to value counts first; cumulative counts come from
     bucketed windows, so no feature is ordered by a single task.
     """
     tagged = unpivot(train, cols).withColumn("_train", F.lit(1)).unionByName(
@@ -150,7 +150,7 @@ def feature_drift(
     )
 
     def share(kind: str, i: int) -> Column:
-        part = F.coalesce(F.col(f"n_{kind}_{i}"), F.lit(0)) / F.col(f"all_{kind}")
+        part = F.try_divide(F.coalesce(F.col(f"n_{kind}_{i}"), F.lit(0)), F.col(f"all_{kind}"))
         return F.greatest(part, F.lit(SHARE_FLOOR))
 
     psi = reduce(
@@ -166,11 +166,18 @@ def feature_drift(
         .groupBy("feature")
         .agg(
             F.max(
-                F.abs(F.col("cum_n_train") / F.col("all_train") - F.col("cum_n_new") / F.col("all_new"))
+                F.abs(
+                    F.try_divide("cum_n_train", "all_train") - F.try_divide("cum_n_new", "all_new")
+                )
             ).alias("ks")
         )
     )
-    return per_bin.join(sizes, "feature").select("feature", psi.alias("psi")).join(gaps, "feature")
+    comparable = (F.col("all_train") > 0) & (F.col("all_new") > 0)
+    return (
+        per_bin.join(sizes, "feature")
+        .select("feature", F.when(comparable, psi).alias("psi"))
+        .join(gaps, "feature")
+    )
 
 
 def promotion_gate(

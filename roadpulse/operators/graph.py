@@ -83,7 +83,10 @@ def radius_graph_gaussian(
     pairs = _close_pairs(nodes, ["id"], "id", radius, strict=False)
     s = F.lit(float(sigma)) if sigma is not None else sigma_all_pairs(nodes).scalar()
     scaled = pairs.withColumn("_s", s)
-    weight = F.exp(-(F.col("dist_m") * F.col("dist_m")) / (F.col("_s") * F.col("_s")))
+    d2 = F.col("dist_m") * F.col("dist_m")
+    # Without any spread (sigma 0) only nodes at the same place stay related.
+    decay = F.coalesce(F.exp(-F.try_divide(d2, F.col("_s") * F.col("_s"))), F.lit(0.0))
+    weight = F.when(F.col("dist_m") == 0, 1.0).otherwise(decay)
     return _both_ways(scaled, weight).unionByName(identity_graph(nodes))
 
 
@@ -110,7 +113,7 @@ def graph_density(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """(nodes, edges, density) of an edge list."""
     n = nodes.agg(F.count(F.lit(1))).scalar()
     return edges.agg(F.count(F.lit(1)).alias("edges")).withColumn("nodes", n).select(
-        "nodes", "edges", (F.col("edges") / (F.col("nodes") * F.col("nodes"))).alias("density")
+        "nodes", "edges", F.try_divide("edges", F.col("nodes") * F.col("nodes")).alias("density")
     )
 
 
@@ -130,7 +133,7 @@ def radius_graph_density(nodes: DataFrame, radius: float = RADIUS_M) -> DataFram
     ).withColumn("apart", apart).select(
         "nodes",
         (F.col("together") + F.col("apart")).cast("long").alias("edges"),
-        ((F.col("together") + F.col("apart")) / (F.col("nodes") * F.col("nodes"))).alias("density"),
+        F.try_divide(F.col("together") + F.col("apart"), F.col("nodes") * F.col("nodes")).alias("density"),
     )
 
 
@@ -167,12 +170,13 @@ def sigma_all_pairs(nodes: DataFrame) -> DataFrame:
     """One value: the population deviation of the distances of all unordered node pairs."""
     places = weighted_points(nodes)
     n = nodes.agg(F.count(F.lit(1)).cast("double")).scalar()
-    pairs = F.col("_n") * (F.col("_n") - 1) / 2
+    pairs = F.nullif(F.col("_n") * (F.col("_n") - 1) / 2, F.lit(0.0))
     mean = F.col("sum_d") / pairs
     return (
         pair_sums(places)
         .withColumn("_n", n)
-        .select(F.sqrt(F.greatest(F.col("sum_d2") / pairs - mean * mean, F.lit(0.0))).alias("sigma_m"))
+        .withColumn("_var", F.col("sum_d2") / pairs - mean * mean)
+        .select(F.when(F.col("_var").isNotNull(), F.sqrt(F.greatest("_var", F.lit(0.0)))).alias("sigma_m"))
     )
 
 
@@ -208,5 +212,5 @@ def neighbour_aggregate(
     return (
         feats.join(spread, ["src", "_week"])
         .groupBy(F.col("dst").alias(key), "t_idx")
-        .agg(*[(F.sum(F.col("weight") * F.col(c)) / total).alias(c) for c in cols])
+        .agg(*[F.try_divide(F.sum(F.col("weight") * F.col(c)), total).alias(c) for c in cols])
     )

@@ -8,9 +8,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int | str = "*", app: str = "roadpulse", memory: str = "8g") -> SparkSession:
-    """Session for tests and benchmarks on one machine. A cluster brings its own."""
-    spark = (
+def local_session(
+    cores: int | str = "*", app: str = "roadpulse", memory: str = "8g", **conf: str
+) -> SparkSession:
+    """Session for tests and benchmarks on one machine. A cluster brings its own.
+
+    Further settings are given with `__` for the dots of their names.
+    """
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.driver.memory", memory)
@@ -23,8 +28,10 @@ def local_session(cores: int | str = "*", app: str = "roadpulse", memory: str =
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
     )
+    for name, value in conf.items():
+        builder = builder.config(name.replace("__", "."), value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

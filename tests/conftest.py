@@ -11,8 +11,9 @@ from roadpulse.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(4, app="tests", memory="4g")
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session(4, app="tests", memory="4g", spark__checkpoint__dir=shared)
     yield session
     session.stop()
 

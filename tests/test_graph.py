@@ -58,6 +58,14 @@ def test_gaussian_graph_golden(spark):
     assert edges[(1, 4)] == edges[(4, 2)] == pytest.approx(0.367879, abs=1e-6)
 
 
+def test_graphs_of_one_place(spark):
+    nodes = nodes_of(spark, [(5, 5), (5, 5)])
+    assert {r.weight for r in graph.radius_graph_gaussian(nodes).collect()} == {1.0}
+    two = {(r.src, r.dst): r.weight for r in graph.radius_graph_gaussian(nodes_of(spark, [(0, 0), (9, 0)])).collect()}
+    assert two[(1, 2)] == 0.0 and two[(1, 1)] == 1.0
+    assert graph.sigma_all_pairs(nodes_of(spark, [(1, 1)])).first()[0] is None
+
+
 def test_binary_graph_against_brute_force(spark, cloud):
     want = {
         (i, j)
