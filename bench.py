@@ -93,7 +93,8 @@ def main() -> None:
         ids = readings.select(DET).distinct()
         axis = Axis(fx.AXIS.start, fx.AXIS.start + YEAR_MONTHS * (fx.AXIS.end - fx.AXIS.start))
         start = time.perf_counter()
-        run(normalized_cells(feature_cells(readings, ids, axis), axis)[0])
+        cells = materialize(feature_cells(readings, ids, axis), "cells")
+        run(normalized_cells(cells, axis)[0])
         seconds = time.perf_counter() - start
         hours = ids.count() * axis.hours
         report["year_chain"] = {

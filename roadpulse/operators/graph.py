@@ -197,8 +197,8 @@ def neighbour_aggregate(
 ) -> DataFrame:
     """Weighted mean of the neighbours' features per node and hour.
 
-    The join key is (node, week): a node with very many edges is spread over the weeks
-    of the axis, and so is the work of a short edge list.
+    The join key is (node, week), which spreads a short edge list over the axis; the edges of
+    a hub are cut into chunks on top. `edges` is counted first, so hand in a stored table.
     """
     weeks = F.sequence(F.lit(0), F.lit((hours - 1) // bucket_hours))
     spread = edges.select("src", "dst", "weight", F.explode(weeks).alias("_week"))
@@ -210,7 +210,7 @@ def neighbour_aggregate(
     )
     total = F.sum("weight")
     return (
-        feats.join(spread, ["src", "_week"])
+        salted_join(spread, feats, ["src", "_week"], right_is_even=True)
         .groupBy(F.col("dst").alias(key), "t_idx")
         .agg(*[F.try_divide(F.sum(F.col("weight") * F.col(c)), total).alias(c) for c in cols])
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.columns import DET, SIGMA_EPS, TRAFFIC
+from roadpulse.columns import SIGMA_EPS, TRAFFIC
 
 
 def normalization_stats(
@@ -96,14 +96,3 @@ def split_drift_stats(df: DataFrame, cols: list[str] = TRAFFIC) -> DataFrame:
         ]
     )
     return wide.select("split", F.inline(F.array(*cols)))
-
-
-__all__ = [
-    "DET",
-    "apply_normalization",
-    "denormalize",
-    "normalization_stats",
-    "split_drift_stats",
-    "stats_long",
-    "stats_wide",
-]

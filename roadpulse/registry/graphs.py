@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from roadpulse import fixtures as fx
-from roadpulse.columns import DET
 from roadpulse.functions.geo import project_utm33
 from roadpulse.operators import context, graph
 from roadpulse.plans import pipelines
@@ -28,8 +27,8 @@ def _edge_views(prefix: str, nodes: str) -> None:
     view(
         f"{prefix}_gaussian",
         (f"{prefix}_pairs", f"{prefix}_sigma"),
-        f"""SELECT src, dst, exp(-(d * d) / (sigma_m * sigma_m)) AS weight FROM {prefix}_pairs CROSS JOIN {prefix}_sigma
-        WHERE d <= 2000 UNION ALL SELECT id, id, 1.0 FROM {nodes}""",
+        f"""SELECT src, dst, CASE WHEN d = 0 THEN 1.0 ELSE coalesce(exp(-(d * d) / nullif(sigma_m * sigma_m, 0)), 0.0) END AS weight
+        FROM {prefix}_pairs CROSS JOIN {prefix}_sigma WHERE d <= 2000 UNION ALL SELECT id, id, 1.0 FROM {nodes}""",
     )
     view(
         f"{prefix}_knn",

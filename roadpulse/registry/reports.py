@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from roadpulse import fixtures as fx
 from roadpulse.columns import DET, HORIZONS, QUALITY, TRAFFIC, UTC
 from roadpulse.functions.timefn import minutes_between
-from roadpulse.operators import clean, eda, evaluate, forecast
+from roadpulse.operators import eda, evaluate, forecast
 from roadpulse.plans import pipelines
 from roadpulse.registry.base import query, rounded
 from roadpulse.registry.tables import cleaned, labelled
-from roadpulse.registry.views import LOCAL, T6, each, how, r, rs, sql, view
+from roadpulse.registry.views import LOCAL, T6, how, r, rs, sql, view
 from roadpulse.session import materialize
 
 Q7 = ["quality", *T6]
@@ -618,6 +618,3 @@ view("model_mae", ("judged",), _metrics_sql("model"))
 def _(spark, d):
     metrics = evaluate.errors_on_test(judged(spark, d), ["model"])
     return rounded(evaluate.promotion_gate(metrics, "last_value", "ar1"))
-
-
-__all__ = ["clean", "each", "judged"]

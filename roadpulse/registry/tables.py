@@ -7,8 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from roadpulse import fixtures as fx
-from roadpulse.columns import CYCLIC, DET, FEATURES, FLOWS, QUALITY, TRAFFIC, UTC
-from roadpulse.functions.timefn import local_hour
+from roadpulse.columns import CYCLIC, DET, FEATURES, QUALITY, TRAFFIC, UTC
 from roadpulse.operators import axes, clean, features, normalize
 from roadpulse.plans.pipelines import feature_cells, normalized_cells
 from roadpulse.registry.base import query, rounded
@@ -474,6 +473,3 @@ def _(spark, d):
 @query("build_bundle", NORM_SQL)
 def _(spark, d):
     return rounded(norm(spark, d)[0])
-
-
-__all__ = ["FLOWS", "cells", "cleaned", "grid", "labelled", "local_hour", "norm"]

@@ -66,7 +66,7 @@ def incremental_refresh(stream: DataFrame, target: str, checkpoint: str) -> None
 def rolling_stats(readings: DataFrame, days: int = 28) -> DataFrame:
     """One wide row of mean and deviation over complete rows of the last `days` days."""
     newest = readings.agg(F.max(UTC)).scalar()
-    recent = readings.withColumn("_newest", newest).filter(
-        F.col(UTC) > F.timestamp_add("DAY", F.lit(-days), F.col("_newest"))
-    )
-    return normalization_stats(valid_mask(recent.drop("_newest")), train="true")
+    recent = readings.filter(F.col(UTC) > F.timestamp_add("DAY", F.lit(-days), newest))
+    if DAY in readings.columns:  # lets the scan skip the older partitions
+        recent = recent.filter(F.col(DAY) >= F.date_sub(F.to_date(newest), days))
+    return normalization_stats(valid_mask(recent), train="true")

@@ -163,6 +163,8 @@ def test_salted_join_is_a_join(spark):
     assert got.columns == want.columns
     assert got.count() == want.count() == 100 * 80 + 160
     assert got.exceptAll(want).count() == 0
+    few = right.groupBy("k").agg(F.min("b").alias("b"))
+    assert skew.salted_join(left, few, ["k"], 10, right_is_even=True).exceptAll(left.join(few, "k")).count() == 0
     plain = skew.salted_join(left, right, ["k"])
     assert plain.exceptAll(want).count() == 0
 
