@@ -274,5 +274,6 @@ def weekly_files(spark: SparkSession, sf_dir: str) -> str:
         F.sequence(F.lit(0), F.lit(4)), lambda w: (day >= 1 + w * 7) & (day <= 8 + w * 7)
     )
     listed = readings(spark, sf_dir).withColumn("week", F.explode(weeks))
-    listed.repartition("week").select(*READINGS_SCHEMA.fieldNames(), "week").write.partitionBy("week").parquet(folder)
+    rows = listed.select(*READINGS_SCHEMA.fieldNames(), "week").hint("rebalance", "week")
+    rows.write.partitionBy("week").parquet(folder)
     return folder

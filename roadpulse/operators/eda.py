@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from roadpulse.columns import DET, QUALITY, UTC, ZONE
 from roadpulse.functions.timefn import local_hour, local_weekday, minutes_between
+from roadpulse.operators.axes import node_index
 from roadpulse.operators.clean import dedupe_first, site_id
 from roadpulse.operators.ordering import exact_quantiles
+from roadpulse.session import materialize
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
@@ -110,15 +112,12 @@ def neighbouring_siblings(ids: DataFrame) -> DataFrame:
     """(site_id, det_a, det_b): each detector with the next one on its site, in id order.
 
     Linear in the detectors of a site; for the usual two detectors per pole this is
-    the only pair there is.
+    the only pair there is. The ids of a site follow one another in the order of all ids,
+    so neighbours meet on their position and a site with very many detectors is no hot key.
     """
-    next_on_site = F.lead(DET).over(Window.partitionBy("site_id").orderBy(DET))
-    return (
-        ids.select(DET, site_id().alias("site_id"))
-        .distinct()
-        .select("site_id", F.col(DET).alias("det_a"), next_on_site.alias("det_b"))
-        .filter(F.col("det_b").isNotNull())
-    )
+    ranked = materialize(node_index(ids), "ranked").withColumn("site_id", site_id())
+    following = ranked.select((F.col("n_idx") - 1).alias("n_idx"), "site_id", F.col(DET).alias("det_b"))
+    return ranked.join(following, ["n_idx", "site_id"]).select("site_id", F.col(DET).alias("det_a"), "det_b")
 
 
 def sibling_pairs(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

@@ -35,6 +35,20 @@ BUNDLE_KEYS = {
 TABLES = ("cells", "nodes", "time_axis", "norm_stats", "bundle_meta")
 
 
+def _new_build(path: str) -> str:
+    """A fresh folder below `path`; names sort by time."""
+    return f"{path.rstrip('/')}/build={datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+
+
+def _newest_build(spark: SparkSession, path: str, last_table: str) -> str:
+    """The newest folder whose last table holds rows, that is, whose build was finished."""
+    built = spark.read.option("basePath", path).parquet(f"{path.rstrip('/')}/build=*/{last_table}")
+    name = built.agg(F.max(F.col("build").cast("string"))).first()[0]
+    if name is None:
+        raise ValueError(f"no complete build below {path}")
+    return f"{path.rstrip('/')}/build={name}"
+
+
 def write_bundle(
     spark: SparkSession,
     cells: DataFrame,
@@ -46,8 +60,7 @@ def write_bundle(
     config: dict[str, str] | None = None,
 ) -> str:
     """Write all tables of one build and return its path. `cells` carry `split`."""
-    build = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
-    target = f"{path.rstrip('/')}/build={build}"
+    target = _new_build(path)
     train_end, val_end = split_bounds(axis.hours, ratios)
 
     # Clustered by detector, so that min/max of a file prune a sensor list.
@@ -78,15 +91,10 @@ def write_bundle(
 
 def read_bundle(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """Tables of the newest complete build; an unknown format version is an error."""
-    built = spark.read.option("basePath", path).parquet(f"{path.rstrip('/')}/build=*/bundle_meta")
-    newest = built.orderBy(F.desc("build")).select("build", "format_version").first()
-    if newest is None:
-        raise ValueError(f"no complete build below {path}")
-    if newest.format_version != BUNDLE_FORMAT_VERSION:
-        raise ValueError(
-            f"bundle format {newest.format_version}, expected {BUNDLE_FORMAT_VERSION}: build it again"
-        )
-    target = f"{path.rstrip('/')}/build={newest.build}"
+    target = _newest_build(spark, path, "bundle_meta")
+    version = spark.read.parquet(f"{target}/bundle_meta").select("format_version").first()[0]
+    if version != BUNDLE_FORMAT_VERSION:
+        raise ValueError(f"bundle format {version}, expected {BUNDLE_FORMAT_VERSION}: build it again")
     return {t: spark.read.parquet(f"{target}/{t}") for t in TABLES}
 
 
@@ -105,14 +113,18 @@ def bundle_schema_check(tables: dict[str, DataFrame]) -> DataFrame:
     return expected.exceptAll(spark.createDataFrame(present, "key string"))
 
 
-def write_graph(nodes: DataFrame, edges: DataFrame, path: str) -> None:
-    """Sparse adjacency and the ordered nodes (n_idx, id, x, y); nodes last, as the commit mark."""
-    edges.write.mode("overwrite").parquet(f"{path}/edges")
-    nodes.write.mode("overwrite").parquet(f"{path}/graph_nodes")
+def write_graph(nodes: DataFrame, edges: DataFrame, path: str) -> str:
+    """Sparse adjacency and the ordered nodes (n_idx, id, x, y) as a new build; the nodes complete it."""
+    target = _new_build(path)
+    edges.write.parquet(f"{target}/edges")
+    nodes.write.parquet(f"{target}/graph_nodes")
+    return target
 
 
 def read_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    return spark.read.parquet(f"{path}/graph_nodes"), spark.read.parquet(f"{path}/edges")
+    """(nodes, edges) of the newest complete build."""
+    target = _newest_build(spark, path, "graph_nodes")
+    return spark.read.parquet(f"{target}/graph_nodes"), spark.read.parquet(f"{target}/edges")
 
 
 def dataset_fingerprint(df: DataFrame) -> DataFrame:

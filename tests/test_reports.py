@@ -185,6 +185,13 @@ def test_siblings(spark):
     assert few.r_qkfz is None
 
 
+def test_siblings_are_paired_with_the_next_on_the_site(spark):
+    names = ["TEU1_Det0", "TEU1_Det1", "TEU1_Det2", "TEU12_Det0", "TEU12_Det1", "TEU2_Det0"]
+    ids = spark.createDataFrame([(n,) for n in names], "det_id string")
+    got = {(r.det_a, r.det_b) for r in eda.neighbouring_siblings(ids).collect()}
+    assert got == {("TEU1_Det0", "TEU1_Det1"), ("TEU1_Det1", "TEU1_Det2"), ("TEU12_Det0", "TEU12_Det1")}
+
+
 def test_sites_and_first_rows(spark):
     ids = spark.createDataFrame([("TEU00001_Det0",), ("TEU00001_Det1",), ("TEU00002_Det0",)], "det_id string")
     got = {r.site_id: r.detectors for r in eda.detectors_per_site(ids).collect()}
