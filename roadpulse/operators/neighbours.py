@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions.geo import distance
 from roadpulse.operators.skew import salted_join
+from roadpulse.session import materialize
 
 # Cell sizes 1/8 m, 1/4 m, ... up to 2**24 m, which spans any projected coordinate.
 FINEST, COARSEST = -3, 24
@@ -23,61 +24,76 @@ def _cells(df: DataFrame, x: str, y: str) -> DataFrame:
     return spread.withColumn("cx", F.floor(F.col(x) / size)).withColumn("cy", F.floor(F.col(y) / size))
 
 
+def _first_k(candidates: DataFrame, k: int) -> DataFrame:
+    """`rank` 1..k of the candidates of each place; also limited before the shuffle."""
+    by_place = Window.partitionBy("qx", "qy").orderBy("dist_m", "t_id")
+    return candidates.withColumn("rank", F.row_number().over(by_place)).filter(F.col("rank") <= k)
+
+
+def _gap(low: Column, size: Column, at: Column) -> Column:
+    """Distance from a coordinate to the interval [low, low + size]."""
+    return F.greatest(low - at, at - (low + size), F.lit(0.0))
+
+
 def nearest(queries: DataFrame, targets: DataFrame, k: int) -> DataFrame:
     """(q_id, t_id, dist_m, rank) of the k nearest targets per query point, ties by id.
 
     Both frames hold (id, x, y). For every query the finest cell size is taken at which its
-    own cell holds k candidates: then the k-th distance is at most the cell's diagonal, and
-    the 5 x 5 cells around it cover that radius, so one join is exact. A finer cell would
-    hold fewer than k, so dense areas are searched with small cells and sparse ones with
-    large cells. Of nodes at one place only the k smallest ids can matter.
+    own cell holds k candidates; a finer cell would hold fewer, so dense areas are searched with
+    small cells and sparse ones with large cells. The k-th distance inside the own cell bounds the
+    true one and is at most the cell's diagonal, so the cells within two steps that this
+    radius touches hold the answer. Of nodes at one place only the k smallest ids can matter.
     """
     at_place = Window.partitionBy("x", "y").orderBy("id")
-    slim = (
+    slim = materialize(
         targets.select("id", "x", "y")
         .withColumn("_rn", F.row_number().over(at_place))
         .filter(F.col("_rn") <= k)
-        .select(F.col("id").alias("t_id"), F.col("x").alias("tx"), F.col("y").alias("ty"))
+        .select(F.col("id").alias("t_id"), F.col("x").alias("tx"), F.col("y").alias("ty")),
+        "targets",
     )
     t_cells = _cells(slim, "tx", "ty")
     filled = t_cells.groupBy("level", "cx", "cy").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= k)
 
     # Query points at one place share their candidates.
-    places = queries.select(F.col("x").alias("qx"), F.col("y").alias("qy")).distinct()
-    q_cells = _cells(places, "qx", "qy")
+    places = materialize(queries.select(F.col("x").alias("qx"), F.col("y").alias("qy")).distinct(), "places")
     found = (
-        q_cells.join(filled, ["level", "cx", "cy"])
+        _cells(places, "qx", "qy")
+        .join(filled, ["level", "cx", "cy"])
         .groupBy("qx", "qy")
         .agg(F.min("level").alias("level"))
     )
-    chosen = places.join(found, ["qx", "qy"], "left").withColumn("sure", F.col("level").isNotNull())
-    chosen = chosen.withColumn("level", F.coalesce("level", F.lit(COARSEST)))
+    found = materialize(found, "levels")
     size = _size(F.col("level"))
+    qx, qy = F.col("qx"), F.col("qy")
+    d = distance(qx, qy, F.col("tx"), F.col("ty"))
+
+    own = found.withColumn("cx", F.floor(qx / size)).withColumn("cy", F.floor(qy / size))
+    inside = _first_k(salted_join(own, t_cells, ["level", "cx", "cy"]).withColumn("dist_m", d), k)
+    bound = inside.filter(F.col("rank") == k).select("qx", "qy", "level", F.col("dist_m").alias("reach"))
+    # Fewer than k targets around at any size: the coarsest cells span everything.
+    lost = places.join(found, ["qx", "qy"], "left_anti").select(
+        "qx", "qy", F.lit(COARSEST).alias("level"), F.lit(float("inf")).alias("reach")
+    )
     around = F.sequence(F.lit(-2), F.lit(2))
     wanted = (
-        chosen.withColumn("reach", F.when(F.col("sure"), size * F.lit(2.0**0.5) * (1 + 1e-9)))
+        bound.unionByName(lost)
         .withColumn("dx", F.explode(around))
         .withColumn("dy", F.explode(around))
-        .select(
-            "qx",
-            "qy",
-            "reach",
-            "level",
-            (F.floor(F.col("qx") / size) + F.col("dx")).alias("cx"),
-            (F.floor(F.col("qy") / size) + F.col("dy")).alias("cy"),
-        )
+        .withColumn("cx", F.floor(qx / size) + F.col("dx"))
+        .withColumn("cy", F.floor(qy / size) + F.col("dy"))
+        .withColumn("gap_x", _gap(F.col("cx") * size, size, qx))
+        .withColumn("gap_y", _gap(F.col("cy") * size, size, qy))
+        # A hair wider, so that rounding cannot lose a cell or a tie.
+        .withColumn("reach", F.col("reach") * (1 + 1e-9) + 1e-9)
+        .filter(F.col("gap_x") * F.col("gap_x") + F.col("gap_y") * F.col("gap_y") <= F.col("reach") * F.col("reach"))
+        .select("qx", "qy", "reach", "level", "cx", "cy")
     )
-    d = distance(F.col("qx"), F.col("qy"), F.col("tx"), F.col("ty"))
     candidates = (
         salted_join(wanted, t_cells, ["level", "cx", "cy"])
         .withColumn("dist_m", d)
-        .filter(F.col("reach").isNull() | (F.col("dist_m") <= F.col("reach")))
-    )
-    by_place = Window.partitionBy("qx", "qy").orderBy("dist_m", "t_id")
-    best = (
-        candidates.withColumn("rank", F.row_number().over(by_place))
-        .filter(F.col("rank") <= k)
-        .select("qx", "qy", "t_id", "dist_m", "rank")
+        .filter(F.col("dist_m") <= F.col("reach"))
     )
+    best = _first_k(candidates, k).select("qx", "qy", "t_id", "dist_m", "rank")
     named = queries.select(F.col("id").alias("q_id"), F.col("x").alias("qx"), F.col("y").alias("qy"))
     return named.join(best, ["qx", "qy"]).select("q_id", "t_id", "dist_m", "rank")
