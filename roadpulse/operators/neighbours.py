@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,9 +19,9 @@ def _size(level: Column) -> Column:
     return F.pow(F.lit(2.0), level)
 
 
-def _cells(df: DataFrame, x: str, y: str) -> DataFrame:
+def _cells(df: DataFrame, x: str, y: str, levels: Iterable[int] = range(FINEST, COARSEST + 1)) -> DataFrame:
     """One row per row and level, with the cell it falls into."""
-    spread = df.withColumn("level", F.explode(F.sequence(F.lit(FINEST), F.lit(COARSEST))))
+    spread = df.withColumn("level", F.explode(F.array(*[F.lit(level) for level in levels])))
     size = _size(F.col("level"))
     return spread.withColumn("cx", F.floor(F.col(x) / size)).withColumn("cy", F.floor(F.col(y) / size))
 
@@ -52,8 +54,12 @@ def nearest(queries: DataFrame, targets: DataFrame, k: int) -> DataFrame:
         .select(F.col("id").alias("t_id"), F.col("x").alias("tx"), F.col("y").alias("ty")),
         "targets",
     )
-    t_cells = _cells(slim, "tx", "ty")
-    filled = t_cells.groupBy("level", "cx", "cy").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= k)
+    filled = (
+        _cells(slim, "tx", "ty")
+        .groupBy("level", "cx", "cy")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") >= k)
+    )
 
     # Query points at one place share their candidates.
     places = materialize(queries.select(F.col("x").alias("qx"), F.col("y").alias("qy")).distinct(), "places")
@@ -64,6 +70,13 @@ def nearest(queries: DataFrame, targets: DataFrame, k: int) -> DataFrame:
         .agg(F.min("level").alias("level"))
     )
     found = materialize(found, "levels")
+    # Fewer than k targets around at any size: the coarsest cells span everything.
+    lost = places.join(found, ["qx", "qy"], "left_anti").select(
+        "qx", "qy", F.lit(COARSEST).alias("level"), F.lit(float("inf")).alias("reach")
+    )
+    # At most one row per cell size; targets are laid out for the sizes in use only.
+    used = {row.level for row in found.select("level").distinct().collect()}
+    t_cells = _cells(slim, "tx", "ty", sorted(used if lost.isEmpty() and used else used | {COARSEST}))
     size = _size(F.col("level"))
     qx, qy = F.col("qx"), F.col("qy")
     d = distance(qx, qy, F.col("tx"), F.col("ty"))
@@ -71,10 +84,6 @@ def nearest(queries: DataFrame, targets: DataFrame, k: int) -> DataFrame:
     own = found.withColumn("cx", F.floor(qx / size)).withColumn("cy", F.floor(qy / size))
     inside = _first_k(salted_join(own, t_cells, ["level", "cx", "cy"]).withColumn("dist_m", d), k)
     bound = inside.filter(F.col("rank") == k).select("qx", "qy", "level", F.col("dist_m").alias("reach"))
-    # Fewer than k targets around at any size: the coarsest cells span everything.
-    lost = places.join(found, ["qx", "qy"], "left_anti").select(
-        "qx", "qy", F.lit(COARSEST).alias("level"), F.lit(float("inf")).alias("reach")
-    )
     around = F.sequence(F.lit(-2), F.lit(2))
     wanted = (
         bound.unionByName(lost)
