@@ -84,6 +84,7 @@ def nearest(queries: DataFrame, targets: DataFrame, k: int) -> DataFrame:
     own = found.withColumn("cx", F.floor(qx / size)).withColumn("cy", F.floor(qy / size))
     inside = _first_k(salted_join(own, t_cells, ["level", "cx", "cy"]).withColumn("dist_m", d), k)
     bound = inside.filter(F.col("rank") == k).select("qx", "qy", "level", F.col("dist_m").alias("reach"))
+    bound = materialize(bound, "bounds")  # counted for hot cells, then joined
     around = F.sequence(F.lit(-2), F.lit(2))
     wanted = (
         bound.unionByName(lost)
