@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from roadpulse.llm import exact_dedup
+from roadpulse.llm import exact_dedup, license_scan
 
-MODULES = (exact_dedup,)
+MODULES = (license_scan, exact_dedup)
 
 
 def llm_queries():
