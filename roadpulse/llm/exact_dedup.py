@@ -23,13 +23,13 @@ BLOCK = 8192
 
 
 def normalised(text: str) -> Column:
-    """White-space runs as one space; null as the empty text."""
-    return F.regexp_replace(text_or_empty(text), r"[\x20\x09-\x0D]+", " ")
+    """White-space runs as one space; null as the empty text. A lone space, the usual run, is not touched."""
+    return F.regexp_replace(text_or_empty(text), r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " ")
 
 
 def blocks_of(norm: Column, size: int) -> Column:
     found = F.regexp_extract_all(norm, F.lit(rf"[\s\S]{{1,{size}}}"), F.lit(0))
-    return F.when(F.length(norm) == 0, F.array(F.lit(""))).otherwise(found)
+    return F.when(F.length(norm) <= size, F.array(norm)).otherwise(found)
 
 
 def named(distinct: DataFrame, keys: list[str]) -> DataFrame:
