@@ -49,3 +49,10 @@ def tokenizer_path(name: str) -> str:
 def spread(spark: SparkSession) -> int:
     """Partitions for shuffles whose size follows the session's setting."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches by bytes as well as rows, so that a run of very long texts doesn't fill a Python worker."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key, str(2**31 - 1))) > 2**24:
+        spark.conf.set(key, str(2**24))

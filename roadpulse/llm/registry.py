@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from roadpulse.llm import exact_dedup, license_scan
+from roadpulse.llm import exact_dedup, language_id, license_scan
 
-MODULES = (license_scan, exact_dedup)
+MODULES = (license_scan, language_id, exact_dedup)
 
 
 def llm_queries():
