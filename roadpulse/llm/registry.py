@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from roadpulse.llm import exact_dedup, language_id, license_scan
+from roadpulse.llm import exact_dedup, language_id, license_scan, toxicity
 
-MODULES = (license_scan, language_id, exact_dedup)
+MODULES = (license_scan, toxicity, language_id, exact_dedup)
 
 
 def llm_queries():
