@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadpulse.session import scratch_path
@@ -56,3 +56,25 @@ def small_batches(spark: SparkSession) -> None:
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if int(spark.conf.get(key, str(2**31 - 1))) > 2**24:
         spark.conf.set(key, str(2**24))
+
+
+#: Classes that a sample is taken from: the largest ones, should there be more.
+MAX_CLASSES = 1000
+
+
+def class_sample(rows: DataFrame, cls: str, hashed: Column, per_class: dict | int) -> DataFrame:
+    """At most `per_class` rows of each class, those with the smallest hash, whatever the number of rows.
+
+    Classes are counted first; then a threshold on the hash lets about twice as many rows through as are wanted, so
+    that ranking them is a matter of a few thousand rows. `rows` should be narrow: it is read twice. Adds the column `_rank`.
+    """
+    counts = rows.groupBy(cls).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), cls).limit(MAX_CLASSES).collect()
+    most = {r[cls]: per_class if isinstance(per_class, int) else per_class.get(r[cls], 0) for r in counts}
+    whole = 1 << 30
+    let = [(r[cls], int(min(1.0, 2 * most[r[cls]] / r["n"]) * whole), most[r[cls]]) for r in counts]
+    kind = dict(rows.dtypes)[cls]
+    limits = rows.sparkSession.createDataFrame(let, f"`{cls}` {kind}, _let long, _most long")
+    narrowed = rows.withColumn("_hash", hashed).join(F.broadcast(limits), cls)
+    narrowed = narrowed.filter(F.pmod("_hash", F.lit(whole)) < F.col("_let"))
+    order = Window.partitionBy(cls).orderBy("_hash", *[c for c in rows.columns if c != cls])
+    return narrowed.withColumn("_rank", F.row_number().over(order)).filter("_rank <= _most").drop("_let", "_most")

@@ -15,10 +15,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import Query, crc_mod, small_batches, table
+from roadpulse.llm.common import Query, class_sample, crc_mod, small_batches, table
 
 BITS = 13
 PER_LANG = 400
@@ -118,15 +118,15 @@ def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
     order or number of files. No such row: a model without languages.
     """
     small_batches(docs.sparkSession)
-    hashed = F.xxhash64(F.col(id).cast("string"), F.col(lang))
-    rows = docs.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
-        F.col(id).cast("string").alias("id"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), hashed.alias("h")
+    rows = docs.filter(F.col(lang).isNotNull()).select(
+        F.col(id).cast("string").alias("id"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
     )
-    order = ["h", "id"]
-    chosen = rows.select("id", "lang", "h").withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
-    chosen = chosen.filter(F.col("n") <= PER_LANG).orderBy("n", *order).limit(MAX_SAMPLE)
+    hashed = F.xxhash64("id", "lang")
+    ranked = class_sample(rows.select("id", "lang"), "lang", hashed, PER_LANG)
+    chosen = ranked.orderBy("_rank", "_hash", "id").limit(MAX_SAMPLE)
     # At most MAX_SAMPLE rows of an id and a language: read the texts of just these.
-    sample = rows.join(F.broadcast(chosen.select("id", "lang").distinct()), ["id", "lang"], "left_semi")
+    sample = rows.join(F.broadcast(chosen.select("id", "lang").distinct()), ["id", "lang"], "left_semi").withColumn("h", hashed)
+    sample = sample.filter(F.col("text").rlike(r"\p{L}"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -18,10 +18,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import Query, crc_mod, small_batches, table
+from roadpulse.llm.common import Query, class_sample, crc_mod, small_batches, table
 
 PER_CLASS = {1: 1500, 0: 4000}
 MAX_WORDS = 400
@@ -37,7 +37,7 @@ STRIDE = 6
 LEAST = 8
 EPOCHS = (15, 15, 10)
 RATE = {"e": 2.0, "a": 0.2, "b": 0.1}
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
 EDGES = ".,;:!?\"'`()[]{}<>|*#%&$_~^=+-/\\"
 
 
@@ -48,8 +48,8 @@ def words_of(text: str | None) -> list[str]:
 def grams(word: str) -> list[int]:
     """Bucket numbers of a word's n-grams of 3 to 5 characters and of the word itself."""
     word = f"<{word.strip(EDGES)[:64]}>"
-    parts = {word[i : i + n] for n in (3, 4, 5) for i in range(len(word) - n + 1)} | {word + "="}
-    return [zlib.crc32(p.encode("utf-8", "replace")) & ((1 << BITS) - 1) for p in sorted(parts)]
+    parts = [word[i : i + n] for n in (3, 4, 5) for i in range(len(word) - n + 1)]
+    return [zlib.crc32(p.encode("utf-8", "replace")) & ((1 << BITS) - 1) for p in (*parts, word + "=")]
 
 
 def again(values: np.ndarray) -> np.ndarray:
@@ -85,7 +85,9 @@ class Model:
 
 
 class WordScores(dict):
-    """Score of each word as written, computed when first met; starts anew when full."""
+    """Score of each word as written, computed when first met; starts anew when full. A Python worker keeps it between tasks."""
+
+    of_broadcast: dict[int, WordScores] = {}
 
     def __init__(self, gram_score: np.ndarray):
         super().__init__()
@@ -223,9 +225,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     marks = labels.filter(F.col(label).isin(0, 1) & F.col(id).isNotNull()).groupBy(F.col(id).alias("id")).agg(F.max(label).cast("int").alias("y"))
     shares = {r["y"]: r["n"] for r in marks.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     texts = docs.filter(F.col(id).isNotNull()).select(F.col(id).alias("id"), F.col(text).alias("text"))
-    order = Window.partitionBy("y").orderBy(F.xxhash64("id"), "id")
-    most = F.when(F.col("y") == 1, PER_CLASS[1]).otherwise(PER_CLASS[0])
-    chosen = marks.withColumn("n", F.row_number().over(order)).filter((F.col("n") <= max(PER_CLASS.values())) & (F.col("n") <= most))
+    chosen = class_sample(marks, "y", F.xxhash64("id"), PER_CLASS)
     sample = texts.join(F.broadcast(chosen.select("id", "y")), "id")  # at most the rows of PER_CLASS
 
     def stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -266,11 +266,14 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """
     small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    number = zlib.crc32(model.gram_score.tobytes()) ^ zlib.crc32(repr((model.bias, model.slope)).encode())
 
     @F.pandas_udf("double")
     def probability(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = sent.value
-        known = WordScores(model.gram_score)
+        if number not in WordScores.of_broadcast:
+            WordScores.of_broadcast = {number: WordScores(model.gram_score)}  # of the latest model only
+        known = WordScores.of_broadcast[number]
         for texts in batches:
             yield pd.Series([model.probability(np.array(list(map(known.__getitem__, words_of(t))), float)) for t in texts], dtype=float)
 
