@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from roadpulse.llm import exact_dedup, language_id, license_scan, toxicity
+from roadpulse.llm import bpe, exact_dedup, language_id, license_scan, packing, toxicity
 
-MODULES = (license_scan, toxicity, language_id, exact_dedup)
+MODULES = (license_scan, toxicity, packing, language_id, bpe, exact_dedup)
 
 
 def llm_queries():
