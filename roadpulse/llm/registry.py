@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from roadpulse.llm import bpe, exact_dedup, language_id, license_scan, packing, toxicity
+from roadpulse.llm import bpe, exact_dedup, language_id, lattice_lm, license_scan, packing, toxicity
 
-MODULES = (license_scan, toxicity, packing, language_id, bpe, exact_dedup)
+MODULES = (license_scan, toxicity, packing, language_id, bpe, exact_dedup, lattice_lm)
 
 
 def llm_queries():
