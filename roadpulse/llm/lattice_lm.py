@@ -40,8 +40,10 @@ HOT_SHARES = 100_000
 FIRST_WORDS = 20_000
 FIRST_STEPS = 3
 #: (document, word) pairs after which a chunk is closed, and distinct words of a bucket.
-CHUNK_PAIRS = 1_000_000
-BUCKET_WORDS = 400_000
+CHUNK_PAIRS = 400_000
+BUCKET_WORDS = 200_000
+#: Distinct words that a task counts before it hands them on.
+COUNTED_WORDS = 200_000
 ZIPF = 2.7
 LN10 = float(np.log(10))
 
@@ -285,8 +287,8 @@ def count_words(docs: DataFrame, id: str, text: str, kinds: Kinds) -> DataFrame:
                 own = seen[kinds.of(place, c)]
                 own.update(c)
                 own[None] += 1
-            if sum(map(len, seen)) > 400_000:
-                yield flush()
+                if sum(map(len, seen)) >= COUNTED_WORDS:
+                    yield flush()
         yield flush()
 
     pairs = docs.select(F.col(text).cast("string").alias("text")).mapInPandas(count, "word binary, kind int, n long")
@@ -325,8 +327,20 @@ def train(docs: DataFrame, id: str = "doc_id", text: str = "text", vocabulary: s
         def expect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             shapes = lattice(vocabulary)
             total = np.zeros_like(sent.value)
+            held: list[pd.DataFrame] = []
+
+            def add() -> None:
+                # Many words at a time: the arrays of one word length should be long.
+                pdf = pd.concat(held)
+                held.clear()
+                total[:] += shapes.expected_by_kind([bytes(w) for w in pdf["word"]], pdf[names].to_numpy() > 0, sent.value)
+
             for pdf in batches:
-                total += shapes.expected_by_kind([bytes(w) for w in pdf["word"]], pdf[names].to_numpy() > 0, sent.value)
+                held.append(pdf)
+                if sum(map(len, held)) >= 100_000:
+                    add()
+            if held:
+                add()
             kind, piece = np.nonzero(total)
             yield pd.DataFrame({"kind": kind.astype(np.int32), "piece": piece.astype(np.int32), "n": total[kind, piece]})
 
@@ -417,9 +431,9 @@ def score(docs: DataFrame, model: Model, learnt: Column, id: str = "doc_id", tex
                 n = np.array(times, float)
                 at = np.array(at, int)
                 rows.append((i, own, c.total() + 1, int(n.sum()), float(n @ base[at]), (n @ log[at]).astype("<f8").tobytes(), len(rows)))
-            if pairs >= CHUNK_PAIRS:
-                yield flush()
-                chunk, rows, rare, pairs = chunk + 1, [], {}, 0
+                if pairs >= CHUNK_PAIRS:
+                    yield flush()
+                    chunk, rows, rare, pairs = chunk + 1, [], {}, 0
         if rows:
             yield flush()
 
