@@ -23,11 +23,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import Query, class_sample, crc_mod, small_batches, spread, stored, table, tokenizer_path
+from roadpulse.llm.common import Query, class_sample, crc_mod, small_batches, stored, table, tokenizer_path
 
 VOCABULARY = "piece_bpe_32k.model"
 COMPONENTS = 4
@@ -40,7 +41,8 @@ HOT_SHARES = 100_000
 FIRST_WORDS = 20_000
 FIRST_STEPS = 3
 #: (document, word) pairs after which a chunk is closed, and distinct words of a bucket.
-CHUNK_PAIRS = 400_000
+CHUNK_PAIRS = 800_000
+LEAST_BUCKETS = 12
 BUCKET_WORDS = 200_000
 #: Distinct words that a task counts before it hands them on.
 COUNTED_WORDS = 200_000
@@ -177,11 +179,9 @@ class Kinds:
     prior: np.ndarray
 
     def of(self, place: dict[bytes, int], counts: dict[bytes, int]) -> int:
-        at = [(place[w], n) for w, n in counts.items() if w in place]
-        if not at:
-            return int(self.prior.argmax())
-        rows, n = np.array(at).T
-        return int((n @ self.log[rows] + self.prior).argmax())
+        words = [w for w in counts if w in place]
+        rows = [place[w] for w in words]
+        return int((np.array([counts[w] for w in words], float) @ self.log[rows] + self.prior).argmax())
 
 
 def fit_kinds(docs: DataFrame, id: str, text: str, k: int) -> Kinds:
@@ -270,28 +270,28 @@ def count_words(docs: DataFrame, id: str, text: str, kinds: Kinds) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(kinds)
     k = len(kinds.prior)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = sent.value
         place = {w: i for i, w in enumerate(kinds.words)}
         seen = [Counter() for _ in range(k)]
 
-        def flush() -> pd.DataFrame:
-            frame = pd.concat([pd.DataFrame({"word": list(c), "kind": j, "n": list(c.values())}) for j, c in enumerate(seen)])
-            for c in seen:
+        def flush() -> Iterator[pa.RecordBatch]:
+            for j, c in enumerate(seen):
+                columns = [pa.array(c.keys(), pa.binary()), pa.array(np.full(len(c), j, np.int32)), pa.array(c.values(), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["word", "kind", "n"])
                 c.clear()
-            return frame.astype({"kind": "int32", "n": "int64"})
 
-        for pdf in batches:
-            for t in pdf["text"]:
-                c = Counter(words_of(t))
+        for batch in batches:
+            for t in batch.column(0):
+                c = Counter(words_of(t.as_py()))
                 own = seen[kinds.of(place, c)]
                 own.update(c)
                 own[None] += 1
                 if sum(map(len, seen)) >= COUNTED_WORDS:
-                    yield flush()
-        yield flush()
+                    yield from flush()
+        yield from flush()
 
-    pairs = docs.select(F.col(text).cast("string").alias("text")).mapInPandas(count, "word binary, kind int, n long")
+    pairs = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(count, "word binary, kind int, n long")
     return pairs.groupBy("word").agg(*[F.sum(F.when(F.col("kind") == j, F.col("n")).otherwise(0)).alias(f"c{j}") for j in range(k)])
 
 
@@ -391,7 +391,7 @@ def score(docs: DataFrame, model: Model, learnt: Column, id: str = "doc_id", tex
     small_batches(spark)
     sent = spark.sparkContext.broadcast(model)
     number = zlib.crc32(model.weight.tobytes()) ^ zlib.crc32(model.hot_counts.tobytes()) ^ model.n
-    n_buckets = max(spread(spark), -(-model.all_types // BUCKET_WORDS))
+    n_buckets = max(LEAST_BUCKETS, -(-model.all_types // BUCKET_WORDS))
     k = len(model.docs)
     narrow = docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"), learnt.alias("learnt"))
 
@@ -399,7 +399,7 @@ def score(docs: DataFrame, model: Model, learnt: Column, id: str = "doc_id", tex
         m: Model = sent.value
         hot = once(("hot", number), lambda: {w: i for i, w in enumerate(m.hot)})
         log = once(("hot-log", number), lambda: m.log10_words(m.hot, m.hot_counts) if m.hot else np.zeros((0, k)))
-        base = np.log10(m.hot_counts.sum(1) + 1)
+        base, get = np.log10(m.hot_counts.sum(1) + 1), hot.get
         place = {w: i for i, w in enumerate(m.kinds.words)}
         chunk = TaskContext.get().partitionId() << 24
         rows, rare, pairs = [], {}, 0
@@ -419,17 +419,14 @@ def score(docs: DataFrame, model: Model, learnt: Column, id: str = "doc_id", tex
             for i, text, own in zip(pdf["id"], pdf["text"], pdf["learnt"]):
                 c = Counter(words_of(text))
                 ref = (len(rows) << 4 | (m.kinds.of(place, c) + 1 if own else 0)) << 32
-                at, times = [], []
-                for w, n in c.items():
-                    h = hot.get(w)
-                    if h is None:
-                        rare.setdefault(w, []).append(ref | min(n, 0xFFFFFFFF))
-                        pairs += 1
-                    else:
-                        at.append(h)
-                        times.append(n)
-                n = np.array(times, float)
-                at = np.array(at, int)
+                at = np.array([get(w, -1) for w in c], int)
+                n = np.array(list(c.values()), float)
+                is_hot = at >= 0
+                for w, h in zip(c, at.tolist()):
+                    if h < 0:
+                        rare.setdefault(w, []).append(ref | min(c[w], 0xFFFFFFFF))
+                pairs += len(at) - int(is_hot.sum())
+                at, n = at[is_hot], n[is_hot]
                 rows.append((i, own, c.total() + 1, int(n.sum()), float(n @ base[at]), (n @ log[at]).astype("<f8").tobytes(), len(rows)))
                 if pairs >= CHUNK_PAIRS:
                     yield flush()
@@ -441,35 +438,37 @@ def score(docs: DataFrame, model: Model, learnt: Column, id: str = "doc_id", tex
     doc_columns = f"id {kind}, learnt boolean, n_tokens long, n_known long, base double, logs binary, place long"
     dealt = stored(narrow.mapInPandas(deal, f"bucket int, blob binary, {doc_columns}, chunk long"), "lm-chunks")
 
+    partial = np.dtype([("doc", "<u4"), ("known", "<f8"), ("base", "<f8"), ("logs", "<f4", (k,))])
+
     def look_up(pdf: pd.DataFrame) -> pd.DataFrame:
         m: Model = sent.value
         number_of: dict[bytes, int] = {}
-        word, pair, chunk = [], [], []
-        for blob, c in zip(pdf["blob"], pdf["chunk"]):
+        parts, used = [], np.zeros((1, k))
+        for blob in pdf["blob"]:
             words, sizes, pairs = _unpacked(blob)
-            word.append(np.repeat([number_of.setdefault(w, len(number_of)) for w in words], sizes))
-            pair.append(pairs)
-            chunk.append(np.full(len(pairs), c))
-        word, pair, chunk = np.concatenate(word), np.concatenate(pair), np.concatenate(chunk)
-        times = (pair & np.uint64(0xFFFFFFFF)).astype(float)
-        own = ((pair >> np.uint64(32)) & np.uint64(15)).astype(int)
-        doc = (pair >> np.uint64(36)).astype(np.int64)
-        counts = np.zeros((len(number_of), k))
-        for j in range(k):
-            mine = own == j + 1
-            counts[:, j] = np.bincount(word[mine], times[mine], len(number_of))
+            word = np.repeat(np.array([number_of.setdefault(w, len(number_of)) for w in words], np.int32), sizes)
+            parts.append((word, pairs))
+            if len(number_of) > len(used):
+                used = np.concatenate([used, np.zeros((len(number_of) + len(used), k))])
+            kind = ((pairs >> np.uint64(32)) & np.uint64(15)).astype(np.int64)
+            own = kind > 0
+            np.add.at(used, (word[own], kind[own] - 1), (pairs[own] & np.uint64(0xFFFFFFFF)).astype(float))
+        counts = used[: len(number_of)]
         log = m.log10_words(list(number_of), counts)
         total = counts.sum(1)
-        base = times * np.log10(total + 1)[word]
-        known = times * (total > 0)[word]
-        order = np.lexsort((doc, chunk))
-        starts = np.flatnonzero((np.diff(chunk[order], prepend=-1) != 0) | (np.diff(doc[order], prepend=-1) != 0))
-        sums = [np.add.reduceat(x[order], starts) for x in (base, known, *(times * log[word, j] for j in range(k)))]
-        table_ = np.stack([doc[order][starts].astype(float), *sums], 1)
-        chunks = chunk[order][starts]
-        cuts = np.flatnonzero(np.diff(chunks, prepend=-1) != 0)
-        parts = zip(chunks[cuts], np.split(table_, cuts[1:]))
-        return pd.DataFrame([(c, part.astype("<f8").tobytes()) for c, part in parts], columns=["chunk", "sums"])
+        base = np.log10(total + 1)
+        out = []
+        for chunk, (word, pairs) in zip(pdf["chunk"], parts):
+            times = (pairs & np.uint64(0xFFFFFFFF)).astype(float)
+            docs, of = np.unique(pairs >> np.uint64(36), return_inverse=True)
+            found = np.zeros(len(docs), partial)
+            found["doc"] = docs
+            found["base"] = np.bincount(of, times * base[word])
+            found["known"] = np.bincount(of, times * (total > 0)[word])
+            for j in range(k):
+                found["logs"][:, j] = np.bincount(of, times * log[word, j])
+            out.append((chunk, found.tobytes()))
+        return pd.DataFrame(out, columns=["chunk", "sums"])
 
     looked = dealt.filter("bucket >= 0").groupBy("bucket").applyInPandas(look_up, "chunk long, sums binary")
 
@@ -480,8 +479,8 @@ def score(docs: DataFrame, model: Model, learnt: Column, id: str = "doc_id", tex
         total[:, 0], total[:, 1] = pdf["base"], pdf["n_known"]
         total[:, 2:] = np.stack([np.frombuffer(b, "<f8") for b in pdf["logs"]])
         for blob in parts["sums"]:
-            part = np.frombuffer(blob, "<f8").reshape(-1, 3 + k)
-            total[part[:, 0].astype(int)] += part[:, 1:]
+            part = np.frombuffer(blob, partial)
+            total[part["doc"]] += np.column_stack([part["base"], part["known"], part["logs"]])
         n = pdf["n_tokens"].to_numpy(np.int64)
         ends = int(m.docs.sum())
         base = total[:, 0] + np.log10(ends + 1) - n * np.log10(m.n + m.v + 1)
