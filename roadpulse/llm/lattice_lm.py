@@ -17,6 +17,7 @@ chunk. No task holds more than a bucket or a chunk, and nothing but weights, tot
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -43,7 +44,7 @@ FIRST_STEPS = 3
 #: (document, word) pairs after which a chunk is closed, and distinct words of a bucket.
 CHUNK_PAIRS = 800_000
 LEAST_BUCKETS = 12
-BUCKET_WORDS = 200_000
+BUCKET_WORDS = 100_000
 #: Distinct words that a task counts before it hands them on.
 COUNTED_WORDS = 200_000
 ZIPF = 2.7
@@ -365,9 +366,19 @@ def train(docs: DataFrame, id: str = "doc_id", text: str = "text", vocabulary: s
     )
 
 
-def _packed(words: list[bytes], pairs: list[list[int]]) -> bytes:
-    head = np.array([len(words), *map(len, words), *map(len, pairs)], "<u4").tobytes()
-    return head + b"".join(words) + np.array([p for ps in pairs for p in ps], "<u8").tobytes()
+def _packed(words: list[bytes], word: np.ndarray, pairs: np.ndarray, n_buckets: int) -> Iterator[tuple[int, bytes]]:
+    """(bucket, its words, their numbers of pairs, the pairs in that order); `word` holds each pair's place in `words`."""
+    bucket = np.array([zlib.crc32(w) % n_buckets for w in words], np.int64)
+    order = np.lexsort((word, bucket[word]))
+    pairs, sizes = pairs[order], np.bincount(word, minlength=len(words))
+    at = 0
+    for b in range(n_buckets):
+        own = np.flatnonzero(bucket == b)
+        if len(own):
+            names, n = [words[i] for i in own.tolist()], int(sizes[own].sum())
+            head = np.array([len(own), *map(len, names), *sizes[own].tolist()], "<u4").tobytes()
+            yield b, head + b"".join(names) + pairs[at : at + n].astype("<u8").tobytes()
+            at += n
 
 
 def _unpacked(blob: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -402,15 +413,11 @@ def score(docs: DataFrame, model: Model, learnt: Column, id: str = "doc_id", tex
         base, get = np.log10(m.hot_counts.sum(1) + 1), hot.get
         place = {w: i for i, w in enumerate(m.kinds.words)}
         chunk = TaskContext.get().partitionId() << 24
-        rows, rare, pairs = [], {}, 0
+        rows, rare, word, pairs = [], {}, array("q"), array("Q")
 
         def flush() -> pd.DataFrame:
-            buckets: dict[int, tuple[list[bytes], list[list[int]]]] = {}
-            for w, ps in rare.items():
-                ws, pss = buckets.setdefault(zlib.crc32(w) % n_buckets, ([], []))
-                ws.append(w)
-                pss.append(ps)
-            blobs = pd.DataFrame([(b, _packed(*x)) for b, x in buckets.items()], columns=["bucket", "blob"])
+            blobs = _packed(list(rare), np.array(word), np.array(pairs), n_buckets)
+            blobs = pd.DataFrame(blobs, columns=["bucket", "blob"])
             found = pd.DataFrame(rows, columns=["id", "learnt", "n_tokens", "n_known", "base", "logs", "place"])
             frame = pd.concat([found.assign(bucket=-1), blobs])[["bucket", "blob", *found.columns]]
             return frame.assign(chunk=chunk).astype({"n_tokens": "Int64", "n_known": "Int64", "place": "Int64"})
@@ -424,13 +431,13 @@ def score(docs: DataFrame, model: Model, learnt: Column, id: str = "doc_id", tex
                 is_hot = at >= 0
                 for w, h in zip(c, at.tolist()):
                     if h < 0:
-                        rare.setdefault(w, []).append(ref | min(c[w], 0xFFFFFFFF))
-                pairs += len(at) - int(is_hot.sum())
+                        word.append(rare.setdefault(w, len(rare)))
+                        pairs.append(ref | min(c[w], 0xFFFFFFFF))
                 at, n = at[is_hot], n[is_hot]
                 rows.append((i, own, c.total() + 1, int(n.sum()), float(n @ base[at]), (n @ log[at]).astype("<f8").tobytes(), len(rows)))
-                if pairs >= CHUNK_PAIRS:
+                if len(pairs) >= CHUNK_PAIRS:
                     yield flush()
-                    chunk, rows, rare, pairs = chunk + 1, [], {}, 0
+                    chunk, rows, rare, word, pairs = chunk + 1, [], {}, array("q"), array("Q")
         if rows:
             yield flush()
 
