@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from roadpulse.llm import bpe, exact_dedup, language_id, lattice_lm, license_scan, packing, toxicity, vp_search
+from roadpulse.llm import bpe, exact_dedup, language_id, lattice_lm, license_scan, near_dedup, packing, toxicity, vp_search
 
-MODULES = (license_scan, toxicity, packing, vp_search, language_id, bpe, exact_dedup, lattice_lm)
+MODULES = (license_scan, toxicity, packing, vp_search, near_dedup, language_id, bpe, exact_dedup, lattice_lm)
 
 
 def llm_queries():
