@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -78,3 +79,24 @@ def class_sample(rows: DataFrame, cls: str, hashed: Column, per_class: dict | in
     narrowed = narrowed.filter(F.pmod("_hash", F.lit(whole)) < F.col("_let"))
     order = Window.partitionBy(cls).orderBy("_hash", *[c for c in rows.columns if c != cls])
     return narrowed.withColumn("_rank", F.row_number().over(order)).filter("_rank <= _most").drop("_let", "_most")
+
+
+#: Places of an id filter: one bit each, so it takes a megabyte whatever the number of ids.
+FILTER_BITS = 1 << 23
+
+
+def id_filter(ids: DataFrame, id: str) -> np.ndarray:
+    """Bits of the places `id mod FILTER_BITS` that some id has: rows that can't be wanted are dropped before a shuffle, an exact join follows.
+
+    With far more ids than bits all rows pass, and only the saving is lost.
+    """
+    words = ids.groupBy(F.expr(f"cast(pmod(`{id}`, {FILTER_BITS}) div 64 as int)").alias("w"))
+    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    for r in words.agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(`{id}`, 64) as int))")).alias("b")).collect():
+        bits[r["w"]] = r["b"]
+    return bits
+
+
+def may_hold(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    place = np.mod(ids, FILTER_BITS)
+    return (bits.view(np.uint64)[place // 64] >> (place % 64).astype(np.uint64)) & np.uint64(1) == 1

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import Query, small_batches, spread, stored, table
+from roadpulse.llm.common import Query, id_filter, may_hold, small_batches, spread, stored, table
 from roadpulse.llm.components import components
 
 SHINGLE = 5
@@ -129,15 +129,16 @@ def described(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 def sets_of(docs: DataFrame, wanted: DataFrame, id: str, text: str) -> DataFrame:
     """(id, items) for the ids and digests in `wanted`: whole texts read again, for these documents only."""
-    narrow = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    kept = narrow.join(wanted.select("id"), "id", "left_semi")
+    narrow = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).filter("id is not null")
+    bits = docs.sparkSession.sparkContext.broadcast(id_filter(wanted, "id"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
+            pdf = pdf[may_hold(bits.value, pdf["id"].to_numpy())]
             items = [shingles(t).tobytes() for t in pdf["text"]]
-            yield pd.DataFrame({"id": pdf["id"], "digest": [hashlib.blake2b(x, digest_size=16).digest() for x in items], "items": items})
+            yield pd.DataFrame({"id": pdf["id"].to_numpy(), "digest": [hashlib.blake2b(x, digest_size=16).digest() for x in items], "items": items})
 
-    found = kept.mapInPandas(run, "id long, digest binary, items binary")
+    found = narrow.mapInPandas(run, "id long, digest binary, items binary")
     # Rows that repeat an id: the one that stands for its class.
     return stored(found.join(wanted.select("id", "digest"), ["id", "digest"]).dropDuplicates(["id"]).select("id", "items"), "sets")
 
