@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Callable
 
@@ -28,6 +29,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished steps now: it does so when the driver collects its garbage, which may be long after."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_or_empty(text: str) -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadpulse.llm.common import Query, small_batches, stored, table
+from roadpulse.llm.common import Query, release, small_batches, stored, table
 
 LENGTH = 50
 GRAM = 16
@@ -40,17 +40,17 @@ WIDTH = LENGTH - 1 + RUN
 CHUNK = 2_000_000
 SEGMENT = 2_000_000
 #: Bytes of text for each shard, and shards at least.
-SHARD_BYTES = 64_000_000
+SHARD_BYTES = 32_000_000
 LEAST_SHARDS = 12
 #: Stretches whose windows are sorted at once.
 OPEN_STRETCHES = 20_000
 NO_ID = np.iinfo(np.int64).max
-C1, C2, C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xFF51AFD7ED558CCD)
+C1, C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 BLOBS = "chunk long, kind int, shard int, a binary, b binary, c binary, d binary"
 
 
 def pack(x: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(x).tobytes())
+    return zstandard.ZstdCompressor(level=6).compress(np.ascontiguousarray(x).tobytes())
 
 
 def unpack(blob: bytes, kind: str) -> np.ndarray:
@@ -76,11 +76,12 @@ def window_keys(text: np.ndarray) -> np.ndarray:
     if n < LENGTH:
         return np.zeros(0, np.uint64)
     eight = np.ndarray((n - 7,), "<u8", np.ascontiguousarray(text).data, strides=(1,))
-    h = eight[: n - GRAM + 1] * C1
-    h ^= h >> np.uint64(31)
-    h += eight[8:] * C2
-    h ^= h >> np.uint64(29)
-    h *= C3
+    h = np.zeros(n - GRAM + 1, np.uint64)
+    for j in range(0, GRAM, 8):
+        h += eight[j : j + len(h)]
+        h *= C1
+        h ^= h >> np.uint64(31)
+    h *= C2
     h ^= h >> np.uint64(32)
     grams, size = LENGTH - GRAM + 1, 1
     while 2 * size <= grams:
@@ -127,16 +128,15 @@ def suffixes(text: np.ndarray, start: np.ndarray, size: np.ndarray, depth: int)
 
 
 class Level:
-    """A suffix array: distinct suffixes in order, each with its key and the smallest id of a document that has it."""
+    """A suffix array: distinct suffixes in order, each with the smallest id of a document that has it."""
 
-    def __init__(self, suffix: np.ndarray, key: np.ndarray, doc: np.ndarray):
-        self.suffix, first, place = np.unique(suffix, return_index=True, return_inverse=True)
-        self.key = key[first]
-        self.doc = np.full(len(first), NO_ID, np.int64)
+    def __init__(self, suffix: np.ndarray, doc: np.ndarray):
+        self.suffix, place = np.unique(suffix, return_inverse=True)
+        self.doc = np.full(len(self.suffix), NO_ID, np.int64)
         np.minimum.at(self.doc, place, doc)
 
     def merged(self, other: Level) -> Level:
-        return Level(*(np.concatenate(x) for x in ((self.suffix, other.suffix), (self.key, other.key), (self.doc, other.doc))))
+        return Level(np.concatenate([self.suffix, other.suffix]), np.concatenate([self.doc, other.doc]))
 
 
 class Family:
@@ -159,10 +159,38 @@ class Family:
             least[hit] = np.minimum(least[hit], level.doc[at[hit]])
         return least
 
-    def keys(self) -> tuple[np.ndarray, np.ndarray]:
-        """Each distinct suffix of all levels, and its key."""
-        suffix, first = np.unique(np.concatenate([x.suffix for x in self.levels]), return_index=True)
-        return suffix, np.concatenate([x.key for x in self.levels])[first]
+    def distinct(self) -> np.ndarray:
+        return np.unique(np.concatenate([x.suffix for x in self.levels]))
+
+
+def keys_of(suffix: np.ndarray) -> np.ndarray:
+    """The 48-bit key of each stretch, from its first window."""
+    rows = suffix.view(np.uint8).reshape(len(suffix), -1)
+    out = [np.zeros(0, np.uint64)]
+    for at in range(0, len(rows), 100_000):
+        flat = np.ascontiguousarray(rows[at : at + 100_000, :LENGTH]).reshape(-1)
+        out.append(window_keys(flat)[::LENGTH] >> np.uint64(16))
+    return np.concatenate(out)
+
+
+class Stretches:
+    """What a chunk has to compare, from its texts and the keys that other chunks have; the same whenever it is made."""
+
+    def __init__(self, pdf: pd.DataFrame, shards: int):
+        self.chunk, self.sizes, ids, self.text = _text(pdf)
+        start, count, key = stretches(self.text, self.sizes)
+        doc = ids[np.searchsorted(np.cumsum(self.sizes), start, "right")] if len(start) else np.zeros(0, np.int64)
+        order = np.lexsort((doc, key))
+        several = (key[order][1:] == key[order][:-1]) & (doc[order][1:] != doc[order][:-1])
+        known = np.unique(np.concatenate([*[unpack_sorted(a) for a in pdf.loc[pdf["kind"] == 1, "a"]], key[order][1:][several]]))
+        mine = known[np.minimum(np.searchsorted(known, key), len(known) - 1)] == key if len(known) else np.zeros(len(key), bool)
+        self.start, self.count, self.doc = start[mine], count[mine], doc[mine]
+        suffix = suffixes(self.text, self.start, self.count + LENGTH - 1, WIDTH)
+        self.batch = Level(suffix, self.doc)
+        self.entry = np.searchsorted(self.batch.suffix, suffix)
+        shard = np.zeros(len(self.batch.suffix), np.int64)
+        shard[self.entry] = (key[mine] % np.uint64(shards)).astype(np.int64)
+        self.of_shard = {s: np.flatnonzero(shard == s) for s in np.unique(shard).tolist()}
 
 
 def open_answers(suffix: np.ndarray, key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -264,7 +292,7 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", keep
     total = chunks.filter("kind = 0").select("a").mapInPandas(volume, "n long").agg(F.sum("n")).collect()[0][0] or 0
     shards = max(LEAST_SHARDS, -(-total // SHARD_BYTES))
 
-    def keys_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def distinct_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for i in range(len(pdf)):
                 chunk, sizes, _, text = _text(pdf.iloc[i : i + 1])
@@ -287,50 +315,33 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", keep
         return _blobs(rows)
 
     texts = chunks.filter("kind = 0")
-    wanted = stored(texts.mapInPandas(keys_of, BLOBS).groupBy("shard").applyInPandas(shared, BLOBS), "shared-keys")
+    wanted = stored(texts.mapInPandas(distinct_keys, BLOBS).groupBy("shard").applyInPandas(shared, BLOBS), "shared-keys")
+    release(spark)
 
     def send(pdf: pd.DataFrame) -> pd.DataFrame:
-        chunk, sizes, ids, text = _text(pdf)
-        start, count, key = stretches(text, sizes)
-        doc = ids[np.searchsorted(np.cumsum(sizes), start, "right")] if len(start) else np.zeros(0, np.int64)
-        elsewhere = [unpack_sorted(a) for a in pdf.loc[pdf["kind"] == 1, "a"]]
-        order = np.lexsort((doc, key))
-        several = (key[order][1:] == key[order][:-1]) & (doc[order][1:] != doc[order][:-1])
-        known = np.unique(np.concatenate([*elsewhere, key[order][1:][several]]))
-        if not len(known):
-            return _blobs([])
-        at = np.minimum(np.searchsorted(known, key), len(known) - 1)
-        mine = known[at] == key
-        start, count, key, doc = start[mine], count[mine], key[mine], doc[mine]
-        suffix = suffixes(text, start, count + LENGTH - 1, WIDTH)
-        batch = Level(suffix, key, doc)
-        entry = np.searchsorted(batch.suffix, suffix)
-        rows = [(chunk, 3, None, pack(start.astype("<i8")), pack(count.astype("u1")), pack(entry.astype("<u4")), pack(doc.astype("<i8")))]
-        shard = (batch.key % np.uint64(shards)).astype(np.int64)
-        for s in np.unique(shard).tolist():
-            own = np.flatnonzero(shard == s)
-            parts = (own.astype("<u4"), batch.key[own], batch.doc[own], batch.suffix[own])
-            rows.append((chunk, 2, s, *map(pack, parts)))
+        own = Stretches(pdf, shards)
+        rows = []
+        for s, at in own.of_shard.items():
+            ids, of = np.unique(own.batch.doc[at], return_inverse=True)
+            rows.append((own.chunk, 2, s, pack(ids), pack(of.astype("<u4")), pack(own.batch.suffix[at]), None))
         return _blobs(rows)
 
-    sent = stored(texts.unionByName(wanted).groupBy("chunk").applyInPandas(send, BLOBS), "stretches")
-
     def settle(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("chunk")
         family, batches = Family(), []
-        for chunk, a, b, c, d in zip(pdf["chunk"], pdf["a"], pdf["b"], pdf["c"], pdf["d"]):
-            suffix = unpack(d, f"S{WIDTH + 1}")
-            family.add(Level(suffix, unpack(b, "<u8"), unpack(c, "<i8")))
-            batches.append((chunk, unpack(a, "<u4"), suffix))
-        suffix, key = family.keys()
-        least = family.scan(suffix)
+        for chunk, a, b, c in zip(pdf["chunk"], pdf["a"], pdf["b"], pdf["c"]):
+            suffix = unpack(c, f"S{WIDTH + 1}")
+            family.add(Level(suffix, unpack(a, "<i8")[unpack(b, "<u4")]))
+            batches.append((chunk, suffix))
+        suffix = family.distinct()
+        least, key = family.scan(suffix), keys_of(suffix)
+        family.levels.clear()
         order = np.argsort(key, kind="stable")
         same = key[order][1:] == key[order][:-1]
         several = np.zeros(len(key), bool)
         several[order] = np.concatenate([[False], same]) | np.concatenate([same, [False]])
         # Answers of all distinct stretches: one id each, or one for each part of an open one.
-        open_ = np.flatnonzero(several)
-        closed = np.flatnonzero(~several)
+        open_, closed = np.flatnonzero(several), np.flatnonzero(~several)
         place, first, ids = closed, np.zeros(len(closed), np.int64), least[closed]
         if len(open_):
             p, f, i = open_answers(suffix[open_], key[open_], least[open_])
@@ -339,33 +350,39 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", keep
         place, first, ids = place[by], first[by], ids[by]
         begin = np.searchsorted(place, np.arange(len(suffix) + 1))
         rows = []
-        for chunk, entry, own in batches:
+        for chunk, own in batches:
             at = np.searchsorted(suffix, own)
             n = begin[at + 1] - begin[at]
             pick = np.repeat(begin[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            rows.append((chunk, 4, None, pack(np.repeat(entry, n).astype("<u4")), pack(first[pick].astype("u1")), pack(ids[pick].astype("<i8")), None))
+            rows.append((chunk, 4, pdf["shard"].iloc[0], pack(n.astype("u1")), pack(first[pick].astype("u1")), pack(ids[pick].astype("<i8")), None))
         return _blobs(rows)
 
-    answers = stored(sent.filter("kind = 2").groupBy("shard").applyInPandas(settle, BLOBS), "answers")
+    sent = texts.unionByName(wanted).groupBy("chunk").applyInPandas(send, BLOBS)
+    answers = stored(sent.groupBy("shard").applyInPandas(settle, BLOBS), "answers")
+    del sent
+    release(spark)
 
     added = "_n_bytes long, _n_removed long, _n_spans long, _kept binary"
     schema = T.StructType([docs.schema[c] for c in keep] + T._parse_datatype_string(added).fields)
 
     def mark(tab: pa.Table) -> pa.Table:
         pdf = tab.to_pandas()
-        _, sizes, ids, text = _text(pdf)
+        mine = Stretches(pdf, shards)
+        sizes, text, start, count, doc = mine.sizes, mine.text, mine.start, mine.count, mine.doc
         change = np.zeros(len(text) + 1, np.int32)
-        state = pdf[pdf["kind"] == 3]
-        if len(state):
-            row = state.iloc[0]
-            start, count, entry, doc = unpack(row["a"], "<i8"), unpack(row["b"], "u1").astype(np.int64), unpack(row["c"], "<u4"), unpack(row["d"], "<i8")
-            found = pdf[pdf["kind"] == 4]
-            of, first, least = (np.concatenate([unpack(x, k) for x in found[c]]) for c, k in (("a", "<u4"), ("b", "u1"), ("c", "<i8")))
+        found = pdf[pdf["kind"] == 4]
+        if len(found):
+            of, first, least = [], [], []
+            for s, a, b, c in zip(found["shard"], found["a"], found["b"], found["c"]):
+                of.append(np.repeat(mine.of_shard[int(s)], unpack(a, "u1")))
+                first.append(unpack(b, "u1"))
+                least.append(unpack(c, "<i8"))
+            of, first, least = np.concatenate(of), np.concatenate(first).astype(np.int64), np.concatenate(least)
             by = np.lexsort((first, of))
-            of, first, least = of[by], first[by].astype(np.int64), least[by]
-            begin, end = np.searchsorted(of, entry), np.searchsorted(of, entry, "right")
+            of, first, least = of[by], first[by], least[by]
+            begin, end = np.searchsorted(of, mine.entry), np.searchsorted(of, mine.entry, "right")
             n = end - begin
-            run = np.repeat(np.arange(len(entry)), n)
+            run = np.repeat(np.arange(len(n)), n)
             at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
             to = np.where(at + 1 < np.repeat(end, n), first[np.minimum(at + 1, len(first) - 1)], count[run])
             gone = least[at] < doc[run]
@@ -383,7 +400,7 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", keep
         columns = [*kept.columns, *[pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))]]
         return pa.table(columns, names=schema.names)
 
-    everything = chunks.unionByName(sent.filter("kind = 3")).unionByName(answers)
+    everything = chunks.unionByName(wanted).unionByName(answers)
     return everything.groupBy("chunk").applyInArrow(mark, schema)
 
 
