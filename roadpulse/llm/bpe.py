@@ -194,11 +194,11 @@ def loaded(path: str) -> Bpe:
     return _loaded[path]
 
 
-def digests(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
-    """`docs` with the column `_bpe`: struct of n_tokens, ids_sha256 and decoded_sha256 of the whole text.
+def digests(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY, out: str = "_bpe") -> DataFrame:
+    """`docs` with the column `out`: struct of n_tokens, ids_sha256 and decoded_sha256 of the whole text.
 
     A null text counts as empty: no tokens, digests of nothing. Strings of added tokens in a text are those tokens. All other columns
-    pass untouched, whatever their names; repeated rows get the same answer each; an empty table stays empty.
+    pass untouched (one named `out` is replaced); repeated rows get the same answer each; an empty table stays empty.
     """
     small_batches(docs.sparkSession)
 
@@ -214,7 +214,7 @@ def digests(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY) -
                 out.append((sum([p[2] for p in found]), ids, decoded))
             yield pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.withColumn("_bpe", digest(F.col(text)))
+    return docs.withColumn(out, digest(F.col(text)))
 
 
 def encode(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:

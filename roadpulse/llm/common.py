@@ -107,3 +107,11 @@ def id_filter(ids: DataFrame, id: str) -> np.ndarray:
 def may_hold(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
     place = np.mod(ids, FILTER_BITS)
     return (bits.view(np.uint64)[place // 64] >> (place % 64).astype(np.uint64)) & np.uint64(1) == 1
+
+
+def fresh(columns: list[str], name: str) -> str:
+    """`name`, made longer until no column has it, whatever its case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -165,10 +165,10 @@ def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
     return model
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """`docs` with the column `_lid`: struct of lang_pred, score and rejected.
+def identify(docs: DataFrame, model: Model, text: str = "text", out: str = "_lid") -> DataFrame:
+    """`docs` with the column `out`: struct of lang_pred, score and rejected.
 
-    A null text or one without a letter is `und`, score 0, rejected. All other columns pass untouched, whatever their names;
+    A null text or one without a letter is `und`, score 0, rejected. All other columns pass untouched (one named `out` is replaced);
     rows that repeat give the same answer each, and an empty table stays empty. Of centroids that tie the first language by
     name wins. With a model without languages every text is `und`, and only those without letters are rejected.
     """
@@ -180,7 +180,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         found = [sent.value.predict(t) for t in texts]
         return pd.DataFrame(found, columns=["lang_pred", "score", "rejected"])
 
-    return docs.withColumn("_lid", predict(F.col(text)))
+    return docs.withColumn(out, predict(F.col(text)))
 
 
 def held_out(id: str = "doc_id") -> Column:

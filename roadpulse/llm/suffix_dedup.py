@@ -273,10 +273,10 @@ def _text(pdf: pd.DataFrame) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
     return int(row["chunk"]), np.frombuffer(row["a"], "<i8"), np.frombuffer(row["b"], "<i8"), unpack(row["c"], "u1")
 
 
-def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """One row per row of `docs`: the columns `keep` (by default the id), then _n_bytes, _n_removed, _n_spans, _kept.
+def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", keep: list[str] | None = None, out: str = "_repeats") -> DataFrame:
+    """One row per row of `docs`: the columns `keep` (by default the id), then `out`: struct of n_bytes, n_removed, n_spans, kept.
 
-    `_kept` holds the bytes that stay, as binary: a cut may fall inside a character. A null or empty text, or one shorter than LENGTH bytes,
+    `kept` holds the bytes that stay, as binary: a cut may fall inside a character. A null or empty text, or one shorter than LENGTH bytes,
     stays as it is. Of rows with one id none counts as smaller than another. A row without an id comes after all ids: what it shares with
     them goes, and nothing goes for its sake. All of `keep` passes with its type; other columns are not read. An empty table gives no rows.
     """
@@ -362,8 +362,10 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", keep
     del sent
     release(spark)
 
-    added = "_n_bytes long, _n_removed long, _n_spans long, _kept binary"
-    schema = T.StructType([docs.schema[c] for c in keep] + T._parse_datatype_string(added).fields)
+    added = ["_n_bytes", "_n_removed", "_n_spans", "_kept"]
+    kinds = [T.LongType(), T.LongType(), T.LongType(), T.BinaryType()]
+    carried = [T.StructField(f"_k{i}", docs.schema[c].dataType, True) for i, c in enumerate(keep)]
+    schema = T.StructType(carried + [T.StructField(n, k) for n, k in zip(added, kinds)])
 
     def mark(tab: pa.Table) -> pa.Table:
         pdf = tab.to_pandas()
@@ -401,18 +403,15 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", keep
         return pa.table(columns, names=schema.names)
 
     everything = chunks.unionByName(wanted).unionByName(answers)
-    return everything.groupBy("chunk").applyInArrow(mark, schema)
+    found = everything.groupBy("chunk").applyInArrow(mark, schema)
+    result = F.struct(*[F.col(n).alias(n[1:]) for n in added]).alias(out)
+    return found.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], result)
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select(
-        "doc_id",
-        F.col("_n_bytes").alias("n_bytes"),
-        F.col("_n_removed").alias("n_removed"),
-        F.col("_n_spans").alias("n_spans"),
-        F.sha2("_kept", 256).alias("kept_sha256"),
-    )
+    kept = F.sha2("_repeats.kept", 256).alias("kept_sha256")
+    return found.select("doc_id", "_repeats.n_bytes", "_repeats.n_removed", "_repeats.n_spans", kept)
 
 
 QUERIES: dict[str, tuple[Query, str | None]] = {"op5_suffix_dedup": (op5, None)}

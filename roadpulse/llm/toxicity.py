@@ -258,11 +258,11 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     return Model(scores, bias, float(slope), float(length), float(intercept))
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """`docs` with the column `_toxicity`, the probability of label 1 between 0 and 1.
+def score(docs: DataFrame, model: Model, text: str = "text", out: str = "_toxicity") -> DataFrame:
+    """`docs` with the column `out`, the probability of label 1 between 0 and 1.
 
     A null or empty text is an empty bag and gets a score too. Very long texts are read whole; equal texts get equal
-    scores. All other columns pass untouched, whatever their names. An empty table stays empty.
+    scores. All other columns pass untouched (one named `out` is replaced). An empty table stays empty.
     """
     small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
@@ -277,7 +277,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         for texts in batches:
             yield pd.Series([model.probability(np.array(list(map(known.__getitem__, words_of(t))), float)) for t in texts], dtype=float)
 
-    return docs.withColumn("_toxicity", probability(F.col(text)))
+    return docs.withColumn(out, probability(F.col(text)))
 
 
 def held_out(id: str = "doc_id") -> Column:
