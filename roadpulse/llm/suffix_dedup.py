@@ -40,7 +40,7 @@ WIDTH = LENGTH - 1 + RUN
 CHUNK = 2_000_000
 SEGMENT = 2_000_000
 #: Bytes of text for each shard, and shards at least.
-SHARD_BYTES = 32_000_000
+SHARD_BYTES = 16_000_000
 LEAST_SHARDS = 12
 #: Stretches whose windows are sorted at once.
 OPEN_STRETCHES = 20_000
