@@ -142,21 +142,24 @@ def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
     got = found.toPandas().sort_values(["lang", "whole", "h", "at"], kind="stable")
     if not len(got):
         return Model([], np.zeros(0), np.zeros((0, 0)), np.zeros(0, int), np.zeros(0))
-    counts = np.zeros((len(got), 1 << BITS), np.float32)
-    for row, at, n in zip(counts, got["at"], got["n"]):
-        row[np.frombuffer(at, "<u2")] = np.frombuffer(n, "<f4")
+    sparse = [(np.frombuffer(at, "<u2"), np.frombuffer(n, "<f4")) for at, n in zip(got["at"], got["n"])]
     whole, of = got["whole"].to_numpy(bool), got["lang"].to_numpy()
-    idf = np.log((1 + whole.sum()) / (1 + (counts[whole] > 0).sum(0))) + 1
+    entire = [i for i in range(len(got)) if whole[i]]
+    holding = np.bincount(np.concatenate([sparse[i][0] for i in entire]), minlength=1 << BITS)
     langs = sorted(set(of))
-    model = Model(langs, idf, np.zeros((0, 0)), np.zeros(0, int), np.zeros(0))
-    x = np.stack([model.vector(c.astype(np.float64)) for c in counts]).astype(np.float32)
-    groups = [clustered(x[whole & (of == name)], CENTROIDS) for name in langs]
+    model = Model(langs, np.log((1 + len(entire)) / (1 + holding)) + 1, np.zeros((0, 0)), np.zeros(0, int), np.zeros(0))
+
+    def vector(i: int) -> np.ndarray:
+        counts = np.zeros(1 << BITS)
+        counts[sparse[i][0]] = sparse[i][1]
+        return model.vector(counts).astype(np.float32)
+
+    groups = [clustered(np.stack([vector(i) for i in entire if of[i] == name]), CENTROIDS) for name in langs]
     model.centroids = np.concatenate(groups).astype(np.float32)
     model.owner = np.repeat(np.arange(len(langs)), [len(g) for g in groups])
     # How near texts come to their own language, by length; longer texts are never held to less.
-    near = x @ model.centroids.T
-    own = np.where(model.owner[None, :] == np.array([langs.index(name) for name in of])[:, None], near, -1).max(1)
-    bits = np.array([int(c.sum()).bit_length() for c in counts])
+    own = np.array([(model.centroids[model.owner == langs.index(of[i])] @ vector(i)).max() for i in range(len(got))])
+    bits = np.array([int(n.sum()).bit_length() for _, n in sparse])
     low = np.array([np.quantile(own[bits == b], 0.01) if (bits == b).any() else np.inf for b in range(65)])
     least = np.minimum.accumulate(low[::-1])[::-1]
     floor = np.where(np.isfinite(least), least, least[np.isfinite(least)].max())
