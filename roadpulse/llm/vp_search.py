@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by vantage-point trees, one a shard, for the largest inner product.
 
 Each vector gets one more component, the square root of M^2 - |x|^2 with M the largest norm, and queries get a zero: then nearer means a
-larger inner product, and the triangle inequality holds. A vantage-point tree over a bounded sample cuts space into
+larger inner product, and the triangle inequality holds. Queries are scaled to the norm M, which changes no order and brings them near their finds. A vantage-point tree over a bounded sample cuts space into
 shards; every vector goes to the shard it falls in, and each shard has a tree of its own, built in the task that
 searches it. A query searches its own shard first. The distance of its k-th find is then what others have to beat: a
 branch, or a whole shard, is left out when the least distance that the triangle inequality allows, times `factor`, is beyond
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from roadpulse.llm.common import Query, stored, table
 
 K = 20
-FACTOR = 1.6
+FACTOR = 1.1
 SHARD_ROWS = 4096
 LEAF_ROWS = 128
 #: Vectors of the sample for each shard, and of the sample in all, on which the shards' tree is built.
@@ -98,14 +98,19 @@ def lifted(x: np.ndarray, largest: float) -> np.ndarray:
     return np.column_stack([x, np.sqrt(np.maximum(0, largest * largest - (x * x).sum(1)))])
 
 
+def asking(q: np.ndarray, largest: float) -> tuple[np.ndarray, np.ndarray]:
+    """Queries as points among the lifted vectors, and what an inner product has to be multiplied by for them."""
+    scale = largest / np.sqrt((q * q).sum(1))
+    return np.column_stack([q * scale[:, None], np.zeros(len(q))]), scale
+
+
 def search(x: np.ndarray, order: np.ndarray, q: np.ndarray, reach: np.ndarray, largest: float, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
     """Of the rows of x the k with the largest inner product with each query, as (row or -1, product).
 
     Ties go to the smaller `order`. `reach` is a distance that finds have to be within.
     """
     tree = VpTree(lifted(x, largest), LEAF_ROWS)
-    flat = np.column_stack([q, np.zeros(len(q))])
-    size = (q * q).sum(1) + largest * largest
+    flat, scale = asking(q, largest)
     rows_, found = np.full((len(q), k), -1), np.full((len(q), k), -np.inf)
     reach = reach.copy()
 
@@ -119,7 +124,9 @@ def search(x: np.ndarray, order: np.ndarray, q: np.ndarray, reach: np.ndarray, l
         found[asked] = np.take_along_axis(score, best, 1)
         rows_[asked] = np.take_along_axis(row, best, 1)
         least = found[asked, -1]
-        reach[asked] = np.minimum(reach[asked], np.where(np.isfinite(least), np.sqrt(np.maximum(0, size[asked] - 2 * np.where(np.isfinite(least), least, 0))), np.inf))
+        full = np.isfinite(least)
+        distance = np.sqrt(np.maximum(0, 2 * largest * largest - 2 * scale[asked] * np.where(full, least, 0)))
+        reach[asked] = np.minimum(reach[asked], np.where(full, distance, np.inf))
 
     home = tree.leaf_of(flat)
     for leaf in np.unique(home):
@@ -154,9 +161,9 @@ def grouped(rows: DataFrame, most: int) -> DataFrame:
 
 
 def nearest(
-    vectors: DataFrame, asking: Column, id: str = "vec_id", vector: str = "embedding", k: int = K, factor: float = FACTOR
+    vectors: DataFrame, is_query: Column, id: str = "vec_id", vector: str = "embedding", k: int = K, factor: float = FACTOR
 ) -> DataFrame:
-    """One row per query and find: query_id, rank, the id, score. Queries are the usable rows for which `asking` holds.
+    """One row per query and find: query_id, rank, the id, score. Queries are the usable rows for which `is_query`, over the columns id and v, holds.
 
     The score is the inner product in double precision; the largest come first, ties by the smaller id. A query's own id is no
     candidate; fewer candidates than k give fewer rows. Vectors that are null, empty, zero or hold null or non-finite components,
@@ -166,7 +173,7 @@ def nearest(
     spark = vectors.sparkSession
     rows = usable(vectors, id, vector)
     index = stored(grouped(rows, k + 1), "vectors")
-    queries = rows.filter(F.expr("true") if asking is None else asking).select("id", "v").distinct()
+    queries = rows.filter(is_query).select("id", "v").distinct()
     asked = stored(queries.groupBy("v").agg(F.min("id").alias("query")), "queries")
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c))
     n, largest = index.agg(F.count(F.lit(1)), F.max(norm)).collect()[0]
@@ -194,7 +201,7 @@ def nearest(
     def home_of(v: pd.Series) -> pd.Series:
         if sent.value is None:
             return pd.Series(np.zeros(len(v), np.int32))
-        return pd.Series(sent.value.leaf_of(np.column_stack([matrix(v), np.zeros(len(v))])).astype(np.int32))
+        return pd.Series(sent.value.leaf_of(asking(matrix(v), largest)[0]).astype(np.int32))
 
     @F.pandas_udf("array<int>")
     def others(v: pd.Series, home: pd.Series, reach: pd.Series) -> pd.Series:
@@ -209,7 +216,7 @@ def nearest(
                     found[i].append(leaf)
 
         if sent.value is not None:
-            sent.value.visit(np.column_stack([q, np.zeros(len(q))]), lambda rows: r[rows], factor, at_leaf)
+            sent.value.visit(asking(q, largest)[0], lambda rows: r[rows], factor, at_leaf)
         return pd.Series(found, dtype=object)
 
     def in_shard(pdf: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
@@ -233,10 +240,9 @@ def nearest(
         return found.withColumn("r", ranked).filter(F.col("r") <= most)
 
     first = searched(asked, "found-at-home")
-    size = F.aggregate("v", F.lit(largest * largest), lambda a, c: a + c * c)
     # The distance of the k+1-th vector found at home; without so many, anything may be nearer.
     last = first.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least"))
-    reach = F.when(F.col("n") > k, F.sqrt(F.greatest(F.lit(0.0), size - 2 * F.col("least")))).otherwise(F.lit(float("inf")))
+    reach = F.when(F.col("n") > k, F.sqrt(F.greatest(F.lit(0.0), 2 * largest * (largest - F.col("least") / norm)))).otherwise(F.lit(float("inf")))
     onward = asked.drop("reach").join(last, "query", "left").withColumn("reach", reach)
     onward = onward.withColumn("shard", F.explode(others("v", "shard", "reach"))).select("query", "v", "shard", "reach")
     found = first.unionByName(searched(onward, "found-elsewhere")).select("query", F.explode("ids").alias("id"), "score").distinct()
