@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,7 +12,6 @@ from roadpulse.functions.geo import distance
 from roadpulse.functions.timefn import hour_floor
 from roadpulse.operators.skew import salted_join
 
-BROADCAST_QUERIES = 2_000
 QUERY_BLOCK = 512
 VECTOR_BLOCK = 4_096
 
@@ -23,7 +22,7 @@ def relevant_events(
     """The k nearest events of each query within a radius and a time window, ties by event id.
 
     `queries` (q_id, utc, x, y); `events` (event_id, start_utc, end_utc, x, y). An event matches when
-    it overlaps [utc - hours, utc + hours]. Both sides meet on (time bucket, grid cell): the
+    it overlaps [utc - hours, utc + hours]; one without an end is still going on. Both sides meet on (time bucket, grid cell): the
     event is listed in every bucket its widened interval touches, the query in its own and in
     the nine cells around it, so each match is found once. Hot keys are split.
     """
@@ -51,7 +50,9 @@ def relevant_events(
         )
     )
     first = F.timestamp_add("HOUR", F.lit(-hours), F.col("start_utc"))
-    last = F.timestamp_add("HOUR", F.lit(hours), F.col("end_utc"))
+    latest = queries.agg(F.max("utc")).scalar()
+    end = F.coalesce("end_utc", F.greatest("start_utc", latest))
+    last = F.timestamp_add("HOUR", F.lit(hours), end)
     e = events.select(
         "event_id",
         first.alias("first"),
@@ -111,66 +112,36 @@ def _block_scorer(k: int):
     return unit, score
 
 
-def embedding_topk(
-    queries: DataFrame, vectors: DataFrame, k: int = 5, broadcast_queries: int = BROADCAST_QUERIES
-) -> DataFrame:
+def embedding_topk(queries: DataFrame, vectors: DataFrame, k: int = 5) -> DataFrame:
     """(q_id, vec_id, score, rank): the k vectors of highest cosine per query, ties by id.
 
-    `queries` (q_id, embedding), `vectors` (vec_id, embedding). A counted, small set of queries is
-    shipped to the scan of the vectors, which are not shuffled; each batch keeps its k best per
-    query. A larger set is cut into blocks that meet the blocks of vectors in an equi-join.
+    `queries` (q_id, embedding), `vectors` (vec_id, embedding). Both are cut into blocks; each two blocks meet under a key of their own
+    and hand on the k best per query, so a task holds two blocks whatever the sizes.
     """
-    head = queries.select(F.col("q_id").cast("long").alias("q_id"), "embedding").limit(broadcast_queries + 1)
-    small = head.collect()
-    vectors = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    if len(small) <= broadcast_queries:
-        scored = _score_by_scan(small, vectors, k)
-    else:
-        scored = _score_by_blocks(queries, vectors, k)
-    w = Window.partitionBy("q_id").orderBy(F.desc("score"), F.asc("vec_id"))
-    return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-
-
-def _score_by_scan(small: list, vectors: DataFrame, k: int) -> DataFrame:
-    if not small:
-        return vectors.sparkSession.createDataFrame([], _SCORES)
-    unit, score = _block_scorer(k)
-    q_ids = np.array([row.q_id for row in small], dtype=np.int64)
-    shipped = vectors.sparkSession.sparkContext.broadcast((q_ids, unit([row.embedding for row in small])))
-
-    def scan(batches):
-        ids, q_unit = shipped.value
-        for batch in batches:
-            if len(batch):
-                yield score(ids, q_unit, batch["vec_id"].to_numpy(), unit(batch["embedding"]))
-
-    return vectors.mapInPandas(scan, _SCORES)
-
-
-def _score_by_blocks(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
-    """Blocks of queries against blocks of vectors; each pair of blocks is one row."""
     unit, score = _block_scorer(k)
 
-    def blocks(df: DataFrame, id_col: str, size: int) -> DataFrame:
+    def blocks(df: DataFrame, id_col: str, size: int) -> tuple[DataFrame, Column]:
         n = df.agg(F.greatest(F.ceil(F.count(F.lit(1)) / size), F.lit(1)).cast("int")).scalar()
-        return (
+        cut = (
             df.withColumn("_n", n)
             .groupBy(F.pmod(F.xxhash64(id_col), F.col("_n")).cast("int").alias("block"), "_n")
             .agg(F.collect_list(F.struct(F.col(id_col).cast("long").alias("id"), "embedding")).alias("p"))
         )
-
-    q, v = blocks(queries, "q_id", QUERY_BLOCK), blocks(vectors, "vec_id", VECTOR_BLOCK)
-    q_count = queries.agg(F.greatest(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK), F.lit(1)).cast("int")).scalar()
-    # Every vector block is sent once per query block.
-    tiles = v.select(
-        F.explode(F.sequence(F.lit(0), q_count - 1)).alias("block"),
-        F.col("p.id").alias("v_ids"),
-        F.col("p.embedding").alias("v_vecs"),
-    ).join(q.select("block", F.col("p.id").alias("q_ids"), F.col("p.embedding").alias("q_vecs")), "block")
+        return cut, n
+
+    q, q_count = blocks(queries, "q_id", QUERY_BLOCK)
+    v, v_count = blocks(vectors, "vec_id", VECTOR_BLOCK)
+    q = q.select(F.col("block").alias("q_block"), F.explode(F.sequence(F.lit(0), v_count - 1)).alias("v_block"), F.col("p").alias("q"))
+    v = v.select(F.explode(F.sequence(F.lit(0), q_count - 1)).alias("q_block"), F.col("block").alias("v_block"), F.col("p").alias("v"))
+    tiles = q.join(v, ["q_block", "v_block"]).select(
+        F.col("q.id").alias("q_ids"), F.col("q.embedding").alias("q_vecs"), F.col("v.id").alias("v_ids"), F.col("v.embedding").alias("v_vecs")
+    )
 
     def scan(batches):
         for batch in batches:
             for row in batch.itertuples(index=False):
                 yield score(np.asarray(row.q_ids), unit(row.q_vecs), np.asarray(row.v_ids), unit(row.v_vecs))
 
-    return tiles.mapInPandas(scan, _SCORES)
+    w = Window.partitionBy("q_id").orderBy(F.desc("score"), F.asc("vec_id"))
+    scored = tiles.mapInPandas(scan, _SCORES)
+    return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from roadpulse.columns import DET, QUALITY, UTC, ZONE
 from roadpulse.functions.timefn import local_hour, local_weekday, minutes_between
-from roadpulse.operators.axes import node_index
 from roadpulse.operators.clean import dedupe_first, site_id
 from roadpulse.operators.ordering import exact_quantiles
+from roadpulse.operators.skew import salted_join
 from roadpulse.session import materialize
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
@@ -108,22 +108,18 @@ def quality_histogram(df: DataFrame, width: float = 5.0) -> DataFrame:
     return df.groupBy(start.cast("double").alias("quality_from")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def neighbouring_siblings(ids: DataFrame) -> DataFrame:
-    """(site_id, det_a, det_b): each detector with the next one on its site, in id order.
-
-    Linear in the detectors of a site; for the usual two detectors per pole this is
-    the only pair there is. The ids of a site follow one another in the order of all ids,
-    so neighbours meet on their position and a site with very many detectors is no hot key.
-    """
-    ranked = materialize(node_index(ids), "ranked").withColumn("site_id", site_id())
-    following = ranked.select((F.col("n_idx") - 1).alias("n_idx"), "site_id", F.col(DET).alias("det_b"))
-    return ranked.join(following, ["n_idx", "site_id"]).select("site_id", F.col(DET).alias("det_a"), "det_b")
+def sibling_detectors(ids: DataFrame) -> DataFrame:
+    """(site_id, det_a, det_b): every two detectors of a site, the smaller id first."""
+    own = materialize(ids.select(DET).distinct().withColumn("site_id", site_id()), "sited")
+    a = own.select("site_id", F.col(DET).alias("det_a"))
+    b = own.select("site_id", F.col(DET).alias("det_b"))
+    return salted_join(a, b, ["site_id"]).filter(F.col("det_a") < F.col("det_b")).select("site_id", "det_a", "det_b")
 
 
 def sibling_pairs(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Readings of neighbouring siblings side by side, one row per pair and common hour."""
+    """Readings of every two siblings side by side, one row per pair and common hour. Reads `df` three times: store it."""
     cols = cols or ["qkfz", "vkfz"]
-    pairs = neighbouring_siblings(df)
+    pairs = sibling_detectors(df)
     a = df.select(F.col(DET).alias("det_a"), UTC, *[F.col(c).alias(f"{c}_a") for c in cols])
     b = df.select(F.col(DET).alias("det_b"), UTC, *[F.col(c).alias(f"{c}_b") for c in cols])
     return a.join(pairs, "det_a").join(b, ["det_b", UTC]).select(

@@ -10,7 +10,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from roadpulse.columns import DET, HORIZONS, TRAFFIC, UTC, ZONE
+from roadpulse.columns import DET, FEATURES, HORIZONS, TRAFFIC, UTC, ZONE
 from roadpulse.functions.timefn import hour_of_week
 
 
@@ -19,7 +19,7 @@ def _by_time() -> WindowSpec:
 
 
 def window_samples(
-    cells: DataFrame, cols: list[str] = TRAFFIC, target: str = "vkfz", past: int = 12, ahead: int = 12
+    cells: DataFrame, cols: list[str] = FEATURES, target: str = "vkfz", past: int = 12, ahead: int = 12
 ) -> DataFrame:
     """Sliding samples, stride 1, never across a split border.
 

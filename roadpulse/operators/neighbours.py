@@ -64,8 +64,7 @@ def nearest(queries: DataFrame, targets: DataFrame, k: int) -> DataFrame:
     # Query points at one place share their candidates.
     places = materialize(queries.select(F.col("x").alias("qx"), F.col("y").alias("qy")).distinct(), "places")
     found = (
-        _cells(places, "qx", "qy")
-        .join(filled, ["level", "cx", "cy"])
+        salted_join(_cells(places, "qx", "qy"), materialize(filled, "filled"), ["level", "cx", "cy"], right_is_even=True)
         .groupBy("qx", "qy")
         .agg(F.min("level").alias("level"))
     )
@@ -106,4 +105,5 @@ def nearest(queries: DataFrame, targets: DataFrame, k: int) -> DataFrame:
     )
     best = _first_k(candidates, k).select("qx", "qy", "t_id", "dist_m", "rank")
     named = queries.select(F.col("id").alias("q_id"), F.col("x").alias("qx"), F.col("y").alias("qy"))
-    return named.join(best, ["qx", "qy"]).select("q_id", "t_id", "dist_m", "rank")
+    # A place has k rows in `best`, but may hold any number of queries.
+    return salted_join(named, best, ["qx", "qy"], right_is_even=True).select("q_id", "t_id", "dist_m", "rank")

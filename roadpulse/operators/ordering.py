@@ -1,9 +1,8 @@
 """Global order without a single-task window.
 
-Rows are first reduced to (group, value, weight). A small sample of the values, taken
-in hash order so that every evaluation picks the same one, gives bucket edges; the
-window then runs per bucket, and bucket totals shift the running sums. A value that
-holds many rows is one row by then, so a hot value cannot fill a bucket.
+Rows are first reduced to (group, value, weight). They are range-partitioned by (group, value) and written with the number
+of their partition as bucket; the window then runs per bucket, and bucket totals shift the running sums. A value that
+holds many rows is one row by then, so a hot value cannot fill a bucket, and buckets grow in number with the rows.
 """
 
 from __future__ import annotations
@@ -13,25 +12,24 @@ from pyspark.sql import functions as F
 
 from roadpulse.session import materialize
 
-BUCKETS = 256
+#: Rows meant for a bucket, hence for a task.
+BUCKET_ROWS = 100_000
 
 
 def running_totals(
-    counted: DataFrame, value: str, sums: list[str], by: list[str] | None = None, buckets: int = BUCKETS
+    counted: DataFrame, value: str, sums: list[str], by: list[str] | None = None, buckets: int | None = None
 ) -> DataFrame:
     """Add `cum_<c>` for every c in `sums`: the inclusive running total in order of `value`.
 
-    `counted` holds one row per (by, value). Edges are shared by all groups, so `by`
-    should be few groups of similar range, or the values comparable (as ids are).
+    `counted` holds one row per (by, value) and is read three times, so hand in a stored table.
     """
     by = by or []
-    sample = counted.select(value, *by).orderBy(F.xxhash64(value, *by)).limit(buckets - 1)
-    edges = sample.agg(F.sort_array(F.collect_set(value))).scalar()
-    # Never NULL, or the join below would push a test of this expression down to the scan.
-    bucket = F.coalesce(F.size(F.filter("_edges", lambda e: e <= F.col(value))), F.lit(0))
-    placed = counted.withColumn("_edges", edges).withColumn("_bucket", bucket).drop("_edges")
+    buckets = buckets or -(-counted.count() // BUCKET_ROWS) or 1
+    ranged = counted.repartitionByRange(buckets, *by, value).withColumn("_bucket", F.spark_partition_id())
+    # Stored: the bucket is a plain column for what follows, and the same one in each pass.
+    placed = materialize(ranged, "buckets")
 
-    # One row per (group, bucket): at most `buckets` rows per group, whatever the input size.
+    # One row per (group, bucket).
     totals = placed.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -49,7 +47,7 @@ def running_totals(
     )
 
 
-def global_rank(distinct_values: DataFrame, value: str, buckets: int = BUCKETS) -> DataFrame:
+def global_rank(distinct_values: DataFrame, value: str, buckets: int | None = None) -> DataFrame:
     """Add `rank`, 1-based, to a frame of distinct values."""
     ones = distinct_values.withColumn("_one", F.lit(1).cast("long"))
     return (
@@ -68,7 +66,7 @@ def unpivot(df: DataFrame, cols: list[str], keep: list[Column | str] | None = No
     return df.select(*keep, pairs.alias("_p")).select(*keep, "_p.feature", "_p.value")
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets: int = BUCKETS) -> DataFrame:
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets: int | None = None) -> DataFrame:
     """(feature, prob, value): linear interpolation between the two nearest ranks.
 
     Works on value counts in bucketed global order; no group is held by one task.
@@ -82,7 +80,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets:
     return quantiles_of_counts(materialize(counted, "counts"), probs, buckets)
 
 
-def quantiles_of_counts(counted: DataFrame, probs: list[float], buckets: int = BUCKETS) -> DataFrame:
+def quantiles_of_counts(counted: DataFrame, probs: list[float], buckets: int | None = None) -> DataFrame:
     """Quantiles per feature of a (feature, value, n) frame, which is read several times."""
     ranked = running_totals(counted, "value", ["n"], by=["feature"], buckets=buckets)
     sizes = counted.groupBy("feature").agg(F.sum("n").alias("_size"))

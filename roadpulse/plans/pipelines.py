@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.columns import (
@@ -145,25 +147,45 @@ def build_graph(
     return {"nodes": nodes, "edges": edges, "summary": summary}
 
 
-def profile_readings(readings: DataFrame) -> dict[str, DataFrame]:
-    """The standard first look at readings."""
-    return {
-        "head": eda.head_rows(readings, [DET, UTC]),
-        "columns": eda.profile_columns(readings),
-        "describe": eda.describe_numeric(readings, [QUALITY, *TRAFFIC]),
-        "sensors": eda.distinct_sensors(readings),
-        "range": eda.time_range(readings),
-        "interval": eda.sampling_interval(readings),
-    }
+def _hours(ts: str) -> Column:
+    """Hours since 1970 of a stamp."""
+    return (F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")) * 24 + F.hour(ts)).cast("double")
 
 
-def profile_locations(locations: DataFrame) -> dict[str, DataFrame]:
-    """First rows, columns, and the coordinate of the first location."""
-    return {
-        "head": eda.head_rows(locations, [DET]),
-        "columns": eda.profile_columns(locations),
-        "first": locations.orderBy(DET).limit(1).select(DET, "lon", "lat"),
-    }
+def _long(df: DataFrame, section: str, name: Column, value: Column) -> DataFrame:
+    return df.select(F.lit(section).alias("section"), name.alias("name"), value.cast("double").alias("value"))
+
+
+def profile_readings(readings: DataFrame) -> DataFrame:
+    """The standard first look at readings as (section, name, value): first rows, columns, statistics, sensors, range, interval."""
+    numeric = [QUALITY, *TRAFFIC]
+    head = eda.head_rows(readings, [DET, UTC])
+    stats = ["n", "mean", "std", "min", "q25", "q50", "q75", "max"]
+    described = eda.describe_numeric(readings, numeric).select(
+        "feature", F.inline(F.array(*[F.struct(F.lit(s).alias("stat"), F.col(s).cast("double").alias("v")) for s in stats]))
+    )
+    parts = [
+        _long(head, "head", F.concat_ws("@", DET, _hours(UTC).cast("long").cast("string")), F.col("qkfz")),
+        _long(eda.profile_columns(readings), "columns", F.concat_ws(":", "column", "type"), F.col("non_null")),
+        _long(described, "describe", F.concat_ws(".", "feature", "stat"), F.col("v")),
+        _long(eda.distinct_sensors(readings), "sensors", F.lit("distinct"), F.col("sensors")),
+        _long(eda.time_range(readings), "range", F.lit("first"), _hours("first_utc")),
+        _long(eda.time_range(readings), "range", F.lit("last"), _hours("last_utc")),
+        _long(eda.sampling_interval(readings), "interval", F.col(DET), F.col("step_minutes")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def profile_locations(locations: DataFrame) -> DataFrame:
+    """First rows, columns, and the coordinate of the first location, as (section, name, value)."""
+    first = locations.orderBy(DET).limit(1)
+    parts = [
+        _long(eda.head_rows(locations, [DET]), "head", F.col(DET), F.col("lon")),
+        _long(eda.profile_columns(locations), "columns", F.concat_ws(":", "column", "type"), F.col("non_null")),
+        _long(first, "first", F.lit("lon"), F.col("lon")),
+        _long(first, "first", F.lit("lat"), F.col("lat")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def baseline_report(cells: DataFrame, axis: Axis, col: str = "vkfz") -> DataFrame:
@@ -172,19 +194,28 @@ def baseline_report(cells: DataFrame, axis: Axis, col: str = "vkfz") -> DataFram
     return evaluate.error_table(evaluate.errors_on_test(judged))
 
 
-def graph_ablation(cells: DataFrame, nodes: DataFrame, axis: Axis, col: str = "vkfz") -> DataFrame:
-    """Density of each graph kind, and how well a node's neighbours tell its own value."""
+def graph_ablation(cells: DataFrame, nodes: DataFrame, axis: Axis, col: str = "vkfz", ahead: int = 3) -> DataFrame:
+    """Density of each graph kind, and how well a node's neighbours now tell its own value `ahead` hours later.
+
+    Judged on the test split, on the cells whose node has neighbours in every graph, so all kinds answer the same questions.
+    Edges are read towards the node that lists them: its neighbours are what it sees.
+    """
     kinds = {
         "binary": radius_graph_binary(nodes),
         "gaussian": radius_graph_gaussian(nodes),
-        "knn": knn_graph(nodes).select("src", "dst", "weight"),
+        "knn": knn_graph(nodes).select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"),
         "identity": identity_graph(nodes),
     }
+    kinds = {name: materialize(edges, "edges") for name, edges in kinds.items()}
+    judged_nodes = reduce(
+        lambda a, b: a.join(b, DET), [e.select(F.col("dst").alias(DET)).distinct() for e in kinds.values()]
+    )
+    later = split_ratio(cells, axis.hours).filter("split = 'test'").join(judged_nodes, DET)
+    later = materialize(later.select(DET, (F.col("t_idx") - ahead).alias("t_idx"), "mask", F.col(col).alias("y")), "later")
     out = None
     for name, edges in kinds.items():
-        edges = materialize(edges, "edges")
         near = neighbour_aggregate(cells, edges, [col], axis.hours).withColumnRenamed(col, "y_hat")
-        judged = cells.select(DET, "t_idx", "mask", F.col(col).alias("y")).join(near, [DET, "t_idx"])
+        judged = later.join(near, [DET, "t_idx"])
         row = graph_density(edges, nodes).select(
             F.lit(name).alias("graph"), "nodes", "edges", "density", evaluate.masked_mae(judged).scalar().alias("mae")
         )

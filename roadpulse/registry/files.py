@@ -96,9 +96,21 @@ def _(spark, d):
     )
 
 
-@query("bundle_schema_check", "SELECT CAST(NULL AS VARCHAR) AS key FROM events WHERE false")
+_KEY_ROWS = {"X": "720 * n", "mask": "720 * n", "det_ids": "n", "time_index": "720", "mu": "6", "sigma": "6"}
+
+
+@query(
+    "bundle_schema_check",
+    sql(
+        "data_ids",
+        " UNION ALL ".join(
+            f"SELECT '{key}' AS key, true AS present, CAST({_KEY_ROWS.get(key, '1')} AS BIGINT) AS n_rows FROM (SELECT count(*) AS n FROM data_ids)"
+            for key in bundle.BUNDLE_KEYS
+        ),
+    ),
+)
 def _(spark, d):
-    """Keys missing in a bundle built from the tables: none."""
+    """Keys of a bundle built from the tables, and the rows that answer for them."""
     return bundle.bundle_schema_check(bundle.read_bundle(spark, _bundle(spark, d)))
 
 
@@ -119,16 +131,31 @@ def _(spark, d):
     return rounded(stored.join(degree, "id"), digits=3)
 
 
-@query("dataset_fingerprint")
+_CELL_COLS = sorted(["det_id", "t_idx", *T6, *CYC, "mask"])
+_CELL_TEXT = ", ".join(
+    f"coalesce(CAST(CAST(round({c} * 1e4) AS BIGINT) AS VARCHAR), '~')" if c in T6 + CYC else f"coalesce(lower(CAST({c} AS VARCHAR)), '~')" for c in _CELL_COLS
+)
+
+
+@query(
+    "dataset_fingerprint",
+    sql(
+        "cells",
+        f"""SELECT count(*) AS n_rows, CAST(CAST(sum(h) AS DECIMAL(38, 0)) AS VARCHAR) AS hash_sum, bit_xor(h) AS hash_xor FROM (
+              SELECT CAST('0x' || substr(md5(concat_ws('|', {_CELL_TEXT})), 1, 15) AS BIGINT) AS h FROM cells)""",
+    ),
+)
 def _(spark, d):
-    """Fingerprint of the dense cells, rounded so that it does not hang on summation order."""
-    return bundle.dataset_fingerprint(rounded(cells(spark, d), digits=4))
+    """Fingerprint of the dense cells."""
+    dense = cells(spark, d).withColumn(DET, F.lower(DET)).select(*_CELL_COLS)
+    return bundle.dataset_fingerprint(dense).withColumn("hash_sum", F.col("hash_sum").cast("string"))
 
 
 view(
     "recent",
     ("readings",),
-    "SELECT * FROM readings WHERE utc > (SELECT max(utc) FROM readings) - INTERVAL 14 DAY AND "
+    "SELECT * FROM readings WHERE utc > (SELECT max(utc) FROM readings) - INTERVAL 14 DAY "
+    "AND (quality IS NULL OR quality >= 90) AND "
     + " AND ".join(f"{c} IS NOT NULL" for c in T6),
 )
 

@@ -242,19 +242,25 @@ def _(spark, d):
     return parts["edges"].join(src, "src").join(dst, "dst").select("src_idx", "dst_idx", "weight")
 
 
+view("det_sees", ("det_knn",), "SELECT dst AS src, src AS dst, weight FROM det_knn")
+_ABLATED = {"binary": "det_binary", "gaussian": "det_gaussian", "knn": "det_sees", "identity": "det_identity"}
+
+
 def _ablation_sql(kind: str) -> str:
-    edges = f"det_{kind}"
+    edges = _ABLATED[kind]
+    in_all = " AND ".join(f"c.det_id IN (SELECT dst FROM {e})" for e in _ABLATED.values())
     return f"""SELECT '{kind}' AS graph, (SELECT count(*) FROM detector_nodes) AS nodes,
       (SELECT count(*) FROM {edges}) AS edges,
       {r(f'(SELECT count(*) FROM {edges}) / pow((SELECT count(*) FROM detector_nodes), 2)')} AS density,
       {r('coalesce(sum(abs(n.vkfz - c.vkfz)) FILTER (mask), 0) / greatest(count(*) FILTER (mask), 1)')} AS mae
-      FROM cells c JOIN ({_near_sql(edges, 'vkfz')}) n ON n.det_id = c.det_id AND n.t_idx = c.t_idx"""
+      FROM labelled c JOIN ({_near_sql(edges, 'vkfz')}) n ON n.det_id = c.det_id AND n.t_idx = c.t_idx - 3
+      WHERE c.split = 'test' AND {in_all}"""
 
 
 @query(
     "graph_ablation",
     sql(
-        ("det_binary", "det_gaussian", "det_knn", "det_identity", "cells", "detector_nodes"),
+        ("det_binary", "det_gaussian", "det_sees", "det_identity", "cells", "labelled", "detector_nodes"),
         " UNION ALL ".join(_ablation_sql(k) for k in ("binary", "gaussian", "knn", "identity")),
     ),
 )

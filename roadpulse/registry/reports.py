@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from roadpulse import fixtures as fx
-from roadpulse.columns import DET, HORIZONS, QUALITY, TRAFFIC, UTC
+from roadpulse.columns import DET, FEATURES, HORIZONS, QUALITY, TRAFFIC, UTC
 from roadpulse.functions.timefn import minutes_between
 from roadpulse.operators import eda, evaluate, forecast
 from roadpulse.plans import pipelines
@@ -98,12 +98,19 @@ def _(spark, d):
     return eda.quality_histogram(fx.readings(spark, d))
 
 
+# Two neighbouring sites taken as one, so that sites hold up to four detectors.
 view(
-    "sibling_pairs",
+    "sited_readings",
     ("readings",),
+    """SELECT * REPLACE (concat('TEU', lpad(CAST(CAST(substr(det_id, 4, 5) AS INT) // 2 AS VARCHAR), 5, '0'), '_Det',
+       CAST(2 * (CAST(substr(det_id, 4, 5) AS INT) % 2) + CAST(substr(det_id, 13, 1) AS INT) AS VARCHAR)) AS det_id) FROM readings""",
+)
+view(
+    "sibling_pairs",
+    ("sited_readings",),
     r"""SELECT regexp_extract(a.det_id, '^(TEU\d+)_', 1) AS site_id, a.utc, a.det_id AS det_a, b.det_id AS det_b,
        a.qkfz AS qkfz_a, b.qkfz AS qkfz_b, a.vkfz AS vkfz_a, b.vkfz AS vkfz_b
-       FROM readings a JOIN readings b ON a.utc = b.utc AND a.det_id < b.det_id
+       FROM sited_readings a JOIN sited_readings b ON a.utc = b.utc AND a.det_id < b.det_id
        AND regexp_extract(a.det_id, '^(TEU\d+)_', 1) = regexp_extract(b.det_id, '^(TEU\d+)_', 1)""",
 )
 
@@ -113,13 +120,22 @@ view(
     sql("sibling_pairs", f"SELECT site_id, utc, det_a, det_b, {rs(['qkfz_a', 'qkfz_b', 'vkfz_a', 'vkfz_b'])} FROM sibling_pairs"),
 )
 def _(spark, d):
-    return rounded(eda.sibling_pairs(fx.readings(spark, d)))
+    return rounded(eda.sibling_pairs(_sited(spark, d)))
+
+
+def _sited(spark, d):
+    site, pos = F.substring(DET, 4, 5).cast("int"), F.substring(DET, 13, 1).cast("int")
+    number = F.lpad(F.floor(site / 2).cast("string"), 5, "0")
+    det = F.concat(F.lit("TEU"), number, F.lit("_Det"), (2 * (site % 2) + pos).cast("string"))
+    return materialize(fx.readings(spark, d).withColumn(DET, det), "sited")
 
 
 def _corr_sql(c: str) -> str:
     return (
         f"count(*) FILTER ({c}_a IS NOT NULL AND {c}_b IS NOT NULL) AS n_{c}, "
-        f"CASE WHEN count(*) >= 3 AND stddev_pop({c}_a) > 0 AND stddev_pop({c}_b) > 0 "
+        f"CASE WHEN count(*) FILTER ({c}_a IS NOT NULL AND {c}_b IS NOT NULL) >= 3 "
+        f"AND min({c}_a) FILTER ({c}_b IS NOT NULL) < max({c}_a) FILTER ({c}_b IS NOT NULL) "
+        f"AND min({c}_b) FILTER ({c}_a IS NOT NULL) < max({c}_b) FILTER ({c}_a IS NOT NULL) "
         f"THEN {r(f'corr({c}_a, {c}_b)')} END AS r_{c}"
     )
 
@@ -129,7 +145,7 @@ def _corr_sql(c: str) -> str:
     sql("sibling_pairs", f"SELECT det_a, det_b, {_corr_sql('qkfz')}, {_corr_sql('vkfz')} FROM sibling_pairs GROUP BY 1, 2"),
 )
 def _(spark, d):
-    return rounded(eda.sibling_correlation(eda.sibling_pairs(fx.readings(spark, d))))
+    return rounded(eda.sibling_correlation(eda.sibling_pairs(_sited(spark, d))))
 
 
 view(
@@ -206,32 +222,56 @@ def _(spark, d):
     return eda.first_failures(failed)
 
 
-@query("profile_readings", sql("readings", DESCRIBE))
+def _sql_hours(ts: str) -> str:
+    return f"CAST(date_diff('day', DATE '1970-01-01', CAST({ts} AS DATE)) * 24 + hour({ts}) AS DOUBLE)"
+
+
+def _columns_sql(columns: list[tuple[str, str]], of: str) -> str:
+    return " UNION ALL ".join(f"SELECT 'columns' AS section, '{c}:{t}' AS name, CAST(count({c}) AS DOUBLE) AS value FROM {of}" for c, t in columns)
+
+
+_STATS = {"n": "CAST(count({c}) AS DOUBLE)", "mean": "avg({c})", "std": "stddev_samp({c})", "min": "min({c})", "max": "max({c})"}
+_STATS |= {f"q{p}": "quantile_cont({c}, 0." + p + ")" for p in ("25", "50", "75")}
+
+
+@query(
+    "profile_readings",
+    sql(
+        "readings",
+        f"""SELECT section, name, {r('value')} AS value FROM (
+        SELECT * FROM (SELECT 'head' AS section, concat(det_id, '@', CAST(CAST({_sql_hours('utc')} AS BIGINT) AS VARCHAR)) AS name,
+          qkfz AS value FROM readings ORDER BY det_id, utc LIMIT 5)
+        UNION ALL {_columns_sql([("det_id", "string"), ("utc", "timestamp_ntz"), *[(c, "double") for c in Q7]], "readings")}
+        UNION ALL {" UNION ALL ".join(f"SELECT 'describe', '{c}.{s}', {e.format(c=c)} FROM readings" for c in Q7 for s, e in _STATS.items())}
+        UNION ALL SELECT 'sensors', 'distinct', CAST(count(DISTINCT det_id) AS DOUBLE) FROM readings
+        UNION ALL SELECT 'range', 'first', {_sql_hours('min(utc)')} FROM readings
+        UNION ALL SELECT 'range', 'last', {_sql_hours('max(utc)')} FROM readings
+        UNION ALL SELECT 'interval', det_id, step FROM (
+          SELECT det_id, CAST(date_diff('minute', prev, utc) AS DOUBLE) AS step, count(*) AS steps
+          FROM (SELECT det_id, utc, lag(utc) OVER (PARTITION BY det_id ORDER BY utc) AS prev FROM readings)
+          WHERE prev IS NOT NULL GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY det_id ORDER BY count(*) DESC, step) = 1))""",
+    ),
+)
 def _(spark, d):
-    return rounded(pipelines.profile_readings(fx.readings(spark, d))["describe"])
+    return rounded(pipelines.profile_readings(materialize(fx.readings(spark, d), "readings")))
+
+
+_PLACE = [("det_id", "string"), ("lon", "double"), ("lat", "double"), ("direction", "string"), ("lane", "int"), ("surveyed", "boolean")]
 
 
 @query(
     "profile_locations",
     sql(
         "locations",
-        " UNION ALL ".join(
-            f"SELECT {i} AS position, '{c}' AS \"column\", '{t}' AS type, count({c}) AS non_null FROM locations"
-            for i, (c, t) in enumerate(
-                [
-                    ("det_id", "string"),
-                    ("lon", "double"),
-                    ("lat", "double"),
-                    ("direction", "string"),
-                    ("lane", "int"),
-                    ("surveyed", "boolean"),
-                ]
-            )
-        ),
+        f"""SELECT section, name, {r('value')} AS value FROM (
+        SELECT * FROM (SELECT 'head' AS section, det_id AS name, lon AS value FROM locations ORDER BY det_id LIMIT 5)
+        UNION ALL {_columns_sql(_PLACE, "locations")}
+        UNION ALL SELECT 'first', 'lon', arg_min(lon, det_id) FROM locations
+        UNION ALL SELECT 'first', 'lat', arg_min(lat, det_id) FROM locations)""",
     ),
 )
 def _(spark, d):
-    return pipelines.profile_locations(fx.locations(spark, d))["columns"]
+    return rounded(pipelines.profile_locations(fx.locations(spark, d)))
 
 
 # --- forecasts ---------------------------------------------------------------
@@ -243,7 +283,7 @@ _DIGEST = (
     + r("avg(sy)", 4)
     + " AS mean_target, CAST(sum(sm) AS BIGINT) AS valid_targets "
     "FROM (SELECT split, count(*) OVER past AS n_past, count(*) OVER ahead AS n_ahead, "
-    "sum(vkfz) OVER past AS sx, sum(vkfz) OVER ahead AS sy, sum(CAST(mask AS INT)) OVER ahead AS sm "
+    "sum(" + " + ".join(FEATURES) + ") OVER past AS sx, sum(vkfz) OVER ahead AS sy, sum(CAST(mask AS INT)) OVER ahead AS sm "
     "FROM labelled WINDOW past AS (PARTITION BY det_id, split ORDER BY t_idx ROWS BETWEEN {before} PRECEDING AND CURRENT ROW), "
     "ahead AS (PARTITION BY det_id, split ORDER BY t_idx ROWS BETWEEN 1 FOLLOWING AND 12 FOLLOWING)) "
     "WHERE n_past = {length} AND n_ahead = 12 GROUP BY split"
@@ -276,13 +316,13 @@ def _digest_sql(length: int) -> str:
 
 @query("window_samples", sql("labelled", _digest_sql(12)))
 def _(spark, d):
-    samples = forecast.window_samples(labelled(spark, d), cols=["vkfz"])
+    samples = forecast.window_samples(labelled(spark, d))
     return _digest(samples.withColumn("input_length", F.lit(12)))
 
 
 @query("input_length_variants", sql("labelled", " UNION ALL ".join(_digest_sql(n) for n in (6, 12, 24, 48))))
 def _(spark, d):
-    return _digest(forecast.input_length_variants(labelled(spark, d), cols=["vkfz"]))
+    return _digest(forecast.input_length_variants(labelled(spark, d)))
 
 
 @query(

@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.columns import BUNDLE_FORMAT_VERSION, DET, FEATURES, SPLIT_RATIOS, TRAFFIC
@@ -99,18 +99,19 @@ def read_bundle(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 
 
 def bundle_schema_check(tables: dict[str, DataFrame]) -> DataFrame:
-    """Expected keys the tables do not answer for; empty when the bundle is whole."""
+    """(key, present, n_rows) of every expected key: whether the tables answer for it, and the rows that do."""
     spark = next(iter(tables.values())).sparkSession
-    present = []
+    count = F.count(F.lit(1))
+    rows = {name: df.agg(count).scalar() for name, df in tables.items()}
+    parts = []
     for key, place in BUNDLE_KEYS.items():
         table, _, column = place.partition(".")
         have = table in tables and (not column or column in tables[table].columns)
         if key == "X":
             have = have and not set(FEATURES) - set(tables["cells"].columns)
-        if have:
-            present.append((key,))
-    expected = spark.createDataFrame([(k,) for k in BUNDLE_KEYS], "key string")
-    return expected.exceptAll(spark.createDataFrame(present, "key string"))
+        found = rows[table] if have else F.lit(None).cast("long")
+        parts.append(F.struct(F.lit(key).alias("key"), F.lit(bool(have)).alias("present"), found.alias("n_rows")))
+    return spark.range(1).select(F.inline(F.array(*parts)))
 
 
 def write_graph(nodes: DataFrame, edges: DataFrame, path: str) -> str:
@@ -128,8 +129,19 @@ def read_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def dataset_fingerprint(df: DataFrame) -> DataFrame:
-    """One row that changes with the content of a frame, not with the order of its rows."""
-    h = F.xxhash64(*sorted(df.columns))
+    """One row that changes with the content of a frame, not with the order of its rows or columns.
+
+    Any engine can make it: a row's text is its columns in order of their names, `|` between them, `~` for NULL and fractions as whole
+    ten-thousandths; its number the first 15 hexadecimal digits of the text's MD5. Sum and exclusive or of the numbers are the fingerprint.
+    """
+
+    def text(name: str, kind: str) -> Column:
+        c = F.col(f"`{name}`")
+        c = F.round(c.cast("double") * 1e4).cast("long") if kind in ("double", "float") else c
+        return F.coalesce(c.cast("string"), F.lit("~"))
+
+    whole = F.concat_ws("|", *[text(name, kind) for name, kind in sorted(df.dtypes)])
+    h = F.conv(F.substring(F.md5(whole.cast("binary")), 1, 15), 16, 10).cast("long")
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum(h.cast("decimal(38,0)")).alias("hash_sum"),

@@ -21,6 +21,7 @@ from roadpulse.columns import (
     TRAFFIC,
     UTC,
 )
+from roadpulse.session import materialize
 
 SEP = ";"
 # <month>/<detector>.csv, where both may carry a "name=" prefix as in folders Spark wrote.
@@ -179,9 +180,10 @@ def unpack(archives: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(lines, errors) of a frame of archives (path, content).
 
     One task per archive streams its members; no member path is ever written. A
-    corrupt archive gives a row in `errors` and the others go on.
+    corrupt archive gives a row in `errors` and the others go on. Archives are read once: what they hold
+    is written to the scratch folder and both results read that.
     """
-    all_rows = archives.mapInPandas(_line_reader(), _LINES)
+    all_rows = materialize(archives.mapInPandas(_line_reader(), _LINES), "lines")
     lines = all_rows.filter(F.col("error").isNull()).select(
         "archive",
         month_from_archive("archive").alias("month"),
@@ -194,10 +196,7 @@ def unpack(archives: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def unpack_archives(spark: SparkSession, glob: str) -> tuple[DataFrame, DataFrame]:
-    """(lines, errors) of the monthly `.tgz` archives of detector files that match `glob`.
-
-    Each use of a result reads the archives again: land them once (`land_archives`) to query them.
-    """
+    """(lines, errors) of the monthly `.tgz` archives of detector files that match `glob`."""
     return unpack(spark.read.format("binaryFile").load(glob).select("path", "content"))
 
 
@@ -214,12 +213,15 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     return _typed(wide, {"month": F.col("month"), "file_start": F.lit(0).cast("long"), "row_order": F.col("line_no")})
 
 
-def land_archives(spark: SparkSession, glob: str, target: str) -> DataFrame:
-    """Unpack once to Parquet by month; queries then read columns and not archives."""
-    lines, _ = unpack_archives(spark, glob)
+def land_archives(spark: SparkSession, glob: str, target: str) -> tuple[DataFrame, DataFrame]:
+    """Unpack once to Parquet by month; queries then read columns and not archives.
+
+    (readings, errors): a corrupt archive is a row of `errors`, and what was read of it before the damage is landed.
+    """
+    lines, errors = unpack_archives(spark, glob)
     parse_lines(lines).hint("rebalance", "month").write.mode("overwrite").partitionBy("month").parquet(target)
     landed = spark.read.parquet(target)
-    return landed.withColumn("month", F.lpad(F.col("month").cast("string"), 2, "0"))
+    return landed.withColumn("month", F.lpad(F.col("month").cast("string"), 2, "0")), errors
 
 
 # --- locations and holidays ---------------------------------------------------------

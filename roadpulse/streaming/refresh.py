@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.columns import DET, QUALITY, READINGS_SCHEMA, TRAFFIC, UTC
-from roadpulse.operators.clean import dedupe_first, valid_mask
+from roadpulse.operators.clean import dedupe_first, quality_filter, valid_mask
 from roadpulse.operators.normalize import normalization_stats
 
 DAY = "day"
@@ -64,9 +64,9 @@ def incremental_refresh(stream: DataFrame, target: str, checkpoint: str) -> None
 
 
 def rolling_stats(readings: DataFrame, days: int = 28) -> DataFrame:
-    """One wide row of mean and deviation over complete rows of the last `days` days."""
+    """One wide row of mean and deviation over complete rows of the last `days` days that pass the quality filter."""
     newest = readings.agg(F.max(UTC)).scalar()
     recent = readings.filter(F.col(UTC) > F.timestamp_add("DAY", F.lit(-days), newest))
     if DAY in readings.columns:  # lets the scan skip the older partitions
         recent = recent.filter(F.col(DAY) >= F.date_sub(F.to_date(newest), days))
-    return normalization_stats(valid_mask(recent), train="true")
+    return normalization_stats(valid_mask(quality_filter(recent)), train="true")

@@ -94,8 +94,10 @@ def test_files_to_bundle_and_back(spark, root, tmp_path):
     # Without its last table a later build does not exist for readers.
     spark.range(1).write.parquet(f"{path}/build=99999999/cells")
     tables = bundle.read_bundle(spark, path)
-    assert bundle.bundle_schema_check(tables).count() == 0
-    assert {r.key for r in bundle.bundle_schema_check({k: v for k, v in tables.items() if k != "norm_stats"}).collect()} == {"mu", "sigma"}
+    assert {r.key: r.n_rows for r in bundle.bundle_schema_check(tables).collect()}["X"] == 60
+    assert bundle.bundle_schema_check(tables).filter("not present").count() == 0
+    lacking = bundle.bundle_schema_check({k: v for k, v in tables.items() if k != "norm_stats"}).filter("not present")
+    assert {r.key for r in lacking.collect()} == {"mu", "sigma"}
     assert [(r.n_idx, r.det_id) for r in tables["nodes"].orderBy("n_idx").collect()] == [
         (0, "TEU00001_Det0"), (1, "TEU00002_Det0"), (2, "TEU00003_Det0")]
     cells = tables["cells"]
@@ -143,7 +145,8 @@ def test_archives(spark, tmp_path):
     }
     assert {os.path.basename(r.archive) for r in errors.collect()} == {"detektoren_2023_02.tgz", "detektoren_2023_03.tgz"}
     assert sorted(os.listdir(tmp_path)) == before
-    landed = readings.land_archives(spark, f"{folder}/*.tgz", str(tmp_path / "landed"))
+    landed, errors = readings.land_archives(spark, f"{folder}/*.tgz", str(tmp_path / "landed"))
+    assert errors.count() == 1
     assert landed.filter("month = '01'").count() == 3
 
 

@@ -185,11 +185,12 @@ def test_siblings(spark):
     assert few.r_qkfz is None
 
 
-def test_siblings_are_paired_with_the_next_on_the_site(spark):
+def test_every_two_detectors_of_a_site_are_siblings(spark):
     names = ["TEU1_Det0", "TEU1_Det1", "TEU1_Det2", "TEU12_Det0", "TEU12_Det1", "TEU2_Det0"]
     ids = spark.createDataFrame([(n,) for n in names], "det_id string")
-    got = {(r.det_a, r.det_b) for r in eda.neighbouring_siblings(ids).collect()}
-    assert got == {("TEU1_Det0", "TEU1_Det1"), ("TEU1_Det1", "TEU1_Det2"), ("TEU12_Det0", "TEU12_Det1")}
+    got = {(r.det_a, r.det_b) for r in eda.sibling_detectors(ids).collect()}
+    own = {("TEU1_Det0", "TEU1_Det1"), ("TEU1_Det0", "TEU1_Det2"), ("TEU1_Det1", "TEU1_Det2")}
+    assert got == own | {("TEU12_Det0", "TEU12_Det1")}
 
 
 def test_sites_and_first_rows(spark):
@@ -210,7 +211,8 @@ def test_relevant_events_against_brute_force(spark):
     for i in range(150):
         at = base + timedelta(minutes=int(rng.integers(0, 3000))) if i % 3 else base + timedelta(hours=5)
         place = rng.uniform(0, 9000, 2) if i % 3 else np.array([3000.0, 3000.0])  # a third at one time and place
-        events.append((i, at, at + timedelta(minutes=int(rng.integers(0, 900))), *map(float, place)))
+        end = at + timedelta(minutes=int(rng.integers(0, 900))) if i % 10 else None
+        events.append((i, at, end, *map(float, place)))
     asked = [(f"q{j}", base + timedelta(hours=int(rng.integers(0, 60))), *map(float, rng.uniform(0, 9000, 2))) for j in range(25)]
     e = spark.createDataFrame(events, "event_id long, start_utc timestamp_ntz, end_utc timestamp_ntz, x double, y double")
     q = spark.createDataFrame(asked, "q_id string, utc timestamp_ntz, x double, y double")
@@ -222,20 +224,23 @@ def test_relevant_events_against_brute_force(spark):
         near = sorted(
             (((x - ex) ** 2 + (y - ey) ** 2) ** 0.5, i)
             for i, s, f, ex, ey in events
-            if s - reach <= t <= f + reach and ((x - ex) ** 2 + (y - ey) ** 2) ** 0.5 <= 2000
+            if s - reach <= t and (f is None or t <= f + reach) and ((x - ex) ** 2 + (y - ey) ** 2) ** 0.5 <= 2000
         )[:4]
         assert got.get(name, {}) == {n: i for n, (_, i) in enumerate(near, 1)}
 
 
 @pytest.mark.parametrize("small", [True, False])
-def test_embedding_topk_against_numpy(spark, small):
+def test_embedding_topk_against_numpy(spark, small, monkeypatch):
+    if small:
+        monkeypatch.setattr(context, "QUERY_BLOCK", 5)
+        monkeypatch.setattr(context, "VECTOR_BLOCK", 20)
     rng = np.random.default_rng(4)
     v, q = rng.normal(size=(90, 8)), rng.normal(size=(12, 8))
     v[5] = v[17]  # a tie
     vectors = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "vec_id long, embedding array<float>")
     queries = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(q)], "q_id long, embedding array<double>")
     got = {}
-    for r in context.embedding_topk(queries, vectors, 7, 100 if small else 3).collect():
+    for r in context.embedding_topk(queries, vectors, 7).collect():
         got.setdefault(r.q_id, {})[r["rank"]] = r.vec_id
     v32 = v.astype(np.float32).astype(float)
     s = (q / np.linalg.norm(q, axis=1, keepdims=True)) @ (v32 / np.linalg.norm(v32, axis=1, keepdims=True)).T
