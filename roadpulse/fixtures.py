@@ -191,7 +191,7 @@ def label_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detector_files(spark: SparkSession, sf_dir: str) -> str:
-    """The readings as `;`-separated files, one folder per month and detector."""
+    """The readings as `;`-separated files, one folder per month and detector; every second site's with the columns reversed."""
     root = scratch_path(spark, "csv")
     df = readings(spark, sf_dir).withColumnRenamed("quality", CSV_QUALITY)
     empty = [c for c in CSV_HEADER if c not in df.columns]
@@ -202,7 +202,10 @@ def detector_files(spark: SparkSession, sf_dir: str) -> str:
         F.date_format(UTC, "yyyy-MM-dd HH:mm:ss").alias("utc"),
         *[F.col(f"`{c}`") for c in CSV_HEADER if c != "utc"],
     )
-    out.repartition("mm", "file").write.partitionBy("mm", "file").option("sep", ";").option("header", True).csv(root)
+    odd = F.substring("file", 4, 5).cast("int") % 2 == 1
+    for part, columns in ((out.filter(~odd), out.columns), (out.filter(odd), ["mm", "file", *out.columns[:1:-1]])):
+        files = part.select(*[F.col(f"`{c}`") for c in columns]).repartition("mm", "file").write.partitionBy("mm", "file")
+        files.mode("append").option("sep", ";").option("header", True).csv(root)
     return root
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import io
 import tarfile
 from collections.abc import Iterator
+from functools import reduce
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -70,37 +72,53 @@ def _typed(df: DataFrame, order: dict[str, Column]) -> DataFrame:
     )
 
 
+def _headers(spark: SparkSession, paths: str) -> dict[tuple[str, ...] | None, list[str]]:
+    """Files by the column names of their own header; under None those with lines but no header. As many entries as files."""
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"))
+    cells = F.split("value", SEP)
+    is_header = F.col("value").contains(UTC) & F.exists(cells, lambda c: F.regexp_replace(c, "[\ufeff\"\\s]", "") == UTC)
+    found = lines.groupBy("path").agg(F.max(F.when(is_header, F.col("value"))).alias("header")).collect()
+    by_header: dict[tuple[str, ...] | None, list[str]] = {}
+    for row in found:
+        names = row.header and tuple(c.strip("\ufeff").strip().strip('"').strip() for c in row.header.split(SEP))
+        by_header.setdefault(names, []).append(unquote(row.path))
+    return by_header
+
+
 def read_detector_csv(spark: SparkSession, root: str) -> DataFrame:
     """All months of all detectors under `<root>/<MM>/<det_id>.csv`.
 
-    The columns are taken from the header; a file whose header differs, or a header
-    without the needed columns, is an error. Only the eight needed columns are parsed. `month`,
-    `file_start` and `row_order` give the file order for `dedupe_first`.
+    Each file is read by its own header, so the order of columns may differ. A file that lacks a needed column or a header gives
+    rows marked `bad`, and the others go on; when no file has them all it is an error. Only the eight needed columns are
+    parsed. `month`, `file_start` and `row_order` give the file order for `dedupe_first`.
     """
-    paths = f"{root.rstrip('/')}/*/*.csv"
-    reader = spark.read.option("sep", SEP).option("header", True).option("encoding", "UTF-8")
-    header = reader.csv(paths).columns
-    missing = {UTC, *CSV_NUMERIC} - set(header)
-    if missing:
-        raise ValueError(f"columns missing in the detector files: {sorted(missing)}")
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    raw = reader.schema(schema).option("enforceSchema", False).csv(paths)
-    path = F.col("_metadata.file_path")
-    named = raw.select(
-        F.regexp_extract(path, DETECTOR_IN_PATH, 1).alias(DET),
-        F.regexp_extract(path, MONTH_IN_PATH, 1).alias("month_dir"),
-        F.col("_metadata.file_block_start").alias("file_start"),
-        UTC,
-        *[F.col(f"`{c}`") for c in CSV_NUMERIC],
-    )
-    return _typed(
-        named,
-        {
-            "month": F.col("month_dir"),
-            "file_start": F.col("file_start"),
-            "row_order": F.monotonically_increasing_id(),
-        },
-    )
+    by_header = _headers(spark, f"{root.rstrip('/')}/*/*.csv")
+    needed = [UTC, *CSV_NUMERIC]
+    lacking = [set(needed) - set(names or ()) for names in by_header]
+    if by_header and all(lacking):
+        raise ValueError(f"columns missing in the detector files: {sorted(set.intersection(*lacking))}")
+    place = F.col("_metadata.file_path")
+    parts = []
+    for names, files in sorted(by_header.items(), key=lambda x: x[0] or ()):
+        names = names or ()
+        # Columns by position: a header may name one twice.
+        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(max(1, len(names)))])
+        reader = spark.read.option("sep", SEP).option("header", bool(names)).option("encoding", "UTF-8").schema(schema)
+        cells = [F.col(f"c{names.index(c)}") if c in names else F.lit(None).cast("string") for c in needed]
+        raw = reader.csv(files).select(
+            F.regexp_extract(place, DETECTOR_IN_PATH, 1).alias(DET),
+            F.regexp_extract(place, MONTH_IN_PATH, 1).alias("month_dir"),
+            F.col("_metadata.file_block_start").alias("file_start"),
+            F.lit(bool(set(needed) - set(names))).alias("_short"),
+            *[cell.alias(c) for cell, c in zip(cells, needed)],
+        )
+        parts.append(raw)
+    if not parts:
+        columns = f"{DET} string, month_dir string, file_start long, _short boolean, " + ", ".join(f"`{c}` string" for c in needed)
+        parts = [spark.createDataFrame([], columns)]
+    order = {"month": F.col("month_dir"), "file_start": F.col("file_start"), "row_order": F.monotonically_increasing_id()}
+    typed = _typed(reduce(DataFrame.unionByName, parts), {**order, "_short": F.col("_short")})
+    return typed.withColumn("bad", F.col("bad") | F.col("_short")).drop("_short")
 
 
 def detectors_from_paths(spark: SparkSession, root: str) -> DataFrame:

@@ -66,6 +66,21 @@ def test_columns_are_found_by_name(spark, tmp_path):
         readings.read_detector_csv(spark, str(tmp_path / "bad"))
 
 
+def test_each_file_is_read_by_its_own_header(spark, root, tmp_path):
+    folder = tmp_path / "csv"
+    put(folder, "03", "TEU00004_Det0", [hour("2023-03-01 00:00:00", 7)], list(reversed(CSV_HEADER)))
+    put(folder, "03", "TEU00005_Det0", [hour("2023-03-01 00:00:00", 8)], ["utc", "qkfz"])
+    (folder / "03" / "TEU00006_Det0.csv").write_text("no;header\n1;2\n")
+    raw = readings.read_detector_csv(spark, root)
+    got = {(r.det_id, r.utc): (r.qkfz, r.bad) for r in raw.collect()}
+    assert got[("TEU00004_Det0", datetime(2023, 3, 1))] == (7.0, False)
+    assert got[("TEU00005_Det0", datetime(2023, 3, 1))] == (8.0, True)
+    assert got[("TEU00001_Det0", datetime(2023, 1, 31, 22))] == (10.0, False)
+    ids = readings.detectors_from_paths(spark, root)
+    failed = {r.det_id for r in readings.failed_detectors(ids, ids, raw).filter("failed").collect()}
+    assert failed == {"TEU00002_Det0", "TEU00005_Det0", "TEU00006_Det0"}
+
+
 def test_stamps_with_and_without_offset(spark):
     df = spark.createDataFrame(
         [("2023-08-31 22:00",), ("2023-08-31 22:00:00+00:00",), ("2023-09-01T00:00:00+02:00",), ("",), ("soon",)], "s string"
@@ -146,7 +161,7 @@ def test_archives(spark, tmp_path):
     assert {os.path.basename(r.archive) for r in errors.collect()} == {"detektoren_2023_02.tgz", "detektoren_2023_03.tgz"}
     assert sorted(os.listdir(tmp_path)) == before
     landed, errors = readings.land_archives(spark, f"{folder}/*.tgz", str(tmp_path / "landed"))
-    assert errors.count() == 1
+    assert errors.count() == 2
     assert landed.filter("month = '01'").count() == 3
 
 
