@@ -13,6 +13,7 @@ class shares are counted over all labels. Scoring is a map over whole texts: at
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -106,30 +107,34 @@ class _Bags:
 
     def __init__(self, docs: list[list[str]]):
         number: dict[str, int] = {}
-        tokens, bag, size, doc = [], [], [], []
+        tokens, bag, size, doc = array("i"), array("i"), [], []
         for d, words in enumerate(docs):
             ids = [number.setdefault(w, len(number)) for w in words]
             first = ~again(np.array(ids))
             for start in range(0, len(ids), BAG):
                 part = [i for i, f in zip(ids[start : start + BAG], first[start : start + BAG]) if f]
                 if part:
-                    tokens += part
-                    bag += [len(size)] * len(part)
+                    tokens.extend(part)
+                    bag.extend([len(size)] * len(part))
                     size.append(max(len(ids[start : start + BAG]), LEAST))
                     doc.append(d)
-        parts = [grams(w) for w in number]
+        buckets, n_grams = array("i"), []
+        for w in number:
+            own = grams(w)
+            buckets.extend(own)
+            n_grams.append(len(own))
         self.n_words, self.doc = len(number), np.array(doc)
         self.tokens, self.bag, self.size = np.array(tokens), np.array(bag), np.array(size, np.float32)[:, None]
         self.bag_starts = np.flatnonzero(np.diff(self.bag, prepend=-1))
-        grams_ = np.concatenate([np.array(p) for p in parts])
-        self.n_grams = np.array([len(p) for p in parts], np.float32)[:, None]
+        grams_ = np.array(buckets)
+        self.n_grams = np.array(n_grams, np.float32)[:, None]
         # The way back: tokens by word and n-grams by bucket.
         self.by_word = np.argsort(self.tokens, kind="stable")
         self.word_starts = np.flatnonzero(np.diff(self.tokens[self.by_word], prepend=-1))
         # Documents of each bucket, by its words (a little over the true number where words of a document share it).
         word_doc = np.unique(self.doc[self.bag].astype(np.int64) * self.n_words + self.tokens)
         docs_of_word = np.bincount(word_doc % self.n_words, minlength=self.n_words)
-        word_of = np.repeat(np.arange(self.n_words), [len(p) for p in parts])
+        word_of = np.repeat(np.arange(self.n_words, dtype=np.int32), n_grams)
         learnt = np.bincount(grams_, weights=docs_of_word[word_of], minlength=1 << BITS) >= MIN_DOCS
         kept = learnt[grams_]
         self.buckets, self.grams = np.unique(grams_[kept], return_inverse=True)  # places among the learnt buckets
@@ -239,7 +244,9 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
 
     got = sample.mapInPandas(stretches, "id string, y int, words string").toPandas()
     got = got.sort_values(["id", "words"], kind="stable")
-    found, y = [w.split() for w in got["words"]], got["y"].to_numpy(int)
+    same: dict[str, str] = {}  # one object for each distinct word
+    found, y = [[same.setdefault(w, w) for w in text.split()] for text in got["words"]], got["y"].to_numpy(int)
+    del same
     share = shares.get(1, 0) / max(1, sum(shares.values()))
     if y.min(initial=1) == y.max(initial=0) or not any(map(len, found)) or len(set(y)) < 2:
         flat = np.clip(share, 1e-9, 1 - 1e-9)
