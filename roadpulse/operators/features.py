@@ -35,19 +35,14 @@ def _fit_rows(fit_on: str, train_end: int | None):
     raise ValueError("fit_on is 'all', or 'train' with train_end")
 
 
-CALENDAR_HOURS = 1_000_000
+def calendar(spark: SparkSession, axis: Axis, zone: str = ZONE) -> DataFrame:
+    """(t_idx, how, cyclic columns) per hour of the axis.
 
-
-def calendar(spark: SparkSession, axis: Axis, zone: str = ZONE) -> DataFrame | None:
-    """(t_idx, how, cyclic columns) per hour of the axis, to be broadcast.
-
-    Zone arithmetic is then done once per hour and not once per cell. The size is the
-    length of the axis, known beforehand; beyond a century of hours there is none.
+    Zone arithmetic is then done once per hour and not once per cell. It is joined without a hint: Spark knows its
+    size from the length of the axis and broadcasts what its own limit allows.
     """
-    if axis.hours > CALENDAR_HOURS:
-        return None
     hours = time_axis(spark, axis)
-    return F.broadcast(cyclic_features(with_hour_of_week(hours, zone), zone).drop(UTC))
+    return cyclic_features(with_hour_of_week(hours, zone), zone).drop(UTC)
 
 
 def seasonal_lookup(
