@@ -3,12 +3,13 @@
 A document is the set of hashes of its distinct five-word shingles. Its sketch has `LANES` coordinates: in round i each
 element falls into a bin by a hash of its own for that round, and a coordinate keeps the least (round, hash) it gets; after
 `LANES` rounds every further round gives all elements to one bin, so at most 2 * LANES rounds fill every coordinate, and one or two do for most
-texts. The share of equal coordinates estimates the similarity with concentration like that of independent ones. `BANDS` bands of
-four coordinates then give candidates: at similarity 0.85 a pair shares no band with probability 2e-8.
+texts. The share of equal coordinates estimates the similarity with concentration like that of independent ones. Bands of some
+coordinates then give candidates; their width follows from the threshold (`band_width`): four at 85 %, where a pair shares no band with
+probability 2e-8, three at 80 % (1e-10; four would miss 3e-6).
 
 1. Documents with the same set are one class, named by its smallest id.
 2. In each band's bucket the members meet its smallest member only (a star, so a bucket gives as many pairs as it has members). Pairs
-   whose sizes or sketches rule a link out are dropped (`LEAST_LANES`: 1e-10 at 0.85), the others confirmed on full sets.
+   whose sizes or sketches rule a link out are dropped (`least_lanes`: 1e-10 at the threshold), the others confirmed on full sets.
 3. A bucket whose members are then all in one component needs nothing more: copies of one text end here, however many. For the rest,
    buckets that hang together are a cluster, and clusters are checked whole, in blocks of `BLOCK` members against each
    other, by exact intersections; a block hands on links that join components only. So no link is missed, no pair list is emitted, and no
@@ -19,6 +20,7 @@ four coordinates then give candidates: at similarity 0.85 a pair shares no band
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,11 +34,11 @@ from roadpulse.llm.components import components
 
 SHINGLE = 5
 LANES = 96
-BANDS = 24
-#: Coordinates that must be equal for a pair to be looked at: 96 * 0.85 = 82 are expected of a link.
-LEAST_LANES = 56
-#: A link: 100 * intersection >= PERCENT * union.
+#: A link: 100 * intersection >= percent * union; this one unless the caller gives another.
 PERCENT = 85
+#: Share of the links at the threshold that may have no band in common, and that may be dropped by their sketches.
+MISSED_BY_BANDS = 1e-7
+MISSED_BY_LANES = 1e-10
 BLOCK = 1500
 
 _rng = np.random.default_rng(20170402)
@@ -44,6 +46,22 @@ SEEDS = _rng.integers(1, 2**63, 2 * LANES, np.uint64)
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
+def band_width(percent: int) -> int:
+    """Coordinates of a band: as many as the threshold allows, as wide bands give fewer candidates."""
+    widths = [w for w in (8, 6, 4, 3, 2) if (1 - (percent / 100) ** w) ** (LANES // w) <= MISSED_BY_BANDS]
+    return max(widths, default=1)
+
+
+def least_lanes(percent: int) -> int:
+    """Coordinates that must be equal for a pair to be looked at: 56 at 85 %, where 82 are expected of a link."""
+    p, below = percent / 100, 0.0
+    for n in range(LANES):
+        below += math.comb(LANES, n) * p**n * (1 - p) ** (LANES - n)
+        if below > MISSED_BY_LANES:
+            return n
+    return LANES
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
@@ -78,9 +96,9 @@ def sketch(items: np.ndarray) -> np.ndarray:
     return least
 
 
-def band_keys(least: np.ndarray) -> np.ndarray:
-    rows = least.reshape(BANDS, -1)
-    h = np.arange(BANDS, dtype=np.uint64)
+def band_keys(least: np.ndarray, width: int) -> np.ndarray:
+    rows = least.reshape(-1, width)
+    h = np.arange(len(rows), dtype=np.uint64)
     for column in rows.T:
         h = mixed(h * PRIME + column)
     return h.view(np.int64)
@@ -103,13 +121,14 @@ def different_lanes(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, unequal), F.lit(0), lambda total, n: total + n)
 
 
-def linked(common: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return 100 * common >= PERCENT * (a + b - common)
+def linked(common: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    return 100 * common >= percent * (a + b - common)
 
 
-def described(docs: DataFrame, id: str, text: str) -> DataFrame:
+def described(docs: DataFrame, id: str, text: str, percent: int) -> DataFrame:
     """(id, n, digest, bands, lanes) of each row."""
     small_batches(docs.sparkSession)
+    width = band_width(percent)
     narrow = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -119,7 +138,7 @@ def described(docs: DataFrame, id: str, text: str) -> DataFrame:
                 items = shingles(text)
                 if len(items):
                     least = sketch(items)
-                    out.append((len(items), hashlib.blake2b(items.tobytes(), digest_size=16).digest(), band_keys(least), lanes(least)))
+                    out.append((len(items), hashlib.blake2b(items.tobytes(), digest_size=16).digest(), band_keys(least, width), lanes(least)))
                 else:
                     out.append((0, None, None, None))
             yield pd.DataFrame(out, columns=["n", "digest", "bands", "lanes"]).assign(id=pdf["id"].astype("Int64"))[["id", "n", "digest", "bands", "lanes"]]
@@ -143,7 +162,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, id: str, text: str) -> DataFrame
     return stored(found.join(wanted.select("id", "digest"), ["id", "digest"]).dropDuplicates(["id"]).select("id", "items"), "sets")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that are links by their full sets."""
     one = sets.select(F.col("id").alias("b"), F.col("items").alias("items_b"))
     other = sets.select(F.col("id").alias("a"), F.col("items").alias("items_a"))
@@ -154,13 +173,13 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for x, y in zip(left, right):
             x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
             both = np.sort(np.concatenate([x, y]))
-            out.append(bool(linked((both[1:] == both[:-1]).sum(), len(x), len(y))))
+            out.append(bool(linked((both[1:] == both[:-1]).sum(), len(x), len(y), percent)))
         return pd.Series(out, dtype=bool)
 
     return pairs.join(one, "b").join(other, "a").filter(is_link("items_a", "items_b")).select("a", "b")
 
 
-def block_links(ids: np.ndarray, component: np.ndarray, items: list[np.ndarray], part: np.ndarray) -> list[tuple[int, int]]:
+def block_links(ids: np.ndarray, component: np.ndarray, items: list[np.ndarray], part: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int]]:
     """Links of the members that join different components, no more than needed to join them; `part` says which of two blocks a
     member is in, and with two blocks only pairs across them count."""
     sizes = np.array([len(x) for x in items])
@@ -176,7 +195,7 @@ def block_links(ids: np.ndarray, component: np.ndarray, items: list[np.ndarray],
         has[member[own], token[own] - start] = 1
         common += has @ has.T
     two = len(set(part.tolist())) > 1
-    a, b = np.nonzero(np.triu(linked(common.astype(np.int64), sizes[:, None], sizes[None, :]) & (component[:, None] != component[None, :]), 1))
+    a, b = np.nonzero(np.triu(linked(common.astype(np.int64), sizes[:, None], sizes[None, :], percent) & (component[:, None] != component[None, :]), 1))
     parent = {c: c for c in component.tolist()}
 
     def root(c: int) -> int:
@@ -195,7 +214,7 @@ def block_links(ids: np.ndarray, component: np.ndarray, items: list[np.ndarray],
     return out
 
 
-def checked_whole(members: DataFrame, sets: DataFrame) -> DataFrame:
+def checked_whole(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between members (id, component, cluster) of a cluster that are in different components.
 
     Clusters of up to BLOCK members go together by a hash; a larger one is dealt into blocks, and each two blocks meet in a group of their own.
@@ -214,21 +233,21 @@ def checked_whole(members: DataFrame, sets: DataFrame) -> DataFrame:
         for _, own in pdf.groupby("cluster"):
             own = own.sort_values("id")
             items = [np.frombuffer(x, np.uint64) for x in own["items"]]
-            out += block_links(own["id"].to_numpy(), own["component"].to_numpy(), items, own["block"].to_numpy())
+            out += block_links(own["id"].to_numpy(), own["component"].to_numpy(), items, own["block"].to_numpy(), percent)
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return full.groupBy("group").applyInPandas(check, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per row of `docs`: id, n_shingles, component_id, kept.
 
-    Linked are documents with 100 * common >= 85 * all of their distinct five-word shingles (ASCII letters in lower case; a text of one to four words is
+    Linked are documents with 100 * common >= percent * all of their distinct five-word shingles (ASCII letters in lower case; a text of one to four words is
     one shingle); a component is all that links reach, named by its smallest id, which is kept. Documents without words, and null texts, are
     linked with nothing. Rows that repeat an id are documents of their own while their texts differ; where one id is the smallest of several classes, the
     classes are one component and one of its texts is compared. A row without an id is linked with nothing: component null, kept. Other columns are not read. An empty table gives no rows.
     """
-    rows = described(docs, id, text)
+    rows = described(docs, id, text, percent)
     usable = rows.filter("n > 0 and id is not null")
     classes = stored(usable.groupBy("digest").agg(F.min("id").alias("rep")), "classes")
     reps = usable.join(classes.withColumnRenamed("rep", "id"), ["digest", "id"], "left_semi")
@@ -245,9 +264,9 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     left = involved.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("lanes").alias("lanes_a"))
     right = involved.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("lanes").alias("lanes_b"))
     near = pairs.join(right, "b").join(left, "a").filter(
-        (100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")) & (different_lanes(F.col("lanes_a"), F.col("lanes_b")) <= LANES - LEAST_LANES)
+        (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (different_lanes(F.col("lanes_a"), F.col("lanes_b")) <= LANES - least_lanes(percent))
     )
-    links = stored(confirmed(near.select("a", "b"), sets), "star-links")
+    links = stored(confirmed(near.select("a", "b"), sets, percent), "star-links")
     first = components(links)
 
     # Buckets of three and more that still hold several components: whole clusters are checked.
@@ -256,7 +275,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     rest = stored(open_.join(unsettled, "key").select("id", "center", "component"), "unsettled")
     clusters = components(rest.select(F.col("center").alias("a"), F.col("id").alias("b")))
     members = rest.select("id", "component").distinct().join(clusters.withColumnRenamed("component", "cluster"), "id")
-    more = stored(checked_whole(members, sets), "cluster-links")
+    more = stored(checked_whole(members, sets, percent), "cluster-links")
     final = components(links.unionByName(more)) if not more.isEmpty() else first
 
     of = classes.join(final.withColumnRenamed("id", "rep"), "rep", "left")

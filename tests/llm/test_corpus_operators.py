@@ -240,6 +240,31 @@ def test_near_duplicates_are_brute_force(spark, edge_docs, edge_rows, frame):
     assert all(r["kept"] == (r["doc_id"] is None or r["doc_id"] == r["component_id"]) for r in got)
 
 
+def pairs_by_similarity(counts):
+    """Pairs of documents of 100 shingles that differ in their last words: c of the shingles are common, so the similarity is c / (200 - c)."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    rows = []
+    for c in counts:
+        head = [word() for _ in range(c + 4)]
+        rows += [(len(rows) + k, " ".join(head + [word() for _ in range(100 - c)])) for k in (0, 1)]
+    return rows
+
+
+def test_near_stage_takes_a_threshold(spark):
+    common = [88, 89, 90, 91, 92] * 8  # similarities 0.786, 0.802, 0.818, 0.835 and 0.852
+    docs = spark.createDataFrame(pairs_by_similarity(common), "doc_id long, text string").repartition(4)
+    kept = {r["doc_id"] for r in corpus_pipeline.near_stage(spark, docs, "", percent=80).collect()}
+    assert kept == {2 * i for i in range(len(common))} | {2 * i + 1 for i, c in enumerate(common) if c == 88}
+    own = {r["doc_id"] for r in near_dedup.near_duplicates(docs).filter("kept").collect()}  # op6's threshold is its own
+    assert own == {2 * i for i in range(len(common))} | {2 * i + 1 for i, c in enumerate(common) if c < 92}
+
+
+def test_filters_follow_the_threshold():
+    assert (near_dedup.band_width(85), near_dedup.least_lanes(85)) == (4, 56)
+    assert (near_dedup.band_width(80), near_dedup.least_lanes(80)) == (3, 49)
+
+
 def test_near_duplicates_of_nothing(no_docs):
     assert near_dedup.near_duplicates(no_docs).count() == 0
 
