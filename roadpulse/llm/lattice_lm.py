@@ -248,15 +248,17 @@ class Model:
 
     def log10_words(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
         """log10 probability of each word in each kind, from its training counts by kind."""
-        lattice_p = np.exp(np.maximum(lattice(self.vocabulary).log_probability(words, self.weight), -690.0))
+        # In logs throughout: the probability of a long unknown word is far below the least number.
+        lattice_p = lattice(self.vocabulary).log_probability(words, self.weight)
         words_n = max(1, self.n - int(self.docs.sum()))
         total = counts.sum(1)
         spare = DISCOUNT * self.all_types / words_n if self.all_types else 1.0
-        anywhere = (np.maximum(total - DISCOUNT, 0) / words_n)[:, None] + spare * lattice_p
         kind_n = np.maximum(1, self.tokens - self.docs)[None, :]
         kind_spare = np.where(self.types > 0, DISCOUNT * self.types / kind_n[0], 1.0)[None, :]
-        p = np.maximum(counts - DISCOUNT, 0) / kind_n + kind_spare * anywhere
-        return np.log10(p) + np.log10(1 - self.end_share())[None, :]
+        with np.errstate(divide="ignore"):  # words not seen: minus infinity
+            seen, own = np.log(np.maximum(total - DISCOUNT, 0) / words_n)[:, None], np.log(np.maximum(counts - DISCOUNT, 0) / kind_n)
+        p = np.logaddexp(own, np.log(kind_spare) + np.logaddexp(seen, np.log(spare) + lattice_p))
+        return p / LN10 + np.log10(1 - self.end_share())[None, :]
 
     def end_share(self) -> np.ndarray:
         """Of each kind's tokens, the ends; never none or all."""

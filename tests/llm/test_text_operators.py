@@ -176,6 +176,39 @@ def test_lm_scores(edge_docs, edge_rows, no_docs):
     assert lattice_lm.score(edge_docs, untrained, F.lit(False)).filter("score < 0").count() == len(edge_rows)
 
 
+def test_lm_scores_of_long_unknown_words(spark, edge_docs):
+    model = lattice_lm.train(edge_docs)
+    shapes, k = lattice_lm.lattice(lattice_lm.VOCABULARY), len(model.docs)
+    rng = random.Random(4)
+    words = ["".join(rng.choices("qxzj0189", k=n)) for n in (30, 500, 50_000)]
+
+    def brute(word, weight):
+        """Sums over the segmentations, scaled again at each place."""
+        known, longest = dict(zip(shapes.pieces, np.exp(weight))), max(shapes.lengths)
+        text, last, log = b" " + word.encode(), [1.0], 0.0  # of the places before, from far to near
+        for end in range(1, len(text) + 1):
+            x = sum(known.get(text[end - size : end], 0.0) * last[-size] for size in range(1, min(longest, end) + 1))
+            log += math.log(x)
+            last = [y / x for y in last[-longest:]] + [1.0]
+        return log
+
+    words_n = model.n - model.docs.sum()
+    spare = lattice_lm.DISCOUNT * model.all_types / words_n
+    kind_n = np.maximum(1, model.tokens - model.docs)
+    kind_spare = np.where(model.types > 0, lattice_lm.DISCOUNT * model.types / kind_n, 1.0)
+    want = np.array([[brute(w, model.weight[j]) for j in range(k)] for w in words]) / math.log(10)
+    want += np.log10(spare * kind_spare * (1 - model.end_share()))
+    got = model.log10_words([w.encode() for w in words], np.zeros((len(words), k)))
+    assert np.allclose(got, want, rtol=1e-9)
+    assert (got[1] < 10 * got[0]).all() and (got[2] < 50 * got[1]).all()
+    docs = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")
+    scores = {r["doc_id"]: r["score"] for r in lattice_lm.score(docs, model, F.lit(False)).collect()}
+    logs = want + np.log10(model.end_share()) + model.prior()
+    most = logs.max(1)
+    marginal = most + np.log10((10 ** (logs - most[:, None])).sum(1))
+    assert np.allclose([scores[i] for i in range(3)], marginal, rtol=1e-6)
+
+
 def test_folds_are_crc32(edge_docs):
     for r in edge_docs.filter("doc_id is not null").select("doc_id", language_id.held_out().alias("a"), toxicity.held_out().alias("b")).collect():
         c = zlib.crc32(str(r["doc_id"]).encode())
