@@ -1,12 +1,10 @@
 """LM scoring by subword lattices: a word's probability is summed over all its segmentations.
 
 The pieces of an existing vocabulary are the arcs of a word's lattice. Their first weights are the vocabulary's scores (merge
-ranks, read as Zipf's law); expectation steps over the distinct training words of each kind of documents then fit the weights, the
-last of them over all words.
+ranks, read as Zipf's law); expectation steps over all distinct training words then fit the weights.
 The log-space forward recursion sums over all segmentations; a piece that begins a word ends the one before it, so
-the weights of all words sum to one. That is the bottom of the model: above it stand the word counts of the training documents, and
-above these the counts within `COMPONENTS` kinds of documents, each level giving the discounted mass of its counts to the
-one below. A document's probability is the mixture over the kinds, so the score is a true log10 probability.
+the weights of all words sum to one. That is the bottom of the model: above it stand the word counts of all training documents, which
+give the discounted mass of their counts to it. So the score is a true log10 probability.
 
 Passes over the texts: one counts words, one scores. Words above 1/`HOT_SHARES` of all tokens (fewer than `HOT_SHARES`,
 whatever the corpus) are sent to the scoring tasks and scored in place. All others go, packed by chunk of documents, to the bucket of
@@ -29,18 +27,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import Query, class_sample, crc_mod, small_batches, stored, table, tokenizer_path
+from roadpulse.llm.common import Query, crc_mod, small_batches, stored, table, tokenizer_path
 
 VOCABULARY = "piece_bpe_32k.model"
-COMPONENTS = 4
-#: The kinds of documents are fitted on so many training documents and the words most of them share.
-KIND_DOCS = 2000
-KIND_WORDS = 2000
 DISCOUNT = 0.75
 HOT_SHARES = 100_000
-#: Distinct training words on which the first expectation steps run; the last runs on all.
-FIRST_WORDS = 20_000
-FIRST_STEPS = 3
+#: Expectation steps, each over all distinct training words.
+STEPS = 4
 #: (document, word) pairs after which a chunk is closed, and distinct words of a bucket.
 CHUNK_PAIRS = 800_000
 LEAST_BUCKETS = 12
@@ -117,7 +110,7 @@ class Lattice:
                 yield rows, ends
 
     def _forward(self, n_rows: int, ends, weight: np.ndarray) -> np.ndarray:
-        """Log sums up to each place, by kind and word."""
+        """Log sums up to each place, by row of weights and word."""
         alpha = np.full((len(ends) + 1, len(weight), n_rows), -np.inf)
         alpha[0] = 0
         for t, arcs in enumerate(ends, 1):
@@ -146,10 +139,6 @@ class Lattice:
                     total += np.bincount(piece, np.exp(alpha[t - size, hit] + through - alpha[-1, hit]), len(total))
         return total
 
-    def expected_by_kind(self, words: list[bytes], seen: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """`expected` for each kind, over the distinct words seen in it."""
-        return np.stack([self.expected([w for w, s in zip(words, seen[:, j]) if s], weight[j]) for j in range(len(weight))])
-
     @staticmethod
     def weights(expected: np.ndarray) -> np.ndarray:
         """Log weights; no piece is impossible."""
@@ -171,203 +160,116 @@ def lattice(vocabulary: str) -> Lattice:
     return once(("lattice", path), lambda: Lattice(path))
 
 
-@dataclass
-class Kinds:
-    """Kinds of documents: a mixture of word distributions over some common words."""
-
-    words: list[bytes]
-    log: np.ndarray  # word, kind
-    prior: np.ndarray
-
-    def of(self, place: dict[bytes, int], counts: dict[bytes, int]) -> int:
-        words = [w for w in counts if w in place]
-        rows = [place[w] for w in words]
-        return int((np.array([counts[w] for w in words], float) @ self.log[rows] + self.prior).argmax())
-
-
-def fit_kinds(docs: DataFrame, id: str, text: str, k: int) -> Kinds:
-    """From a sample by hash of the id; starts from documents that differ most and doesn't depend on the files' order."""
-    ids = docs.select(F.col(id).cast("string").alias("id"), F.lit(0).alias("all")).filter("id is not null")
-    chosen = class_sample(ids, "all", F.xxhash64("id"), KIND_DOCS).select("id").distinct()
-    texts = docs.select(F.col(id).cast("string").alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id", "left_semi")
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for i, t in zip(pdf["id"], pdf["text"]):
-                c = Counter(words_of(t))
-                out.append((i, b" ".join(c), np.array(list(c.values()), "<u4").tobytes()))
-            yield pd.DataFrame(out, columns=["id", "words", "n"])
-
-    got = texts.mapInPandas(count, "id string, words binary, n binary").toPandas().sort_values(["id", "words"], kind="stable")
-    found = [(bytes(w).split(b" ") if w else [], np.frombuffer(n, "<u4")) for w, n in zip(got["words"], got["n"])]
-    shared = Counter(w for words, _ in found for w in words)
-    common = [w for w, _ in sorted(shared.items(), key=lambda x: (-x[1], x[0]))[:KIND_WORDS]]
-    place = {w: i for i, w in enumerate(common)}
-    x = np.zeros((len(found), len(common)))
-    for row, (words, n) in zip(x, found):
-        at = [place.get(w, -1) for w in words]
-        keep = np.array(at, int) >= 0
-        row[np.array(at, int)[keep]] = n[keep]
-    x = x[x.sum(1) > 0]
-    if not len(x):
-        return Kinds([], np.zeros((0, k)), np.zeros(k))
-    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-    seeds = [int(x.sum(1).argmax())]
-    while len(seeds) < k:
-        seeds.append(int((unit @ unit[seeds].T).max(1).argmin()))
-    of = (unit @ unit[seeds].T).argmax(1)
-    for _ in range(15):
-        log = np.log(np.stack([x[of == j].sum(0) for j in range(k)], 1) + 0.1)
-        log -= np.logaddexp.reduce(log, axis=0)
-        prior = np.log((np.bincount(of, minlength=k) + 1) / (len(of) + k))
-        of = (x @ log + prior).argmax(1)
-    return Kinds(common, log, prior)
-
-
 @dataclass
 class Model:
-    kinds: Kinds
-    docs: np.ndarray  # training documents of each kind
-    tokens: np.ndarray  # training tokens of each kind, ends included
-    types: np.ndarray  # distinct words of each kind
-    all_types: int  # distinct words
-    weight: np.ndarray  # kind, piece: log weights
+    docs: int  # training documents
+    tokens: int  # training tokens, ends included
+    types: int  # distinct words
+    weight: np.ndarray  # log weights of the pieces
     vocabulary: str
     hot: list[bytes]
-    hot_counts: np.ndarray  # word, kind
+    hot_counts: np.ndarray
 
     @property
     def n(self) -> int:
-        return int(self.tokens.sum())
+        return self.tokens
 
     @property
     def v(self) -> int:
         """Distinct tokens, the end included."""
-        return self.all_types + int(self.docs.sum() > 0)
+        return self.types + int(self.docs > 0)
 
     def log10_words(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-        """log10 probability of each word in each kind, from its training counts by kind."""
+        """log10 probability of each word, from its training count (counts in columns are added up)."""
         # In logs throughout: the probability of a long unknown word is far below the least number.
-        lattice_p = lattice(self.vocabulary).log_probability(words, self.weight)
-        words_n = max(1, self.n - int(self.docs.sum()))
-        total = counts.sum(1)
-        spare = DISCOUNT * self.all_types / words_n if self.all_types else 1.0
-        kind_n = np.maximum(1, self.tokens - self.docs)[None, :]
-        kind_spare = np.where(self.types > 0, DISCOUNT * self.types / kind_n[0], 1.0)[None, :]
+        lattice_p = lattice(self.vocabulary).log_probability(words, self.weight[None, :])[:, 0]
+        total = counts.sum(1) if counts.ndim > 1 else counts
+        words_n = max(1, self.tokens - self.docs)
+        spare = DISCOUNT * self.types / words_n if self.types else 1.0
         with np.errstate(divide="ignore"):  # words not seen: minus infinity
-            seen, own = np.log(np.maximum(total - DISCOUNT, 0) / words_n)[:, None], np.log(np.maximum(counts - DISCOUNT, 0) / kind_n)
-        p = np.logaddexp(own, np.log(kind_spare) + np.logaddexp(seen, np.log(spare) + lattice_p))
-        return p / LN10 + np.log10(1 - self.end_share())[None, :]
+            seen = np.log(np.maximum(total - DISCOUNT, 0) / words_n)
+        return np.logaddexp(seen, np.log(spare) + lattice_p) / LN10 + np.log10(1 - self.end_share())
 
-    def end_share(self) -> np.ndarray:
-        """Of each kind's tokens, the ends; never none or all."""
+    def end_share(self) -> float:
+        """Of all tokens, the ends; never none or all."""
         return (self.docs + 0.5) / (self.tokens + 1.0)
 
-    def prior(self) -> np.ndarray:
-        return np.log10((self.docs + 1) / (self.docs.sum() + len(self.docs)))
-
 
-def count_words(docs: DataFrame, id: str, text: str, kinds: Kinds) -> DataFrame:
-    """(word, c_0, c_1, ..): training counts by kind; the word null holds the documents."""
-    sent = docs.sparkSession.sparkContext.broadcast(kinds)
-    k = len(kinds.prior)
+def count_words(docs: DataFrame, text: str) -> DataFrame:
+    """(word, n): training counts; the word null holds the documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = sent.value
-        place = {w: i for i, w in enumerate(kinds.words)}
-        seen = [Counter() for _ in range(k)]
+        seen: Counter = Counter()
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            for j, c in enumerate(seen):
-                columns = [pa.array(c.keys(), pa.binary()), pa.array(np.full(len(c), j, np.int32)), pa.array(c.values(), pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["word", "kind", "n"])
-                c.clear()
+        def flush() -> pa.RecordBatch:
+            columns = [pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())]
+            seen.clear()
+            return pa.RecordBatch.from_arrays(columns, ["word", "n"])
 
         for batch in batches:
             for t in batch.column(0):
-                c = Counter(words_of(t.as_py()))
-                own = seen[kinds.of(place, c)]
-                own.update(c)
-                own[None] += 1
-                if sum(map(len, seen)) >= COUNTED_WORDS:
-                    yield from flush()
-        yield from flush()
+                seen.update(words_of(t.as_py()))
+                seen[None] += 1
+                if len(seen) >= COUNTED_WORDS:
+                    yield flush()
+        yield flush()
 
-    pairs = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(count, "word binary, kind int, n long")
-    return pairs.groupBy("word").agg(*[F.sum(F.when(F.col("kind") == j, F.col("n")).otherwise(0)).alias(f"c{j}") for j in range(k)])
+    pairs = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(count, "word binary, n long")
+    return pairs.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, id: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY, components: int = COMPONENTS) -> Model:
+def train(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY) -> Model:
     """Learn from all rows of `docs`. Without rows the model knows the vocabulary's scores only."""
     spark = docs.sparkSession
     small_batches(spark)
-    kinds = fit_kinds(docs, id, text, components)
-    counts = stored(count_words(docs, id, text, kinds), "word-counts")
-    names = [f"c{j}" for j in range(components)]
+    counts = stored(count_words(docs, text), "word-counts")
     words = counts.filter("word is not null")
-    sums = words.agg(
-        F.count(F.lit(1)).alias("types"),
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names],
-        *[F.count(F.when(F.col(c) > 0, 1)).alias(f"t{c}") for c in names],
-    ).collect()[0]
-    ends = counts.filter("word is null").select(*names).collect()
-    n_docs = np.array(ends[0] if ends else [0] * components, np.int64)
-    tokens = np.array([sums[c] for c in names], np.int64) + n_docs
+    types, n_words = words.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).collect()[0]
+    ends = counts.filter("word is null").collect()
+    n_docs = ends[0]["n"] if ends else 0
 
     shapes = lattice(vocabulary)
-    least = F.xxhash64("word")
-    share = min(1.0, 2 * FIRST_WORDS / max(1, sums["types"]))
-    some = words.filter(F.pmod(least, F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(least, "word").limit(FIRST_WORDS)
-    first = some.collect()
-    weight = np.tile(shapes.start, (components, 1))
-    if first:
-        seen = np.array([[r[c] for c in names] for r in first]) > 0
-        for _ in range(FIRST_STEPS):
-            weight = shapes.weights(shapes.expected_by_kind([bytes(r["word"]) for r in first], seen, weight))
-        sent = spark.sparkContext.broadcast(weight)
-
-        def expect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            shapes = lattice(vocabulary)
-            total = np.zeros_like(sent.value)
-            held: list[pd.DataFrame] = []
-
-            def add() -> None:
-                # Many words at a time: the arrays of one word length should be long.
-                pdf = pd.concat(held)
-                held.clear()
-                total[:] += shapes.expected_by_kind([bytes(w) for w in pdf["word"]], pdf[names].to_numpy() > 0, sent.value)
-
-            for pdf in batches:
-                held.append(pdf)
-                if sum(map(len, held)) >= 100_000:
-                    add()
-            if held:
-                add()
-            kind, piece = np.nonzero(total)
-            yield pd.DataFrame({"kind": kind.astype(np.int32), "piece": piece.astype(np.int32), "n": total[kind, piece]})
-
-        found = words.mapInPandas(expect, "kind int, piece int, n double").groupBy("kind", "piece").agg(F.sum("n").alias("n")).collect()
-        expected = np.zeros_like(weight)
-        expected[[r["kind"] for r in found], [r["piece"] for r in found]] = [r["n"] for r in found]
-        weight = shapes.weights(expected)
-
-    total = sum(F.col(c) for c in names)
-    hot = words.filter(total * HOT_SHARES > int(tokens.sum())).collect()
+    weight = shapes.start
+    for _ in range(STEPS if types else 0):
+        weight = shapes.weights(_expected(words, weight, vocabulary))
+
+    hot = words.filter(F.col("n") * HOT_SHARES > n_words + n_docs).collect()
     hot.sort(key=lambda r: bytes(r["word"]))
     return Model(
-        kinds,
         n_docs,
-        tokens,
-        np.array([sums[f"t{c}"] for c in names], np.int64),
-        sums["types"],
+        n_words + n_docs,
+        types,
         weight,
         vocabulary,
         [bytes(r["word"]) for r in hot],
-        np.array([[r[c] for c in names] for r in hot], np.float64).reshape(len(hot), components),
+        np.array([r["n"] for r in hot], np.float64),
     )
 
 
+def _expected(words: DataFrame, weight: np.ndarray, vocabulary: str) -> np.ndarray:
+    """How often each piece is used, expected over the segmentations of all distinct words."""
+    sent = words.sparkSession.sparkContext.broadcast(weight)
+
+    def expect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shapes = lattice(vocabulary)
+        total = np.zeros_like(sent.value)
+        held: list[bytes] = []
+        for pdf in batches:
+            held += map(bytes, pdf["word"])
+            # Many words at a time: the arrays of one word length should be long.
+            if len(held) >= 100_000:
+                total += shapes.expected(held, sent.value)
+                held = []
+        total += shapes.expected(held, sent.value)
+        piece = np.flatnonzero(total)
+        yield pd.DataFrame({"piece": piece.astype(np.int32), "n": total[piece]})
+
+    found = words.select("word").mapInPandas(expect, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()
+    expected = np.zeros_like(weight)
+    expected[[r["piece"] for r in found]] = [r["n"] for r in found]
+    return expected
+
+
 def _packed(words: list[bytes], word: np.ndarray, pairs: np.ndarray, n_buckets: int) -> Iterator[tuple[int, bytes]]:
     """(bucket, its words, their numbers of pairs, the pairs in that order); `word` holds each pair's place in `words`."""
     bucket = np.array([zlib.crc32(w) % n_buckets for w in words], np.int64)
@@ -404,30 +306,28 @@ def score(docs: DataFrame, model: Model, learnt: Column, id: str = "doc_id", tex
     small_batches(spark)
     sent = spark.sparkContext.broadcast(model)
     number = zlib.crc32(model.weight.tobytes()) ^ zlib.crc32(model.hot_counts.tobytes()) ^ model.n
-    n_buckets = max(LEAST_BUCKETS, -(-model.all_types // BUCKET_WORDS))
-    k = len(model.docs)
+    n_buckets = max(LEAST_BUCKETS, -(-model.types // BUCKET_WORDS))
     narrow = docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"), learnt.alias("learnt"))
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m: Model = sent.value
         hot = once(("hot", number), lambda: {w: i for i, w in enumerate(m.hot)})
-        log = once(("hot-log", number), lambda: m.log10_words(m.hot, m.hot_counts) if m.hot else np.zeros((0, k)))
-        base, get = np.log10(m.hot_counts.sum(1) + 1), hot.get
-        place = {w: i for i, w in enumerate(m.kinds.words)}
+        log = once(("hot-log", number), lambda: m.log10_words(m.hot, m.hot_counts))
+        base, get = np.log10(m.hot_counts + 1), hot.get
         chunk = TaskContext.get().partitionId() << 24
         rows, rare, word, pairs = [], {}, array("q"), array("Q")
 
         def flush() -> pd.DataFrame:
             blobs = _packed(list(rare), np.array(word), np.array(pairs), n_buckets)
             blobs = pd.DataFrame(blobs, columns=["bucket", "blob"])
-            found = pd.DataFrame(rows, columns=["id", "learnt", "n_tokens", "n_known", "base", "logs", "place"])
+            found = pd.DataFrame(rows, columns=["id", "learnt", "n_tokens", "n_known", "base", "log", "place"])
             frame = pd.concat([found.assign(bucket=-1), blobs])[["bucket", "blob", *found.columns]]
             return frame.assign(chunk=chunk).astype({"n_tokens": "Int64", "n_known": "Int64", "place": "Int64"})
 
         for pdf in batches:
             for i, text, own in zip(pdf["id"], pdf["text"], pdf["learnt"]):
                 c = Counter(words_of(text))
-                ref = (len(rows) << 4 | (m.kinds.of(place, c) + 1 if own else 0)) << 32
+                ref = (len(rows) << 4 | bool(own)) << 32
                 at = np.array([get(w, -1) for w in c], int)
                 n = np.array(list(c.values()), float)
                 is_hot = at >= 0
@@ -436,7 +336,7 @@ def score(docs: DataFrame, model: Model, learnt: Column, id: str = "doc_id", tex
                         word.append(rare.setdefault(w, len(rare)))
                         pairs.append(ref | min(c[w], 0xFFFFFFFF))
                 at, n = at[is_hot], n[is_hot]
-                rows.append((i, own, c.total() + 1, int(n.sum()), float(n @ base[at]), (n @ log[at]).astype("<f8").tobytes(), len(rows)))
+                rows.append((i, own, c.total() + 1, int(n.sum()), float(n @ base[at]), float(n @ log[at]), len(rows)))
                 if len(pairs) >= CHUNK_PAIRS:
                     yield flush()
                     chunk, rows, rare, word, pairs = chunk + 1, [], {}, array("q"), array("Q")
@@ -444,28 +344,26 @@ def score(docs: DataFrame, model: Model, learnt: Column, id: str = "doc_id", tex
             yield flush()
 
     kind = dict(narrow.dtypes)["id"]
-    doc_columns = f"id {kind}, learnt boolean, n_tokens long, n_known long, base double, logs binary, place long"
+    doc_columns = f"id {kind}, learnt boolean, n_tokens long, n_known long, base double, log double, place long"
     dealt = stored(narrow.mapInPandas(deal, f"bucket int, blob binary, {doc_columns}, chunk long"), "lm-chunks")
 
-    partial = np.dtype([("doc", "<u4"), ("known", "<f8"), ("base", "<f8"), ("logs", "<f4", (k,))])
+    partial = np.dtype([("doc", "<u4"), ("known", "<f8"), ("base", "<f8"), ("log", "<f8")])
 
     def look_up(pdf: pd.DataFrame) -> pd.DataFrame:
         m: Model = sent.value
         number_of: dict[bytes, int] = {}
-        parts, used = [], np.zeros((1, k))
+        parts, used = [], np.zeros(1)
         for blob in pdf["blob"]:
             words, sizes, pairs = _unpacked(blob)
             word = np.repeat(np.array([number_of.setdefault(w, len(number_of)) for w in words], np.int32), sizes)
             parts.append((word, pairs))
             if len(number_of) > len(used):
-                used = np.concatenate([used, np.zeros((len(number_of) + len(used), k))])
-            kind = ((pairs >> np.uint64(32)) & np.uint64(15)).astype(np.int64)
-            own = kind > 0
-            np.add.at(used, (word[own], kind[own] - 1), (pairs[own] & np.uint64(0xFFFFFFFF)).astype(float))
+                used = np.concatenate([used, np.zeros(len(number_of) + len(used))])
+            own = (pairs >> np.uint64(32)) & np.uint64(15) > 0
+            np.add.at(used, word[own], (pairs[own] & np.uint64(0xFFFFFFFF)).astype(float))
         counts = used[: len(number_of)]
         log = m.log10_words(list(number_of), counts)
-        total = counts.sum(1)
-        base = np.log10(total + 1)
+        base = np.log10(counts + 1)
         out = []
         for chunk, (word, pairs) in zip(pdf["chunk"], parts):
             times = (pairs & np.uint64(0xFFFFFFFF)).astype(float)
@@ -473,9 +371,8 @@ def score(docs: DataFrame, model: Model, learnt: Column, id: str = "doc_id", tex
             found = np.zeros(len(docs), partial)
             found["doc"] = docs
             found["base"] = np.bincount(of, times * base[word])
-            found["known"] = np.bincount(of, times * (total > 0)[word])
-            for j in range(k):
-                found["logs"][:, j] = np.bincount(of, times * log[word, j])
+            found["known"] = np.bincount(of, times * (counts > 0)[word])
+            found["log"] = np.bincount(of, times * log[word])
             out.append((chunk, found.tobytes()))
         return pd.DataFrame(out, columns=["chunk", "sums"])
 
@@ -484,19 +381,14 @@ def score(docs: DataFrame, model: Model, learnt: Column, id: str = "doc_id", tex
     def finish(pdf: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
         m: Model = sent.value
         pdf = pdf.sort_values("place")
-        total = np.zeros((len(pdf), 2 + k))
-        total[:, 0], total[:, 1] = pdf["base"], pdf["n_known"]
-        total[:, 2:] = np.stack([np.frombuffer(b, "<f8") for b in pdf["logs"]])
+        total = pdf[["base", "n_known", "log"]].to_numpy(float)
         for blob in parts["sums"]:
             part = np.frombuffer(blob, partial)
-            total[part["doc"]] += np.column_stack([part["base"], part["known"], part["logs"]])
+            total[part["doc"]] += np.column_stack([part["base"], part["known"], part["log"]])
         n = pdf["n_tokens"].to_numpy(np.int64)
-        ends = int(m.docs.sum())
-        base = total[:, 0] + np.log10(ends + 1) - n * np.log10(m.n + m.v + 1)
-        logs = total[:, 2:] + np.log10(m.end_share()) + m.prior()
-        most = logs.max(1)
-        out = pdf[["id", "learnt"]].assign(n_tokens=n, n_known=np.round(total[:, 1]).astype(np.int64) + (ends > 0), base_score=base)
-        return out.assign(score=most + np.log10((10 ** (logs - most[:, None])).sum(1)))
+        base = total[:, 0] + np.log10(m.docs + 1) - n * np.log10(m.n + m.v + 1)
+        out = pdf[["id", "learnt"]].assign(n_tokens=n, n_known=np.round(total[:, 1]).astype(np.int64) + (m.docs > 0), base_score=base)
+        return out.assign(score=total[:, 2] + np.log10(m.end_share()))
 
     heads = dealt.filter("bucket < 0").drop("bucket", "blob")
     found = heads.groupBy("chunk").cogroup(looked.groupBy("chunk")).applyInPandas(

@@ -178,13 +178,13 @@ def test_lm_scores(edge_docs, edge_rows, no_docs):
 
 def test_lm_scores_of_long_unknown_words(spark, edge_docs):
     model = lattice_lm.train(edge_docs)
-    shapes, k = lattice_lm.lattice(lattice_lm.VOCABULARY), len(model.docs)
+    shapes = lattice_lm.lattice(lattice_lm.VOCABULARY)
     rng = random.Random(4)
     words = ["".join(rng.choices("qxzj0189", k=n)) for n in (30, 500, 50_000)]
 
-    def brute(word, weight):
+    def brute(word):
         """Sums over the segmentations, scaled again at each place."""
-        known, longest = dict(zip(shapes.pieces, np.exp(weight))), max(shapes.lengths)
+        known, longest = dict(zip(shapes.pieces, np.exp(model.weight))), max(shapes.lengths)
         text, last, log = b" " + word.encode(), [1.0], 0.0  # of the places before, from far to near
         for end in range(1, len(text) + 1):
             x = sum(known.get(text[end - size : end], 0.0) * last[-size] for size in range(1, min(longest, end) + 1))
@@ -192,21 +192,40 @@ def test_lm_scores_of_long_unknown_words(spark, edge_docs):
             last = [y / x for y in last[-longest:]] + [1.0]
         return log
 
-    words_n = model.n - model.docs.sum()
-    spare = lattice_lm.DISCOUNT * model.all_types / words_n
-    kind_n = np.maximum(1, model.tokens - model.docs)
-    kind_spare = np.where(model.types > 0, lattice_lm.DISCOUNT * model.types / kind_n, 1.0)
-    want = np.array([[brute(w, model.weight[j]) for j in range(k)] for w in words]) / math.log(10)
-    want += np.log10(spare * kind_spare * (1 - model.end_share()))
-    got = model.log10_words([w.encode() for w in words], np.zeros((len(words), k)))
+    spare = lattice_lm.DISCOUNT * model.types / (model.n - model.docs)
+    want = np.array([brute(w) for w in words]) / math.log(10) + np.log10(spare * (1 - model.end_share()))
+    got = model.log10_words([w.encode() for w in words], np.zeros(len(words)))
     assert np.allclose(got, want, rtol=1e-9)
-    assert (got[1] < 10 * got[0]).all() and (got[2] < 50 * got[1]).all()
+    assert got[1] < 10 * got[0] and got[2] < 50 * got[1]
     docs = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")
     scores = {r["doc_id"]: r["score"] for r in lattice_lm.score(docs, model, F.lit(False)).collect()}
-    logs = want + np.log10(model.end_share()) + model.prior()
-    most = logs.max(1)
-    marginal = most + np.log10((10 ** (logs - most[:, None])).sum(1))
-    assert np.allclose([scores[i] for i in range(3)], marginal, rtol=1e-6)
+    assert np.allclose([scores[i] for i in range(3)], want + np.log10(model.end_share()), rtol=1e-9)
+
+
+def test_lm_learns_from_all_documents(spark):
+    rng = random.Random(6)
+    shared = [f"common{i}" for i in range(40)]
+    rows = [(i, " ".join(rng.choices(shared, k=30))) for i in range(3000)]
+    rare = [f"wörd{i}ß" for i in range(50)]  # of one document in 1,000, which shares no word with the others
+    rows += [(10_000 + i, " ".join(rng.choices(rare, k=30))) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    model = lattice_lm.train(docs)
+    counts = Counter(w for _, t in rows for w in lattice_lm.words_of(t))
+    # The weights are those of the steps over all distinct words, on one machine.
+    shapes = lattice_lm.lattice(lattice_lm.VOCABULARY)
+    weight = shapes.start
+    for _ in range(lattice_lm.STEPS):
+        weight = shapes.weights(shapes.expected(sorted(counts), weight))
+    assert np.allclose(model.weight, weight)
+    # Every score is the product of what all counts say, whatever the sort of document.
+    n = sum(counts.values())
+    assert (model.docs, model.types, model.n) == (len(rows), len(counts), n + len(rows))
+    lattice_p = dict(zip(counts, np.exp(shapes.log_probability(list(counts), weight[None, :])[:, 0])))
+    p = {w: (c - lattice_lm.DISCOUNT * (1 - len(counts) * lattice_p[w])) / n for w, c in counts.items()}
+    end = model.end_share()
+    want = {i: sum(math.log10(p[w] * (1 - end)) for w in lattice_lm.words_of(t)) + math.log10(end) for i, t in rows}
+    got = {r["doc_id"]: r["score"] for r in lattice_lm.score(docs, model, F.lit(True)).collect()}
+    assert np.allclose([got[i] for i in want], list(want.values()))
 
 
 def test_folds_are_crc32(edge_docs):
