@@ -30,6 +30,7 @@ MAX_WORDS = 400
 MIN_DOCS = 8
 #: Of the sample, one in so many documents is kept from the training and fits the document's probability.
 CALIBRATE = 4
+LONGEST = 64
 BITS = 17
 DIM = 6
 BAG = 12
@@ -43,12 +44,27 @@ EDGES = ".,;:!?\"'`()[]{}<>|*#%&$_~^=+-/\\"
 
 
 def words_of(text: str | None) -> list[str]:
-    return (text or "").lower().split()
+    """Words in lower case; one of more than `LONGEST` characters as overlapping parts that each count as a word.
+
+    Scripts without spaces, and words joined by dots or the like, give such words. A part begins each `LONGEST / 2` characters, so what is no
+    longer than that lies whole in one of them.
+    """
+    words = (text or "").lower().split()
+    if max(map(len, words), default=0) <= LONGEST:
+        return words
+    out = []
+    for word in words:
+        if len(word) > LONGEST and len(word := word.strip(EDGES)) > LONGEST:
+            step = LONGEST // 2
+            out += [word[i : i + LONGEST] for i in range(0, len(word) - step, step)]
+        else:
+            out.append(word)
+    return out
 
 
 def grams(word: str) -> list[int]:
     """Bucket numbers of a word's n-grams of 3 to 5 characters and of the word itself."""
-    word = f"<{word.strip(EDGES)[:64]}>"
+    word = f"<{word.strip(EDGES)}>"
     parts = [word[i : i + n] for n in (3, 4, 5) for i in range(len(word) - n + 1)]
     return [zlib.crc32(p.encode("utf-8", "replace")) & ((1 << BITS) - 1) for p in (*parts, word + "=")]
 

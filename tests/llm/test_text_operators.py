@@ -85,6 +85,25 @@ def test_toxicity_generalises_to_misspellings(spark, edge_docs, edge_rows, no_do
     assert toxicity.score(frame.limit(2), flat).first()["_toxicity"] < 1e-6
 
 
+def test_toxicity_reads_long_words_whole(spark):
+    plain = ["idiot's", "x" * 64, "(" + "y" * 64 + ").", "-" * 100]
+    assert toxicity.words_of(" ".join(plain)) == [*plain[:2], "y" * 64, ""]
+    rng = random.Random(2)
+    for n in (65, 95, 96, 97, 128, 1000):
+        word = "".join(rng.choices("abcdefghij", k=n))
+        parts = toxicity.words_of(f"a {word} b")
+        assert (parts[0], parts[-1]) == ("a", "b") and max(map(len, parts)) <= 64
+        assert all(any(word[i : i + 32] in p for p in parts) for i in range(n - 31))
+    clean = ["tha ing", "erthe", "onre", "tion", "hean", "ster", "andre", "oulyr"]
+    rows = [(i, " ".join(rng.choices(clean, k=rng.randint(5, 60)) + ["idiot"] * (i % 3 == 0)), int(i % 3 == 0)) for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(frame, frame.select("doc_id", "toxic"))
+    head, tail = "tion.hean.ster.andre.oulyr." * 4, "onre.tion" * 10
+    texts = [head + tail, head + "idiot.idiot.idiot.idiot.idiot.idiot." + tail]
+    got = [r["_toxicity"] for r in toxicity.score(spark.createDataFrame([(t,) for t in texts], "text string"), model).collect()]
+    assert got[1] > got[0]
+
+
 def test_language_id(spark, edge_docs, edge_rows, no_docs):
     model = language_id.fit(edge_docs)
     found = language_id.identify(edge_docs, model, out="found")
