@@ -6,8 +6,9 @@ in a long text would vanish in one mean, so a text is judged by its worst bag of
 logistic fit turns that into the document's probability. Only the label of whole documents is known: bags of toxic
 documents all count as toxic first, then only those that the model so far finds toxic, at least one a document.
 
-The fit takes a bounded sample of labelled rows (`PER_CLASS` a label by hash of the id, at most `MAX_WORDS` words of each);
-class shares are counted over all labels. Scoring is a map over whole texts: at that point a word is one number, kept in a bounded cache.
+The fit takes a bounded sample of labelled rows (`PER_CLASS` a label by hash of the id), their texts whole: the driver holds a number for each
+word of the rows trained on, and the executors find the worst bags of the rows that fit the probability. Class shares are counted over
+all labels. Scoring is a map over whole texts: at that point a word is one number, kept in a bounded cache.
 """
 
 from __future__ import annotations
@@ -22,10 +23,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import Query, class_sample, crc_mod, small_batches, table
+from roadpulse.llm.common import Query, class_sample, crc_mod, small_batches, stored, table
 
 PER_CLASS = {1: 1500, 0: 4000}
-MAX_WORDS = 400
 #: An n-gram's vector is learnt from so many sample documents at least; rarer ones stay zero.
 MIN_DOCS = 8
 #: Of the sample, one in so many documents is kept from the training and fits the document's probability.
@@ -121,31 +121,30 @@ class WordScores(dict):
 class _Bags:
     """Training bags as index arrays: bag -> words -> n-gram buckets."""
 
-    def __init__(self, docs: list[list[str]]):
-        number: dict[str, int] = {}
-        tokens, bag, size, doc = array("i"), array("i"), [], []
-        for d, words in enumerate(docs):
-            ids = [number.setdefault(w, len(number)) for w in words]
-            first = ~again(np.array(ids))
-            for start in range(0, len(ids), BAG):
-                part = [i for i, f in zip(ids[start : start + BAG], first[start : start + BAG]) if f]
-                if part:
-                    tokens.extend(part)
-                    bag.extend([len(size)] * len(part))
-                    size.append(max(len(ids[start : start + BAG]), LEAST))
-                    doc.append(d)
+    def __init__(self, docs: list[np.ndarray], names: list[str]):
+        """Of each document the numbers of its words in `names`, in their order."""
+        tokens, bag, size, doc, n_bags = [], [], [], [], 0
+        for d, ids in enumerate(docs):
+            first = ~again(ids)
+            own = np.arange(len(ids), dtype=np.int32) // BAG
+            kept, at = np.unique(own[first], return_inverse=True)  # bags that hold a word
+            tokens.append(ids[first])
+            bag.append((at + n_bags).astype(np.int32))
+            size.append(np.maximum(np.bincount(own), LEAST)[kept])
+            doc.append(np.full(len(kept), d, np.int32))
+            n_bags += len(kept)
         buckets, n_grams = array("i"), []
-        for w in number:
+        for w in names:
             own = grams(w)
             buckets.extend(own)
             n_grams.append(len(own))
-        self.n_words, self.doc = len(number), np.array(doc)
-        self.tokens, self.bag, self.size = np.array(tokens), np.array(bag), np.array(size, np.float32)[:, None]
+        self.n_words, self.doc = len(names), np.concatenate(doc)
+        self.tokens, self.bag, self.size = np.concatenate(tokens), np.concatenate(bag), np.concatenate(size).astype(np.float32)[:, None]
         self.bag_starts = np.flatnonzero(np.diff(self.bag, prepend=-1))
         grams_ = np.array(buckets)
         self.n_grams = np.array(n_grams, np.float32)[:, None]
         # The way back: tokens by word and n-grams by bucket.
-        self.by_word = np.argsort(self.tokens, kind="stable")
+        self.by_word = np.argsort(self.tokens, kind="stable").astype(np.int32)
         self.word_starts = np.flatnonzero(np.diff(self.tokens[self.by_word], prepend=-1))
         # Documents of each bucket, by its words (a little over the true number where words of a document share it).
         word_doc = np.unique(self.doc[self.bag].astype(np.int64) * self.n_words + self.tokens)
@@ -162,13 +161,13 @@ class _Bags:
         self.bucket_starts = np.flatnonzero(np.diff(self.grams[by_bucket], prepend=-1))
 
 
-def train(docs: list[list[str]], labels: np.ndarray, seed: int = 7) -> tuple[np.ndarray, float, np.ndarray]:
+def train(docs: list[np.ndarray], names: list[str], labels: np.ndarray, seed: int = 7) -> tuple[np.ndarray, float, np.ndarray]:
     """Embeddings and softmax together, by gradient steps on all bags. Gives the score of each bucket and the bias.
 
     Steps are scaled by the running size of the gradient, but by no less than that of the frequent n-grams: else rare ones would move as
     fast as they and the sample be learnt by heart.
     """
-    data = _Bags(docs)
+    data = _Bags(docs, names)
     rng = np.random.default_rng(seed)
     weights = {
         "e": rng.normal(0, 0.1, (len(data.buckets), DIM)).astype(np.float32),
@@ -247,35 +246,46 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     shares = {r["y"]: r["n"] for r in marks.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     texts = docs.filter(F.col(id).isNotNull()).select(F.col(id).alias("id"), F.col(text).alias("text"))
     chosen = class_sample(marks, "y", F.xxhash64("id"), PER_CLASS)
-    sample = texts.join(F.broadcast(chosen.select("id", "y")), "id")  # at most the rows of PER_CLASS
+    chosen = chosen.select("id", "y", (F.col("_rank") % CALIBRATE == 1).alias("apart"))
+    sample = stored(texts.join(F.broadcast(chosen), "id"), "labelled")  # at most the rows of PER_CLASS, should ids not repeat
+    parts = {(r["apart"], r["y"]) for r in sample.select("apart", "y").distinct().collect()}
+    whole = len(parts) < 4  # too few rows to keep some apart
+    share = shares.get(1, 0) / max(1, sum(shares.values()))
 
-    def stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for i, text, y in zip(pdf["id"], pdf["text"], pdf["y"]):
-                words = words_of(text)
-                start = zlib.crc32(str(i).encode()) % max(1, len(words) - MAX_WORDS + 1)
-                out.append((str(i), int(y), " ".join(words[start : start + MAX_WORDS])))
-            yield pd.DataFrame(out, columns=["id", "y", "words"])
-
-    got = sample.mapInPandas(stretches, "id string, y int, words string").toPandas()
-    got = got.sort_values(["id", "words"], kind="stable")
-    same: dict[str, str] = {}  # one object for each distinct word
-    found, y = [[same.setdefault(w, w) for w in text.split()] for text in got["words"]], got["y"].to_numpy(int)
-    del same
-    share = shares.get(1, 0) / max(1, sum(shares.values()))
-    if y.min(initial=1) == y.max(initial=0) or not any(map(len, found)) or len(set(y)) < 2:
+                number: dict[str, int] = {}
+                ids = [number.setdefault(w, len(number)) for w in words_of(text)]
+                out.append((str(i), int(y), " ".join(number), np.array(ids, "<i4").tobytes()))
+            yield pd.DataFrame(out, columns=["id", "y", "words", "ids"])
+
+    got = sample.filter(F.lit(whole) | ~F.col("apart")).mapInPandas(numbered, "id string, y int, words string, ids binary").toPandas()
+    got = got.sort_values(["id", "words", "ids"], kind="stable")
+    number: dict[str, int] = {}
+    found, y = [], got["y"].to_numpy(int)
+    for words, ids in zip(got["words"], got["ids"]):
+        own = np.array([number.setdefault(w, len(number)) for w in words.split(" ")] if ids else [], np.int32)
+        found.append(own[np.frombuffer(ids, "<i4")])
+    del got
+    if len({label for _, label in parts}) < 2 or not any(map(len, found)):
         flat = np.clip(share, 1e-9, 1 - 1e-9)
         return Model(np.zeros(1 << BITS), 0.0, 0.0, 0.0, float(np.log(flat / (1 - flat))))
-    apart = np.arange(len(y)) % CALIBRATE == 0
-    if len(set(y[~apart])) < 2 or len(set(y[apart])) < 2:
-        apart[:] = False
-    scores, bias = train([w for w, a in zip(found, apart) if not a], y[~apart])
-    if apart.any():
-        found, y = [w for w, a in zip(found, apart) if a], y[apart]
-    known = WordScores(scores)
-    values = [bags(np.array([known[w] for w in words])) for words in found]
-    x = np.array([[v.max() + bias, np.log(len(v)), 1.0] for v in values])
+    scores, bias = train(found, list(number), y)
+    del found, number
+    sent = spark.sparkContext.broadcast(scores)
+
+    def judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = WordScores(sent.value)
+        for pdf in batches:
+            found = [bags(np.array([known[w] for w in words_of(t)], float)) for t in pdf["text"]]
+            yield pd.DataFrame({"y": pdf["y"], "worst": [float(v.max()) for v in found], "n": [len(v) for v in found]})
+
+    got = sample.filter(F.lit(whole) | F.col("apart")).mapInPandas(judged, "y int, worst double, n long").toPandas()
+    got = got.sort_values(["y", "worst", "n"])
+    y, worst = got["y"].to_numpy(int), got["worst"].to_numpy()
+    x = np.column_stack([worst + bias, np.log(got["n"].to_numpy(float)), np.ones(len(y))])
     weight = np.where(y == 1, share / max(1, (y == 1).sum()), (1 - share) / max(1, (y == 0).sum())) * len(y)
     slope, length, intercept = _logistic(x, y, weight)
     return Model(scores, bias, float(slope), float(length), float(intercept))

@@ -85,6 +85,23 @@ def test_toxicity_generalises_to_misspellings(spark, edge_docs, edge_rows, no_do
     assert toxicity.score(frame.limit(2), flat).first()["_toxicity"] < 1e-6
 
 
+def test_toxicity_learns_from_whole_texts(spark):
+    rng = random.Random(8)
+    clean = ["".join(rng.choices(["tha", "ing", "er", "on", "re", "ti", "he", "an"], k=rng.randint(1, 4))) for _ in range(300)]
+    rows = []
+    for i in range(240):
+        words = rng.choices(clean, k=1500)
+        if i % 3 == 0:  # insults here and there, but not in 400 words that begin at a place given by the id
+            start = zlib.crc32(str(i).encode()) % (len(words) - 400 + 1)
+            for at in rng.sample([k for k in range(len(words)) if not start <= k < start + 400], 60):
+                words[at] = rng.choice(["idiot", "moron", "stupid", "clown"])
+        rows.append((i, " ".join(words), int(i % 3 == 0)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(frame.filter("doc_id >= 60"), frame.select("doc_id", "toxic"))
+    got = toxicity.score(frame.filter("doc_id < 60"), model).collect()
+    assert np.mean([(r["_toxicity"] >= 0.5) == (r["toxic"] == 1) for r in got]) > 0.95
+
+
 def test_toxicity_reads_long_words_whole(spark):
     plain = ["idiot's", "x" * 64, "(" + "y" * 64 + ").", "-" * 100]
     assert toxicity.words_of(" ".join(plain)) == [*plain[:2], "y" * 64, ""]
