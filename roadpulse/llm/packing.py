@@ -10,7 +10,9 @@ window to window or from partition to partition: texts are tokenised and written
 are summed into each document's place in its queue, and each document then finds its own pieces.
 
 A source with less than one token in a window can't have a queue of its own served in each; such sources share one queue. So
-there are at most `WINDOW` queues whatever the corpus, and the schedule stays small.
+there are at most `WINDOW` queues whatever the corpus, and the schedule stays small. In the shared queue the sources are dealt by blocks of
+`BLOCK` tokens, in order of a block's fractional place within its source: at any place each has had its share but for about a block, and what
+a window leaves undone comes in later ones.
 """
 
 from __future__ import annotations
@@ -28,12 +30,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadpulse.llm.common import Query, small_batches, stored, table, tokenizer_path
+from roadpulse.operators.ordering import running_totals
 
 WINDOW = 2048
 VOCABULARY = "byte_bpe_50k.json"
 #: The id after each document.
 END_ID = 1
 REST = ""
+#: Tokens of a document of a small source that stay together.
+BLOCK = 64
 
 _loaded: dict[str, object] = {}
 
@@ -178,6 +183,25 @@ def tokenised(docs: DataFrame, id: str, text: str, source: str, vocabulary: str,
     return stored(narrow.mapInPandas(run, f"id {kind}, source string, task int, start long, n long, ids binary"), "tokens")
 
 
+def _shared_queue(tokens: DataFrame, placed: DataFrame, sums: DataFrame) -> DataFrame:
+    """`tokens` of the small sources with `bases`: the place of each block in the queue they share.
+
+    A block that starts at token s of its source's n lies at (s + u * length) / n, where u is the source's own number between 0 and 1: else
+    the first blocks of all sources would meet at one place. Sources keep their order. Blocks are sorted in range partitions, whose sums are added up.
+    """
+    of = placed.join(sums.withColumnRenamed("n", "of"), "source").withColumn("u", F.pmod(F.xxhash64("source"), F.lit(1 << 20)) / (1 << 20))
+    docs = tokens.select("task", "source", "start", "n").join(of, ["task", "source"])
+    blocks = docs.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(BLOCK).cast("long"))))
+    blocks = blocks.withColumn("length", F.least(F.lit(BLOCK).cast("long"), F.col("n") - F.col("at")))
+    place = F.col("base") + F.col("start") + F.col("at")
+    key = F.struct(((place + F.col("u") * F.col("length")) / F.col("of")).alias("share"), F.col("source"), place.alias("place"))
+    blocks = stored(blocks.select(key.alias("key"), "task", "start", "at", "length"), "blocks")
+    dealt = running_totals(blocks, "key", ["length"])
+    run = F.sort_array(F.collect_list(F.struct("at", (F.col("cum_length") - F.col("length")).alias("first"))))
+    bases = dealt.groupBy("task", F.col("key.source").alias("source"), "start").agg(run["first"].alias("bases"))
+    return tokens.join(placed.drop("base"), ["task", "source"]).join(bases, ["task", "source", "start"])
+
+
 def pack(
     docs: DataFrame,
     targets: dict[str | None, float] | None = None,
@@ -215,29 +239,28 @@ def pack(
     schedule = Schedule(sizes, [int(f * scale) for f in shares], window)
     sent = spark.sparkContext.broadcast(schedule)
 
-    # Each task's place in its queues: first within the task (small sources share a queue), then over the tasks.
+    # Each task's place in its sources.
     number = spark.createDataFrame([(q, k) for k, q in enumerate(queues)], "source string, queue int")
-    placed = parts.join(F.broadcast(number), "source", "left").fillna({"queue": len(queues)})
-    up_to = (Window.unboundedPreceding, -1)
-    within = Window.partitionBy("task", "queue").orderBy("source").rowsBetween(*up_to)
-    placed = placed.withColumn("_in_task", F.coalesce(F.sum("n").over(within), F.lit(0)))
-    by_task = placed.groupBy("task", "queue").agg(F.sum("n").alias("n"))
-    over = Window.partitionBy("queue").orderBy("task").rowsBetween(*up_to)
-    by_task = by_task.select("task", "queue", F.coalesce(F.sum("n").over(over), F.lit(0)).alias("_before"))
-    base = placed.join(by_task, ["task", "queue"]).select("task", "source", "queue", (F.col("_before") + F.col("_in_task")).alias("base"))
-    located = tokens.join(stored(base, "queue-places"), ["task", "source"])
+    over = Window.partitionBy("source").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.withColumn("base", F.coalesce(F.sum("n").over(over), F.lit(0))).drop("n")
+    placed = stored(before.join(F.broadcast(number), "source", "left").fillna({"queue": len(queues)}), "queue-places")
+    located = tokens.join(placed.filter(F.col("queue") < len(queues)), ["task", "source"])
+    located = located.withColumn("bases", F.array(F.col("base") + F.col("start"))).drop("base")
+    if sizes[-1]:
+        located = located.unionByName(_shared_queue(tokens, placed.filter(F.col("queue") == len(queues)), sums))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         plan = sent.value
         for pdf in batches:
             out = []
-            for i, q, base, start, n, ids, key in zip(*(pdf[c] for c in ("id", "queue", "base", "start", "n", "ids", "source"))):
+            for i, q, bases, n, ids, key in zip(*(pdf[c] for c in ("id", "queue", "bases", "n", "ids", "source"))):
                 wide = np.frombuffer(ids, "<u2" if len(ids) == 2 * n else "<u4").astype("<u4")
                 name = None if key == "-" else key[1:]
-                first = int(base) + int(start)
-                for at, k, sequence, offset in plan.pieces(int(q), first, int(n)):
-                    at -= first
-                    out.append((i, at, k, zlib.crc32(wide[at : at + k]), int(n), sequence, offset, name))
+                size = BLOCK if q == len(queues) else int(n)
+                for begin, first in zip(range(0, int(n), size), bases):
+                    for at, k, sequence, offset in plan.pieces(int(q), int(first), min(size, int(n) - begin)):
+                        at += begin - int(first)
+                        out.append((i, at, k, zlib.crc32(wide[at : at + k]), int(n), sequence, offset, name))
             cols = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"]
             yield pd.DataFrame(out, columns=cols).astype({"id": pdf["id"].dtype})
 

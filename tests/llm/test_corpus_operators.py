@@ -88,6 +88,27 @@ def test_packing_meets_given_targets(spark):
     assert mixed and all(abs(c["b"] - 64) <= 2 for c in mixed)
 
 
+def test_packing_deals_many_small_sources_by_share(spark):
+    n = 5000
+    docs = spark.range(2 * n).selectExpr("id as doc_id", f"concat('s', id % {n}) as source", "repeat('the thing ', 100) as text").repartition(3)
+    pieces = packing.pack(docs).collect()
+    check_pieces(pieces, [])
+    assert sum(p["length"] for p in pieces) == sum({p["doc_id"]: p["doc_tokens"] for p in pieces}.values())
+    by_doc = defaultdict(list)
+    for p in pieces:
+        by_doc[p["doc_id"]].append((p["start"], p["length"], p["sequence_id"]))
+    for own in by_doc.values():
+        own.sort()
+        assert [s for s, _, _ in own] == [0, *np.cumsum([k for _, k, _ in own])[:-1]] and sorted(q for *_, q in own) == [q for *_, q in own]
+    windows = max(p["sequence_id"] for p in pieces) + 1
+    held = np.zeros((windows, n))
+    for p in pieces:
+        held[p["sequence_id"], int(p["source"][1:])] += p["length"]
+    assert (held[:-1] > 0).sum(1).min() >= packing.WINDOW // packing.BLOCK
+    due = np.cumsum(held.sum(1))[:, None] * (held.sum(0) / held.sum())
+    assert np.abs(np.cumsum(held, axis=0) - due).max() < 2 * packing.BLOCK
+
+
 def brute_nearest(rows, k):
     usable = {}
     for i, v in rows:
