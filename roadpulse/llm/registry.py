@@ -2,9 +2,21 @@
 
 from __future__ import annotations
 
-from roadpulse.llm import bpe, exact_dedup, language_id, lattice_lm, license_scan, near_dedup, packing, suffix_dedup, toxicity, vp_search
+from roadpulse.llm import (
+    bpe,
+    exact_dedup,
+    language_id,
+    lattice_lm,
+    license_scan,
+    near_dedup,
+    packing,
+    pii,
+    suffix_dedup,
+    toxicity,
+    vp_search,
+)
 
-MODULES = (license_scan, toxicity, packing, vp_search, suffix_dedup, near_dedup, language_id, bpe, exact_dedup, lattice_lm)
+MODULES = (license_scan, toxicity, packing, vp_search, suffix_dedup, near_dedup, language_id, bpe, exact_dedup, lattice_lm, pii)
 
 
 def llm_queries():
