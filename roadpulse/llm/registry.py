@@ -14,9 +14,10 @@ from roadpulse.llm import (
     suffix_dedup,
     toxicity,
     vp_search,
+    whitening,
 )
 
-MODULES = (license_scan, toxicity, packing, vp_search, suffix_dedup, near_dedup, language_id, bpe, exact_dedup, lattice_lm, pii)
+MODULES = (license_scan, toxicity, packing, vp_search, suffix_dedup, near_dedup, language_id, bpe, exact_dedup, lattice_lm, pii, whitening)
 
 
 def llm_queries():
