@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -155,6 +156,21 @@ def matrix_of(lists: pa.ChunkedArray | pa.Array, dims: int) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
 
 
+def exact_sums(fit: DataFrame, dims: int) -> list[int]:
+    """Sum of each dimension: whole numbers from each task, as halves that don't overflow, then decimals over the tasks."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(dims, object)
+        for batch in batches:
+            x = matrix_of(batch.column(0), dims)
+            total += ((x >> 31).sum(0).astype(object) << 31) + (x & (2**31 - 1)).sum(0).astype(object)
+        values = pa.array([[Decimal(int(t)) for t in total]], pa.list_(pa.decimal128(28, 0)))
+        yield pa.RecordBatch.from_arrays([values], names=["values"])
+
+    parts = fit.mapInArrow(add, "values array<decimal(28,0)>")
+    return [int(s) for s in parts.agg(*[F.sum(F.get("values", F.lit(j))) for j in range(dims)]).first()]
+
+
 def summed(parts: DataFrame, dims: int) -> np.ndarray:
     """Rows (i, values) of all tasks' matrices added up, as one matrix: `dims` rows come to the driver."""
     sums = parts.groupBy("i").agg(*[F.sum(F.get("values", F.lit(j))).alias(f"s{j}") for j in range(dims)])
@@ -189,8 +205,6 @@ class Whitening:
         if bound * bound * x.shape[1] < 2**63:
             return pa.array(((away * self.n - self.rest) ** 2).sum(1)).cast(pa.decimal128(38, 0))
         exact = ((away.astype(object) * self.n - self.rest.astype(object)) ** 2).sum(1)
-        from decimal import Decimal
-
         return pa.array([Decimal(int(v)) if v < 10**38 else None for v in exact], pa.decimal128(38, 0))
 
 
@@ -221,7 +235,7 @@ def fit_whitening(rows: DataFrame, vector: str, components: int = COMPONENTS) ->
         return None
     dims, n = size["dims"], size["count"]
     fit = fit.filter(F.size("x") == dims)
-    sums = [int(s) for s in fit.agg(*[F.sum(F.get("x", F.lit(j)).cast("decimal(20,0)")) for j in range(dims)]).first()]
+    sums = exact_sums(fit, dims)
     floor, rest = np.array([s // n for s in sums], np.int64), np.array([s % n for s in sums], np.int64)
     start = Whitening(n, floor, rest, np.zeros(0), np.zeros((dims, 0)), 0.0)
     covariance = summed(outer_sums(fit, lambda x: start.centred(matrix_of(x, dims))), dims) / n
