@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from roadpulse.llm import (
     bpe,
+    collocations,
     exact_dedup,
     language_id,
     lattice_lm,
@@ -17,7 +18,7 @@ from roadpulse.llm import (
     whitening,
 )
 
-MODULES = (license_scan, toxicity, packing, vp_search, suffix_dedup, near_dedup, language_id, bpe, exact_dedup, lattice_lm, pii, whitening)
+MODULES = (license_scan, toxicity, packing, vp_search, suffix_dedup, near_dedup, language_id, bpe, exact_dedup, lattice_lm, pii, whitening, collocations)
 
 
 def llm_queries():
