@@ -13,6 +13,7 @@ counted by its text. So equal fingerprints of different phrases change nothing,
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,8 +25,8 @@ from roadpulse.llm.common import Query, release, small_batches, stored, table, t
 from roadpulse.operators.skew import salted_join
 
 LEAST, LONGEST, FACTOR, WITHIN, TOP = 100, 5, 1000, 100, 2000
-#: Bytes of text that are hashed together, and fingerprints that a task holds before it hands them on.
-BATCH_BYTES, HELD = 1 << 22, 1 << 22
+#: Bytes of text that are hashed together, fingerprints that a task holds before it hands them on, and rows it hands on at once.
+BATCH_BYTES, HELD, ROWS = 1 << 20, 1 << 21, 1 << 16
 #: Bits of a map of frequent fingerprints at most (32 MB), and bits of the part that one group makes.
 MAP_BITS, PART_BITS = 28, 20
 #: Languages whose word totals are broadcast; more are joined by a shuffle.
@@ -39,6 +40,7 @@ WORD, GAP, BREAK = 0, 1, 2
 CLASSES = np.zeros(256, np.uint8)
 CLASSES[[0x20, 0x09]] = GAP
 CLASSES[[ord(c) for c in ".,;:!?"] + [0x0A, 0x0B, 0x0C, 0x0D]] = BREAK
+PIECE_END = re.compile(rb"[.,;:!?\x0A-\x0D]")
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -131,19 +133,24 @@ class Words:
 
 
 def batches_of(batches: Iterator[pa.RecordBatch], strength: int) -> Iterator[Words]:
-    """Words of (text, lang) rows, some megabytes of text at once; a text is never cut."""
+    """Words of (text, lang) rows, about a megabyte of text at once; a longer text is cut, but only where a piece ends anyway."""
     bytes_, words = Powers(BYTE_BASE), Powers(WORD_BASE)
     texts: list[bytes] = []
     langs: list[str] = []
     size = 0
     for batch in batches:
         for text, lang in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist()):
-            texts.append(text)
-            langs.append(lang)
-            size += len(text)
-            if size >= BATCH_BYTES:
-                yield Words(texts, langs, bytes_, words, strength)
-                texts, langs, size = [], [], 0
+            at = 0
+            while at == 0 or at < len(text):
+                end = PIECE_END.search(text, at + BATCH_BYTES)
+                part = text[at : end.end()] if end else text[at:]
+                texts.append(part)
+                langs.append(lang)
+                at += max(len(part), 1)
+                size += len(part)
+                if size >= BATCH_BYTES:
+                    yield Words(texts, langs, bytes_, words, strength)
+                    texts, langs, size = [], [], 0
     if texts:
         yield Words(texts, langs, bytes_, words, strength)
 
@@ -174,9 +181,10 @@ def frequent_map(texts: DataFrame, n: int, before: np.ndarray | None, least: int
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, held, size = shared.value, [], 0
 
-        def rows() -> pa.RecordBatch:
-            prints, counts = held[0]
-            return pa.RecordBatch.from_arrays([pa.array(prints.view(np.int64)), pa.array(counts)], names=["print", "n"])
+        def rows() -> Iterator[pa.RecordBatch]:
+            prints, counts = held[0][0].view(np.int64), held[0][1]
+            for at in range(0, len(prints), ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array(prints[at : at + ROWS]), pa.array(counts[at : at + ROWS])], names=["print", "n"])
 
         for words in batches_of(batches, strength):
             first = words.runs(n)
@@ -192,11 +200,11 @@ def frequent_map(texts: DataFrame, n: int, before: np.ndarray | None, least: int
                 held = [merged(held)]
                 size = len(held[0][0])
                 if size > HELD // 2:
-                    yield rows()
+                    yield from rows()
                     held, size = [], 0
         if held:
             held = [merged(held)]
-            yield rows()
+            yield from rows()
 
     # Tasks have summed up what is theirs: the sums over tasks are made after the shuffle alone.
     counted = texts.mapInArrow(count, "print long, n long").repartition("print").groupBy("print").agg(F.sum("n").alias("n"))
@@ -264,8 +272,8 @@ def frequent_phrases(
             columns = list(zip(*out)) or [(), (), (), ()]
             kinds = [pa.string(), pa.int32(), pa.string(), pa.int64()]
             names = ["lang", "words", "phrase", "n"]
-            for at in range(0, len(out), 100_000):
-                part = [pa.array(c[at : at + 100_000], k) for c, k in zip(columns, kinds)]
+            for at in range(0, len(out), ROWS):
+                part = [pa.array(c[at : at + ROWS], k) for c, k in zip(columns, kinds)]
                 yield pa.RecordBatch.from_arrays(part, names=names)
 
     rows = texts.mapInArrow(made, "lang string, words int, phrase string, n long")
