@@ -128,8 +128,21 @@ class Words:
             ids[i] = others.setdefault(word, len(at) + len(others))
         return ids
 
-    def phrase(self, first: int, n: int) -> str:
-        return b" ".join(self.data[s:e].tobytes() for s, e in zip(self.starts[first : first + n], self.ends[first : first + n])).decode("utf-8")
+    def joined(self) -> tuple[np.ndarray, np.ndarray]:
+        """All words with one space after each, and where each begins there: a run of words is a stretch of it."""
+        size = self.ends - self.starts + 1
+        begin = np.concatenate([[0], np.cumsum(size)])
+        out = self.data[np.arange(begin[-1]) + np.repeat(self.starts - begin[:-1], size)]
+        out[begin[1:] - 1] = 0x20
+        return out, begin
+
+
+def phrases_of(out: np.ndarray, begin: np.ndarray, first: np.ndarray, n: int) -> pa.Array:
+    """The texts of runs of n words in what `joined` gives."""
+    size = begin[first + n] - 1 - begin[first]
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    data = out[np.arange(offsets[-1]) + np.repeat(begin[first] - offsets[:-1], size)]
+    return pa.StringArray.from_buffers(len(first), pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes()))
 
 
 def batches_of(batches: Iterator[pa.RecordBatch], strength: int) -> Iterator[Words]:
@@ -250,11 +263,12 @@ def frequent_phrases(
     shared = spark.sparkContext.broadcast(maps)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["lang", "words", "phrase", "n"]
         for words in batches_of(batches, strength):
-            out: list[tuple[str, int, str, int]] = []
-            for at, n_words in zip(*np.unique(words.lang, return_counts=True)):
-                out.append((words.langs[at], 0, "", int(n_words)))
-            ids = words.ids()
+            langs, (out, begin), ids = pa.array(words.langs, pa.string()), words.joined(), words.ids()
+            at, total = np.unique(words.lang, return_counts=True)
+            zero, none = pa.array(np.zeros(len(at), np.int32)), pa.array([""] * len(at), pa.string())
+            yield pa.RecordBatch.from_arrays([langs.take(pa.array(at)), zero, none, pa.array(total.astype(np.int64))], names=names)
             for n, bits in enumerate(shared.value, 1):
                 first = words.runs(n)
                 prints = words.fingerprints(first, n)
@@ -262,19 +276,21 @@ def frequent_phrases(
                 first, prints = first[let], prints[let]
                 _, at, group = np.unique(prints, return_index=True, return_inverse=True)
                 pointer = first[at][group]
-                # Each occurrence against the one it points to: language, then word for word.
+                # Each occurrence against the one it points to: language, then word for word. What differs goes on its own.
                 same = words.seeds[words.lang[first]] == words.seeds[words.lang[pointer]]
                 for j in range(n):
                     same &= ids[first + j] == ids[pointer + j]
-                for i, count in zip(first[at].tolist(), np.bincount(group[same], minlength=len(at)).tolist()):
-                    out.append((words.langs[words.lang[i]], n, words.phrase(i, n), count))
-                out += [(words.langs[words.lang[i]], n, words.phrase(i, n), 1) for i in first[~same].tolist()]
-            columns = list(zip(*out)) or [(), (), (), ()]
-            kinds = [pa.string(), pa.int32(), pa.string(), pa.int64()]
-            names = ["lang", "words", "phrase", "n"]
-            for at in range(0, len(out), ROWS):
-                part = [pa.array(c[at : at + ROWS], k) for c, k in zip(columns, kinds)]
-                yield pa.RecordBatch.from_arrays(part, names=names)
+                counts = np.concatenate([np.bincount(group[same], minlength=len(at)), np.ones((~same).sum(), np.int64)])
+                each = np.concatenate([first[at], first[~same]])
+                for i in range(0, len(each), ROWS):
+                    part = each[i : i + ROWS]
+                    columns = [
+                        langs.take(pa.array(words.lang[part])),
+                        pa.array(np.full(len(part), n, np.int32)),
+                        phrases_of(out, begin, part, n),
+                        pa.array(counts[i : i + ROWS]),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = texts.mapInArrow(made, "lang string, words int, phrase string, n long")
     counted = rows.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f"))
