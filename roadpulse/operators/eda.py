@@ -8,35 +8,31 @@ from pyspark.sql import functions as F
 from roadpulse.columns import DET, QUALITY, UTC, ZONE
 from roadpulse.functions.timefn import local_hour, local_weekday, minutes_between
 from roadpulse.operators.clean import dedupe_first, site_id
-from roadpulse.operators.ordering import exact_quantiles
+from roadpulse.operators.quantiles import bracket_shares, located, sketch_columns, sketches_of
 from roadpulse.operators.skew import salted_join
 from roadpulse.session import materialize
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
+DESCRIBED = "feature string, n long, mean double, std double, min double, max double, q25 double, q50 double, q75 double"
+
+
 def describe_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
-    """count, mean, std, min, quartiles, max per column. Quartiles are exact."""
-    wide = df.agg(
-        *[
-            F.struct(
-                F.lit(c).alias("feature"),
-                F.count(c).alias("n"),
-                F.avg(c).alias("mean"),
-                F.stddev_samp(c).alias("std"),
-                F.min(F.col(c).cast("double")).alias("min"),
-                F.max(F.col(c).cast("double")).alias("max"),
-            ).alias(c)
-            for c in cols
-        ]
-    )
-    moments = wide.select(F.inline(F.array(*cols)))
-    quantiles = (
-        exact_quantiles(df, cols, list(QUARTILES.values()))
-        .groupBy("feature")
-        .agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(q) for q, p in QUARTILES.items()])
-    )
-    return moments.join(quantiles, "feature", "left")
+    """count, mean, std, min, quartiles, max per column, all exact; NULLs are not counted, a column without values has n 0 and NULLs.
+
+    Two scans: one for the moments and a sketch, one that counts the values near the quartiles.
+    """
+    probs = list(QUARTILES.values())
+    moments = [
+        F.struct(F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(F.col(c).cast("double")).alias("min"), F.max(F.col(c).cast("double")).alias("max")).alias(f"m_{c}")
+        for c in cols
+    ]
+    row = df.agg(*moments, *sketch_columns(cols, bracket_shares(probs), prefix="s_")).first()
+    sketches = sketches_of(row, cols, "s_")
+    quartiles, _, _ = located(df, sketches, probs)
+    rows = [(c, sketches[c].n, *row[f"m_{c}"], *[quartiles.get((c, p)) for p in probs]) for c in cols]
+    return df.sparkSession.createDataFrame(rows, DESCRIBED)
 
 
 def profile_columns(df: DataFrame) -> DataFrame:

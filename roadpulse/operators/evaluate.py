@@ -5,8 +5,7 @@ Input rows carry y, y_hat and mask, and the keys a report groups by.
 
 from __future__ import annotations
 
-from functools import reduce
-
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,8 +17,7 @@ from roadpulse.columns import (
     PROMOTION_MARGIN,
     TRAFFIC,
 )
-from roadpulse.operators.ordering import quantiles_of_counts, running_totals, unpivot
-from roadpulse.session import materialize
+from roadpulse.operators.quantiles import compared
 
 SHARE_FLOOR = 1e-6
 
@@ -112,72 +110,20 @@ def paired_t_statistic(df: DataFrame, a: str, b: str) -> DataFrame:
 def feature_drift(
     train: DataFrame, new: DataFrame, cols: list[str] = TRAFFIC, bins: int = 10
 ) -> DataFrame:
-    """Per feature: population stability index on training quantile bins, and KS distance.
+    """Per feature: population stability index on training quantile bins, and KS distance, both exact.
 
-    NULL for a feature one of the samples lacks. Both samples are reduced to value counts first; cumulative counts come from
-    bucketed windows, so no feature is ordered by a single task.
+    NULL for a feature one of the samples lacks; a feature without any value has no row. `quantiles.compared` reads the samples three times
+    and shuffles counts only.
     """
-    tagged = unpivot(train, cols).withColumn("_train", F.lit(1)).unionByName(
-        unpivot(new, cols).withColumn("_train", F.lit(0))
-    )
-    counted = (
-        tagged.filter(F.col("value").isNotNull())
-        .groupBy("feature", "value")
-        .agg(
-            F.sum("_train").alias("n_train"),
-            F.sum(1 - F.col("_train")).alias("n_new"),
-        )
-    )
-    counted = materialize(counted, "counts")  # read four times below
-    sizes = counted.groupBy("feature").agg(F.sum("n_train").alias("all_train"), F.sum("n_new").alias("all_new"))
-
-    train_counts = counted.filter("n_train > 0").select("feature", "value", F.col("n_train").alias("n"))
-    probs = [i / bins for i in range(1, bins)]
-    edges = (
-        quantiles_of_counts(train_counts, probs)
-        .groupBy("feature")
-        .agg(F.sort_array(F.collect_list("value")).alias("edges"))
-    )
-    shares = [f"{s}_{i}" for i in range(bins) for s in ("n_train", "n_new")]
-    binned = counted.join(edges, "feature").withColumn(
-        "bin", F.size(F.filter("edges", lambda e: e < F.col("value")))
-    )
-    per_bin = binned.groupBy("feature").agg(
-        *[
-            F.sum(F.when(F.col("bin") == int(name.rsplit("_", 1)[1]), F.col(name.rsplit("_", 1)[0]))).alias(name)
-            for name in shares
-        ]
-    )
-
-    def share(kind: str, i: int) -> Column:
-        part = F.try_divide(F.coalesce(F.col(f"n_{kind}_{i}"), F.lit(0)), F.col(f"all_{kind}"))
-        return F.greatest(part, F.lit(SHARE_FLOOR))
-
-    psi = reduce(
-        lambda x, y: x + y,
-        [
-            (share("new", i) - share("train", i)) * F.ln(share("new", i) / share("train", i))
-            for i in range(bins)
-        ],
-    )
-    gaps = (
-        running_totals(counted, "value", ["n_train", "n_new"], by=["feature"])
-        .join(sizes, "feature")
-        .groupBy("feature")
-        .agg(
-            F.max(
-                F.abs(
-                    F.try_divide("cum_n_train", "all_train") - F.try_divide("cum_n_new", "all_new")
-                )
-            ).alias("ks")
-        )
-    )
-    comparable = (F.col("all_train") > 0) & (F.col("all_new") > 0)
-    return (
-        per_bin.join(sizes, "feature")
-        .select("feature", F.when(comparable, psi).alias("psi"))
-        .join(gaps, "feature")
-    )
+    found = compared(train, new, cols, [i / bins for i in range(1, bins)])
+    rows = []
+    for feature, c in found.items():
+        psi = None
+        if c.gap is not None:
+            a, b = (np.maximum(n / n.sum(), SHARE_FLOOR) for n in (c.first, c.second))
+            psi = float(((b - a) * np.log(b / a)).sum())
+        rows.append((feature, psi, c.gap))
+    return train.sparkSession.createDataFrame(rows, "feature string, psi double, ks double")
 
 
 def promotion_gate(
