@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.columns import KNN_K, RADIUS_M
 from roadpulse.functions.geo import distance
+from roadpulse.operators.hull import furthest_distance
 from roadpulse.operators.neighbours import nearest
 from roadpulse.operators.skew import salted_join
 from roadpulse.operators.tiles import pair_sums, weighted_points
@@ -140,30 +139,14 @@ def radius_graph_density(nodes: DataFrame, radius: float = RADIUS_M) -> DataFram
 def distance_extremes(nodes: DataFrame) -> DataFrame:
     """(closest_m, furthest_m): smallest positive and largest distance of all pairs.
 
-    The closest pair comes from the nearest-neighbour join of distinct places. For the
-    furthest one, places that cannot be an end of it are dropped first: with c the centre of
-    the box around all places, R its half diagonal and D the distance of two known places, an
-    end lies at least D - R away from c. The rest go through the block reduction.
+    The closest pair comes from the nearest-neighbour search of distinct places, the furthest one from the convex hull.
     """
     places = materialize(weighted_points(nodes), "places")
+    if places.isEmpty():
+        raise ValueError("no nodes")
     as_nodes = places.select(F.struct("x", "y").alias("id"), "x", "y")
     closest = nearest(as_nodes, as_nodes, 2).filter(F.col("q_id") != F.col("t_id"))
-
-    directions = (F.col("x"), F.col("y"), F.col("x") + F.col("y"), F.col("x") - F.col("y"))
-    ends = [pick(F.struct("x", "y"), by) for by in directions for pick in (F.min_by, F.max_by)]
-    # One row: the places furthest out in eight directions.
-    row = places.agg(*[e.alias(f"e{i}") for i, e in enumerate(ends)]).first()
-    known = [(e.x, e.y) for e in row if e is not None]
-    if not known:
-        raise ValueError("no nodes")
-    span = max(math.dist(a, b) for a in known for b in known)
-    west, east, south, north = known[0][0], known[1][0], known[2][1], known[3][1]
-    reach = math.hypot(east - west, north - south) / 2
-    from_centre = distance(F.col("x"), F.col("y"), F.lit((west + east) / 2), F.lit((south + north) / 2))
-    outer = places.filter(from_centre >= F.lit(span - reach - 1e-6))
-    return pair_sums(outer).select(
-        closest.agg(F.min("dist_m")).scalar().alias("closest_m"), F.col("max_d").alias("furthest_m")
-    )
+    return furthest_distance(places).select(closest.agg(F.min("dist_m")).scalar().alias("closest_m"), "furthest_m")
 
 
 def sigma_all_pairs(nodes: DataFrame) -> DataFrame:
