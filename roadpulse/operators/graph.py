@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.columns import KNN_K, RADIUS_M
 from roadpulse.functions.geo import distance
+from roadpulse.operators.blocks import block_product
 from roadpulse.operators.hull import furthest_distance
 from roadpulse.operators.neighbours import nearest
 from roadpulse.operators.skew import salted_join
@@ -176,24 +177,22 @@ def sym_normalized_adjacency(edges: DataFrame) -> DataFrame:
 
 
 def neighbour_aggregate(
-    cells: DataFrame, edges: DataFrame, cols: list[str], hours: int, key: str = "det_id", bucket_hours: int = 168
+    cells: DataFrame,
+    edges: DataFrame,
+    cols: list[str],
+    hours: int,
+    key: str = "det_id",
+    bucket_hours: int = 168,
+    nodes: DataFrame | None = None,
 ) -> DataFrame:
-    """Weighted mean of the neighbours' features per node and hour.
+    """Weighted mean of the neighbours' features per node and hour; NULL values are left out of the sum, their weight is not.
 
-    The join key is (node, week), which spreads a short edge list over the axis; the edges of
-    a hub are cut into chunks on top. `edges` is counted first, so hand in a stored table.
+    A product of sparse blocks (`blocks.block_product`): what is shuffled per hour are the targets at the borders of blocks, not the edges. `nodes`
+    (id, x, y) orders the blocks in the plane, so borders are short; without it ids do. `edges` is read several times, so hand in a stored table.
     """
-    weeks = F.sequence(F.lit(0), F.lit((hours - 1) // bucket_hours))
-    spread = edges.select("src", "dst", "weight", F.explode(weeks).alias("_week"))
-    feats = cells.select(
-        F.col(key).alias("src"),
-        "t_idx",
-        F.floor(F.col("t_idx") / bucket_hours).cast("int").alias("_week"),
-        *cols,
-    )
-    total = F.sum("weight")
-    return (
-        salted_join(spread, feats, ["src", "_week"], right_is_even=True)
-        .groupBy(F.col("dst").alias(key), "t_idx")
-        .agg(*[F.try_divide(F.sum(F.col("weight") * F.col(c)), total).alias(c) for c in cols])
-    )
+    sums = materialize(block_product(cells, edges, cols, hours, key, nodes, bucket_hours), "products")
+    parts = [f"{p}{i}" for i in range(len(cols)) for p in ("s", "n")]
+    met = sums.filter("border").groupBy("dst", "t_idx").agg(*[F.sum(c).alias(c) for c in ["w", *parts]])
+    whole = sums.filter("NOT border").drop("border").unionByName(met)
+    means = [F.when(F.col(f"n{i}") > 0, F.try_divide(f"s{i}", "w")).alias(c) for i, c in enumerate(cols)]
+    return whole.select(F.col("dst").alias(key), "t_idx", *means)

@@ -214,7 +214,7 @@ def graph_ablation(cells: DataFrame, nodes: DataFrame, axis: Axis, col: str = "v
     later = materialize(later.select(DET, (F.col("t_idx") - ahead).alias("t_idx"), "mask", F.col(col).alias("y")), "later")
     out = None
     for name, edges in kinds.items():
-        near = neighbour_aggregate(cells, edges, [col], axis.hours).withColumnRenamed(col, "y_hat")
+        near = neighbour_aggregate(cells, edges, [col], axis.hours, nodes=nodes).withColumnRenamed(col, "y_hat")
         judged = later.join(near, [DET, "t_idx"])
         row = graph_density(edges, nodes).select(
             F.lit(name).alias("graph"), "nodes", "edges", "density", evaluate.masked_mae(judged).scalar().alias("mae")

@@ -130,8 +130,9 @@ def _near_sql(edges: str, col: str) -> str:
     ),
 )
 def _(spark, d):
-    edges = materialize(graph.radius_graph_gaussian(fx.detector_nodes(spark, d)), "edges")
-    return rounded(graph.neighbour_aggregate(cells(spark, d), edges, ["qkfz", "vkfz"], fx.AXIS.hours))
+    nodes = fx.detector_nodes(spark, d)
+    edges = materialize(graph.radius_graph_gaussian(nodes), "edges")
+    return rounded(graph.neighbour_aggregate(cells(spark, d), edges, ["qkfz", "vkfz"], fx.AXIS.hours, nodes=nodes))
 
 
 view(
