@@ -16,7 +16,7 @@ from roadpulse.registry.tables import CYC, T6, cells
 from roadpulse.registry.views import r, rs, sql, view
 from roadpulse.session import scratch_path
 from roadpulse.sources import bundle, readings
-from roadpulse.streaming import refresh
+from roadpulse.streaming import continuous, refresh
 
 Q7 = ["quality", *T6]
 
@@ -177,3 +177,21 @@ def _(spark, d):
     refresh.incremental_refresh(stream, target, scratch_path(spark, "progress"))
     stats = refresh.rolling_stats(refresh.read_target(spark, target), days=14)
     return rounded(normalize.stats_long(stats))
+
+
+@query(
+    "continuous_refresh",
+    sql(
+        "recent",
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS feature, {r(f'avg({c})')} AS mu, {r(f'greatest(stddev_samp({c}), 1e-6)')} AS sigma FROM recent"
+            for c in T6
+        ),
+    ),
+)
+def _(spark, d):
+    """The same files through a stream with state; statistics merged from the moments of days."""
+    target, moments = scratch_path(spark, "rows"), scratch_path(spark, "moments")
+    stream = refresh.reading_stream(spark, fx.weekly_files(spark, d), files_per_batch=1)
+    continuous.continuous_refresh(stream, target, moments, scratch_path(spark, "progress"), delay="8 days")
+    return rounded(normalize.stats_long(continuous.rolling_stats(spark, target, moments, days=14)))
