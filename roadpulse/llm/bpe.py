@@ -7,11 +7,13 @@ tokens are compatible when merging their joined text by the rules gives just the
 the border. A sequence of pairwise compatible tokens is what merging by rank gives for the word.
 
 Words are encoded once while they are in a worker's bounded cache. The normaliser (NFC, white space, lower case) and the word pattern are
-those named in the vocabulary file; the file is read by path on the executors and never copied.
+those named in the vocabulary file; the file is read by path on the executors and never copied. Texts with characters younger than the Unicode tables
+of this Python, which other tables may read as letters, are normalised and cut into words by the `tokenizers` library itself.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import struct
@@ -24,6 +26,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from roadpulse.llm.common import Query, small_batches, table, tokenizer_path
 
@@ -34,6 +37,16 @@ CACHED_LENGTH = 200
 #: Unicode's White_Space, and the vocabulary's word pattern with it written out.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{SPACE}\p{{L}}\p{{N}}]+")
+
+
+@functools.cache
+def unassigned() -> regex.Pattern:
+    """Any character without a meaning in this Python's Unicode tables: only there can other versions differ."""
+    none = np.fromiter((unicodedata.category(chr(c)) == "Cn" for c in range(0x110000)), bool, 0x110000)
+    edges = np.flatnonzero(np.diff(none, prepend=False, append=False)).tolist()
+    return regex.compile("[" + "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[0::2], edges[1::2])) + "]")
+
+
 #: Stands for the end of a word inside tokens; always part of the token before it.
 END = "\ue000"
 
@@ -51,6 +64,7 @@ class Bpe:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        self.library = Tokenizer.from_file(path)
         suffix = spec["model"]["end_of_word_suffix"]
         vocab: dict[str, int] = spec["model"]["vocab"]
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -163,6 +177,10 @@ class Bpe:
             self.known[word] = found
         return found
 
+    def _library_words(self, part: str) -> list[str]:
+        normal = self.library.normalizer.normalize_str(part)
+        return [normal[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(normal)]
+
     def pieces(self, text: str) -> list[tuple[bytes, str, int]]:
         """Of each word in turn: its ids as bytes, their text, their number."""
         parts = self.special.split(text) if self.special and "<|" in text else [text]
@@ -173,6 +191,9 @@ class Bpe:
                 i = self.added[part]
                 out.append((struct.pack("<I", i), part, 1))
                 continue
+            if not part.isascii() and unassigned().search(part):
+                out += [get(w) or word_of(w) for w in self._library_words(part)]
+                continue
             if not part.isascii():
                 # One character at a time, as the vocabulary's normaliser does: a final sigma is no special case.
                 part = unicodedata.normalize("NFC", part).replace("Σ", "σ")

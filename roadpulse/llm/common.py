@@ -66,23 +66,27 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(2**24))
 
 
-#: Classes that a sample is taken from: the largest ones, should there be more.
-MAX_CLASSES = 1000
+#: Classes whose thresholds are broadcast; those of more are joined by a shuffle.
+BROADCAST_CLASSES = 100_000
 
 
-def class_sample(rows: DataFrame, cls: str, hashed: Column, per_class: dict | int) -> DataFrame:
+def class_sample(rows: DataFrame, cls: str, hashed: Column, per_class: dict | int, most: int | None = None) -> DataFrame:
     """At most `per_class` rows of each class, those with the smallest hash, whatever the number of rows.
 
+    With `most` rows wanted in all, many classes get fewer each, but every class at least one: no class is left out.
     Classes are counted first; then a threshold on the hash lets about twice as many rows through as are wanted, so
     that ranking them is a matter of a few thousand rows. `rows` should be narrow: it is read twice. Adds the column `_rank`.
     """
-    counts = rows.groupBy(cls).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), cls).limit(MAX_CLASSES).collect()
-    most = {r[cls]: per_class if isinstance(per_class, int) else per_class.get(r[cls], 0) for r in counts}
+    counts = stored(rows.groupBy(cls).agg(F.count(F.lit(1)).alias("n")), "classes")
+    n_classes = counts.count()
+    if isinstance(per_class, int):
+        wanted = F.lit(per_class if most is None else max(1, min(per_class, most // max(n_classes, 1))))
+    else:
+        wanted = F.coalesce(*[F.when(F.col(cls) == c, F.lit(n)) for c, n in per_class.items()], F.lit(0))
     whole = 1 << 30
-    let = [(r[cls], int(min(1.0, 2 * most[r[cls]] / r["n"]) * whole), most[r[cls]]) for r in counts]
-    kind = dict(rows.dtypes)[cls]
-    limits = rows.sparkSession.createDataFrame(let, f"`{cls}` {kind}, _let long, _most long")
-    narrowed = rows.withColumn("_hash", hashed).join(F.broadcast(limits), cls)
+    share = F.least(F.lit(1.0), 2 * F.col("_most") / F.col("n")) * whole
+    limits = counts.withColumn("_most", wanted).select(cls, F.floor(share).alias("_let"), "_most")
+    narrowed = rows.withColumn("_hash", hashed).join(F.broadcast(limits) if n_classes <= BROADCAST_CLASSES else limits, cls)
     narrowed = narrowed.filter(F.pmod("_hash", F.lit(whole)) < F.col("_let"))
     order = Window.partitionBy(cls).orderBy("_hash", *[c for c in rows.columns if c != cls])
     return narrowed.withColumn("_rank", F.row_number().over(order)).filter("_rank <= _most").drop("_let", "_most")

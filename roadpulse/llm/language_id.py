@@ -21,9 +21,12 @@ from pyspark.sql import functions as F
 from roadpulse.llm.common import Query, class_sample, crc_mod, small_batches, table
 
 BITS = 13
+#: Sample rows of a language, and of all languages together; with very many languages each still has one row.
 PER_LANG = 400
 MAX_SAMPLE = 4000
+#: Centroids of a language, and of all together before languages get fewer, one at least.
 CENTROIDS = 4
+MAX_CENTROIDS = 2000
 ROUNDS = 8
 #: A text is rejected below this part of the similarity that 99 % of sample texts of its length reach.
 REJECT = 0.4
@@ -122,9 +125,8 @@ def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
         F.col(id).cast("string").alias("id"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
     )
     hashed = F.xxhash64("id", "lang")
-    ranked = class_sample(rows.select("id", "lang"), "lang", hashed, PER_LANG)
-    chosen = ranked.orderBy("_rank", "_hash", "id").limit(MAX_SAMPLE)
-    # At most MAX_SAMPLE rows of an id and a language: read the texts of just these.
+    chosen = class_sample(rows.select("id", "lang"), "lang", hashed, PER_LANG, MAX_SAMPLE)
+    # At most MAX_SAMPLE rows, or one a language: read the texts of just these.
     sample = rows.join(F.broadcast(chosen.select("id", "lang").distinct()), ["id", "lang"], "left_semi").withColumn("h", hashed)
     sample = sample.filter(F.col("text").rlike(r"\p{L}"))
 
@@ -154,11 +156,16 @@ def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
         counts[sparse[i][0]] = sparse[i][1]
         return model.vector(counts).astype(np.float32)
 
-    groups = [clustered(np.stack([vector(i) for i in entire if of[i] == name]), CENTROIDS) for name in langs]
+    centroids = max(1, min(CENTROIDS, MAX_CENTROIDS // len(langs)))
+    own_rows = {name: [] for name in langs}
+    for i in entire:
+        own_rows[of[i]].append(i)
+    groups = [clustered(np.stack([vector(i) for i in own_rows[name]]), centroids) for name in langs]
     model.centroids = np.concatenate(groups).astype(np.float32)
     model.owner = np.repeat(np.arange(len(langs)), [len(g) for g in groups])
     # How near texts come to their own language, by length; longer texts are never held to less.
-    own = np.array([(model.centroids[model.owner == langs.index(of[i])] @ vector(i)).max() for i in range(len(got))])
+    places = dict(zip(langs, groups))
+    own = np.array([(places[of[i]].astype(np.float32) @ vector(i)).max() for i in range(len(got))])
     bits = np.array([int(n.sum()).bit_length() for _, n in sparse])
     low = np.array([np.quantile(own[bits == b], 0.01) if (bits == b).any() else np.inf for b in range(65)])
     least = np.minimum.accumulate(low[::-1])[::-1]

@@ -222,7 +222,7 @@ def shingle_set(text):
     return frozenset(tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))) if words else frozenset()
 
 
-def brute_components(rows):
+def brute_components(rows, percent=85):
     parent = {i: i for i, _ in rows if i is not None}
 
     def root(x):
@@ -233,7 +233,7 @@ def brute_components(rows):
     sets = [(i, shingle_set(t)) for i, t in rows if i is not None]
     for n, (i, a) in enumerate(sets):
         for j, b in sets[:n]:
-            if a and b and 100 * len(a & b) >= 85 * len(a | b):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
                 x, y = root(i), root(j)
                 parent[max(x, y)] = min(x, y)
     return Counter((i, len(shingle_set(t)), None if i is None else root(i)) for i, t in rows)
@@ -275,7 +275,7 @@ def pairs_by_similarity(counts):
 def test_near_stage_takes_a_threshold(spark):
     common = [88, 89, 90, 91, 92] * 8  # similarities 0.786, 0.802, 0.818, 0.835 and 0.852
     docs = spark.createDataFrame(pairs_by_similarity(common), "doc_id long, text string").repartition(4)
-    kept = {r["doc_id"] for r in corpus_pipeline.near_stage(spark, docs, "", percent=80).collect()}
+    kept = {r["doc_id"] for r in corpus_pipeline.near_stage(spark, docs, "").collect()}
     assert kept == {2 * i for i in range(len(common))} | {2 * i + 1 for i, c in enumerate(common) if c == 88}
     own = {r["doc_id"] for r in near_dedup.near_duplicates(docs).filter("kept").collect()}  # op6's threshold is its own
     assert own == {2 * i for i in range(len(common))} | {2 * i + 1 for i, c in enumerate(common) if c < 92}
@@ -337,8 +337,8 @@ def test_pipeline_stages_keep_what_they_should(spark, edge_docs, edge_rows, no_d
     # Exact: one row of each text.
     norm = lambda t: " ".join(t.split(" ")) if "  " not in t else " ".join(t.split())
     assert len(kept[1]) == len({norm(r["text"]) for r in kept[0]})
-    # Near: one of each component.
-    want = brute_components([(r["doc_id"], r["text"]) for r in kept[1]])
+    # Near: one of each component, linked from the stage's similarity of 0.8 on.
+    want = brute_components([(r["doc_id"], r["text"]) for r in kept[1]], 80)
     assert Counter(r["doc_id"] for r in kept[2]) == Counter(d for d, _, c in want.elements() if d == c)
     # Long matches: texts shrink by what brute force removes.
     gone = {d: n - m for d, n, m, _, _ in brute_repeats([(r["doc_id"], r["text"]) for r in kept[2]])}

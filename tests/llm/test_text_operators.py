@@ -3,12 +3,14 @@
 import hashlib
 import math
 import random
+import unicodedata
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -139,6 +141,17 @@ def test_language_id(spark, edge_docs, edge_rows, no_docs):
     assert {r["found"]["lang_pred"] for r in language_id.identify(edge_docs, nothing, out="found").collect()} == {"und"}
 
 
+def test_every_language_is_learnt(spark):
+    """More languages than the sample has rows for several of, one of them with most documents."""
+    word = lambda n: "".join(chr(0x4E00 + (n * 131 + k * 17) % 20000) for k in range(12))
+    rows = [(n, " ".join([word(n)] * 3), f"l{n}") for n in range(1500)] + [(5000 + k, "the same words again", "en") for k in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs)
+    assert set(model.langs) == {r[2] for r in rows}
+    got = language_id.identify(docs, model).selectExpr("lang = _lid.lang_pred AS same").groupBy("same").count().collect()
+    assert {r["same"]: r["count"] for r in got}[True] > 0.99 * len(rows)
+
+
 @pytest.fixture(scope="module")
 def word_tokenizer():
     return Tokenizer.from_file(tokenizer_path(bpe.VOCABULARY))
@@ -157,6 +170,16 @@ def test_bpe_equals_the_tokenizers_library(word_tokenizer):
         assert coder.decode(ids) == word_tokenizer.decode(ids, skip_special_tokens=False)
 
 
+def test_bpe_equals_the_library_on_code_points(word_tokenizer):
+    """Each code point that Unicode tables of different age may read differently, and every 41st of the rest, alone before a letter, a digit, an end."""
+    coder = bpe.loaded(tokenizer_path(bpe.VOCABULARY))
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    young = [c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn"]
+    texts = [f"{c}a {c}1 {c}" for c in [*young[::11], "\u0558", "\u088f", "\u1c89", "\ua7cb", "\U00010940", *every[::41]]]
+    for text, encoded in zip(texts, word_tokenizer.encode_batch(texts, add_special_tokens=False)):
+        assert coder.encode(text) == encoded.ids, ascii(text)
+
+
 def test_bpe_frames(edge_docs, edge_rows, no_docs, word_tokenizer):
     want = Counter()
     for r in edge_rows:
