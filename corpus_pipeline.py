@@ -31,7 +31,11 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keyed.dropDuplicates([row, digest]).join(kept, [row, digest], "left_semi").select(*docs.columns)
 
 
-def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, percent: int = near_dedup.PERCENT) -> DataFrame:
+#: Percent of common five-word shingles from which documents are near duplicates here.
+NEAR_PERCENT = 80
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, percent: int = NEAR_PERCENT) -> DataFrame:
     """One document of each group of near duplicates, linked from `percent` of common shingles on; an id goes when none of its rows is kept."""
     found = near_dedup.near_duplicates(docs, percent=percent)
     gone = found.groupBy("doc_id").agg(F.max("kept").alias("any")).filter("not any").select("doc_id")
