@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadpulse.functions.geo import distance
-from roadpulse.functions.timefn import hour_floor
+from roadpulse.operators.intervals import cover, holders
 from roadpulse.operators.skew import salted_join
 
 QUERY_BLOCK = 512
@@ -22,51 +22,60 @@ def relevant_events(
     """The k nearest events of each query within a radius and a time window, ties by event id.
 
     `queries` (q_id, utc, x, y); `events` (event_id, start_utc, end_utc, x, y). An event matches when
-    it overlaps [utc - hours, utc + hours]; one without an end is still going on. Both sides meet on (time bucket, grid cell): the
-    event is listed in every bucket its widened interval touches, the query in its own and in
-    the nine cells around it, so each match is found once. Hot keys are split.
+    it overlaps [utc - hours, utc + hours]; one without an end is still going on, one without a start matches nothing. Time is cut
+    into buckets of twice the hours. An event's buckets, within those of the queries, are tiled by aligned blocks (`intervals`): a few rows
+    for a year as for an hour. Both sides meet on (level, block, grid cell), the event in the nine cells around it, the query in its own
+    and one block of each level that events have, so each match is found once. Hot keys are split; each task keeps its k best before the shuffle by query.
     """
     width = 2 * hours
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
-    def hour_number(ts):
-        return F.datediff(F.to_date(ts), F.to_date(epoch)) * 24 + F.hour(ts)
 
     def bucket(ts):
-        return F.floor(hour_number(ts) / width)
+        day = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("long")
+        return F.floor((day * 24 + F.hour(ts)) / width)
+
+    def cell(coordinate):
+        return F.floor(F.col(coordinate) / radius)
 
-    q = (
-        queries.withColumn("bucket", bucket(F.col("utc")))
-        .withColumn("dx", F.explode(F.sequence(F.lit(-1), F.lit(1))))
-        .withColumn("dy", F.explode(F.sequence(F.lit(-1), F.lit(1))))
+    asked = bucket(F.col("utc"))
+    span = queries.agg(F.struct(F.min(asked).alias("first"), F.max(asked).alias("last"))).scalar()
+    first = F.timestamp_add("HOUR", F.lit(-hours), F.col("start_utc"))
+    last = F.timestamp_add("HOUR", F.lit(hours), F.col("end_utc"))
+    begin = F.greatest(bucket(first), span["first"])
+    finish = F.least(bucket(last), span["last"])
+    within = events.filter(F.col("start_utc").isNotNull()).withColumns({"begin": begin, "finish": finish})
+    tiled = within.withColumn("tiles", cover(F.col("begin"), F.col("finish")))
+    levels = tiled.select(F.explode("tiles.level").alias("level")).agg(F.collect_set("level")).scalar()
+
+    q = queries.withColumns({"asked": asked, "levels": levels}).select(
+        "q_id",
+        F.col("utc").alias("q_utc"),
+        F.col("x").alias("qx"),
+        F.col("y").alias("qy"),
+        cell("x").alias("cx"),
+        cell("y").alias("cy"),
+        F.inline(holders(F.col("asked"), F.col("levels"))),
+    )
+    around = F.sequence(F.lit(-1), F.lit(1))
+    e = (
+        tiled.select("*", first.alias("first"), last.alias("last"), F.inline("tiles"))
+        .withColumn("dx", F.explode(around))
+        .withColumn("dy", F.explode(around))
         .select(
-            "q_id",
-            F.col("utc").alias("q_utc"),
-            F.col("x").alias("qx"),
-            F.col("y").alias("qy"),
-            "bucket",
-            (F.floor(F.col("x") / radius) + F.col("dx")).alias("cx"),
-            (F.floor(F.col("y") / radius) + F.col("dy")).alias("cy"),
+            "event_id",
+            "first",
+            "last",
+            F.col("x").alias("ex"),
+            F.col("y").alias("ey"),
+            (cell("x") + F.col("dx")).alias("cx"),
+            (cell("y") + F.col("dy")).alias("cy"),
+            "level",
+            "block",
         )
     )
-    first = F.timestamp_add("HOUR", F.lit(-hours), F.col("start_utc"))
-    latest = queries.agg(F.max("utc")).scalar()
-    end = F.coalesce("end_utc", F.greatest("start_utc", latest))
-    last = F.timestamp_add("HOUR", F.lit(hours), end)
-    e = events.select(
-        "event_id",
-        first.alias("first"),
-        last.alias("last"),
-        F.col("x").alias("ex"),
-        F.col("y").alias("ey"),
-        F.floor(F.col("x") / radius).alias("cx"),
-        F.floor(F.col("y") / radius).alias("cy"),
-        F.explode(F.sequence(bucket(hour_floor(first)), bucket(hour_floor(last)))).alias("bucket"),
-    )
     d = distance(F.col("qx"), F.col("qy"), F.col("ex"), F.col("ey"))
     found = (
-        salted_join(q, e, ["bucket", "cx", "cy"])
-        .filter((F.col("q_utc") >= F.col("first")) & (F.col("q_utc") <= F.col("last")))
+        salted_join(q, e, ["level", "block", "cx", "cy"])
+        .filter((F.col("q_utc") >= F.col("first")) & (F.col("last").isNull() | (F.col("q_utc") <= F.col("last"))))
         .withColumn("dist_m", d)
         .filter(F.col("dist_m") <= radius)
     )
