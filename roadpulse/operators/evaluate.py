@@ -17,6 +17,7 @@ from roadpulse.columns import (
     PROMOTION_MARGIN,
     TRAFFIC,
 )
+from roadpulse.functions.stats import t_two_sided
 from roadpulse.operators.quantiles import compared
 
 SHARE_FLOOR = 1e-6
@@ -86,7 +87,10 @@ def seed_summary(metrics: DataFrame, metric: str = "mae") -> DataFrame:
 
 
 def paired_t_statistic(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Paired t of the absolute errors of two models over the rows both predict."""
+    """Paired t of the absolute errors of two models over the rows both predict, and its two-sided probability.
+
+    Without two rows, or where all differences are equal, t and p are NULL.
+    """
     err = F.when(F.col("mask"), F.abs(F.col("y_hat") - F.col("y")))
     paired = (
         df.filter(F.col("model").isin(a, b))
@@ -99,12 +103,13 @@ def paired_t_statistic(df: DataFrame, a: str, b: str) -> DataFrame:
     )
     n = F.count("d")
     spread = F.stddev_samp("d")
-    return paired.agg(
+    found = paired.agg(
         n.alias("n"),
         F.avg("d").alias("mean_difference"),
         (F.avg("d") / F.nullif(spread / F.sqrt(n), F.lit(0.0))).alias("t"),
         (n - 1).alias("df"),
     )
+    return found.withColumn("p", t_two_sided("t", "df"))
 
 
 def feature_drift(
