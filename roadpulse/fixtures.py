@@ -10,7 +10,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.columns import CSV_HEADER, CSV_QUALITY, DET, READINGS_SCHEMA, UTC
+from roadpulse.columns import CSV_HEADER, CSV_QUALITY, DET, READINGS_SCHEMA, TRAFFIC, UTC
 from roadpulse.functions.geo import project_utm33
 from roadpulse.functions.timefn import hour_floor, local_time
 from roadpulse.operators.axes import Axis
@@ -193,11 +193,26 @@ def label_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
 def detector_files(spark: SparkSession, sf_dir: str) -> str:
     """The readings as `;`-separated files, one folder per month and detector; every second site's with the columns reversed."""
     root = scratch_path(spark, "csv")
-    df = readings(spark, sf_dir).withColumnRenamed("quality", CSV_QUALITY)
+    _as_files(readings(spark, sf_dir).withColumn("mm", F.lpad(F.month(UTC).cast("string"), 2, "0")), root)
+    return root
+
+
+def overlapping_files(spark: SparkSession, sf_dir: str) -> str:
+    """As `detector_files`, and the next month's files hold the last days once more, with other values."""
+    root = scratch_path(spark, "csv")
+    months = readings(spark, sf_dir).withColumn("mm", F.lpad(F.month(UTC).cast("string"), 2, "0"))
+    late = months.filter(F.dayofmonth(UTC) >= 28).withColumns({c: F.col(c) + 1 for c in TRAFFIC})
+    _as_files(months.unionByName(late.withColumn("mm", F.lpad((F.col("mm").cast("int") + 1).cast("string"), 2, "0"))), root)
+    return root
+
+
+def _as_files(rows: DataFrame, root: str) -> None:
+    """Readings with a month `mm` as one file per month and detector below `root`."""
+    df = rows.withColumnRenamed("quality", CSV_QUALITY)
     empty = [c for c in CSV_HEADER if c not in df.columns]
     full = df.withColumns({c: F.lit(None).cast("string") for c in empty})
     out = full.select(
-        F.lpad(F.month(UTC).cast("string"), 2, "0").alias("mm"),
+        "mm",
         F.concat(F.col(DET), F.lit(".csv")).alias("file"),
         F.date_format(UTC, "yyyy-MM-dd HH:mm:ss").alias("utc"),
         *[F.col(f"`{c}`") for c in CSV_HEADER if c != "utc"],
@@ -206,7 +221,6 @@ def detector_files(spark: SparkSession, sf_dir: str) -> str:
     for part, columns in ((out.filter(~odd), out.columns), (out.filter(odd), ["mm", "file", *out.columns[:1:-1]])):
         files = part.select(*[F.col(f"`{c}`") for c in columns]).repartition("mm", "file").write.partitionBy("mm", "file")
         files.mode("append").option("sep", ";").option("header", True).csv(root)
-    return root
 
 
 def _parts(df: DataFrame, rows: int) -> Column:
@@ -248,6 +262,12 @@ def month_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.groupBy("mm", "part").applyInPandas(pack, "path string, content binary")
 
 
+def some_damaged(archives: DataFrame) -> DataFrame:
+    """The archives, and under another path what is left of each when its copy breaks off after 20 bytes."""
+    cut = archives.select(F.concat(F.lit("broken/"), "path").alias("path"), F.substring("content", 1, 20).alias("content"))
+    return archives.unionByName(cut)
+
+
 def location_documents(spark: SparkSession, sf_dir: str) -> str:
     """The locations as GeoJSON documents of about 500 features."""
     path = scratch_path(spark, "geojson")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from roadpulse import fixtures as fx
 from roadpulse.columns import DET, FEATURES, QUALITY, TRAFFIC, UTC
-from roadpulse.operators import graph, normalize
+from roadpulse.operators import axes, graph, normalize
 from roadpulse.plans import pipelines
 from roadpulse.registry.base import query, rounded
 from roadpulse.registry.tables import CYC, T6, cells
@@ -44,6 +44,23 @@ def _(spark, d):
     return rounded(readings.parse_lines(lines).select(DET, UTC, QUALITY, *TRAFFIC, "month"))
 
 
+@query(
+    "archive_contents",
+    sql(
+        "readings",
+        """SELECT 'read' AS kind, '01' AS month, det_id, count(*) AS n FROM readings GROUP BY det_id
+           UNION ALL SELECT 'damaged', '01', NULL, 1""",
+    ),
+)
+def _(spark, d):
+    lines, errors = readings.unpack(fx.some_damaged(fx.month_archives(spark, d)))
+    read = readings.parse_lines(lines).groupBy(F.lit("read").alias("kind"), "month", DET).agg(F.count(F.lit(1)).alias("n"))
+    month = readings.month_from_archive("archive").alias("month")
+    # How many archives a month is packed in is the fixture's choice, that each broken copy is reported once is not.
+    lost = errors.groupBy(month).agg((F.count(F.lit(1)) / F.count_distinct("archive")).cast("long").alias("n"))
+    return read.unionByName(lost.select(F.lit("damaged").alias("kind"), "month", F.lit(None).cast("string").alias(DET), "n"))
+
+
 @query("read_locations", sql("locations", f"SELECT det_id, {rs(['lon', 'lat'])}, direction, CAST(lane AS VARCHAR) AS lane FROM locations"))
 def _(spark, d):
     found = readings.read_locations(
@@ -75,6 +92,20 @@ def _(spark, d):
     return rounded(wide, *FEATURES, digits=3)
 
 
+@query("files_to_bundle", sql("norm", f"SELECT det_id, t_idx, utc, {_F32}, mask, split FROM norm"))
+def _(spark, d):
+    """Files of overlapping months and locations to the committed bundle, whole chain."""
+    files = fx.overlapping_files(spark, d)
+    raw = readings.read_detector_csv(spark, files)
+    listed = axes.modern_ids(readings.detectors_from_paths(spark, files))
+    located = axes.valid_detectors(listed, fx.locations(spark, d))
+    nodes = readings.failed_detectors(located, listed, raw)
+    path = scratch_path(spark, "bundle")
+    pipelines.build_bundle(spark, raw, nodes, fx.AXIS, path)
+    wide = bundle.read_bundle(spark, path)["cells"].withColumns({c: F.col(c).cast("double") for c in FEATURES})
+    return rounded(wide, *FEATURES, digits=3)
+
+
 @query(
     "read_bundle",
     sql(

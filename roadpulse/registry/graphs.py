@@ -243,6 +243,21 @@ def _(spark, d):
     return parts["edges"].join(src, "src").join(dst, "dst").select("src_idx", "dst_idx", "weight")
 
 
+@query(
+    "build_graph_summary",
+    sql(
+        ("detector_nodes", "det_binary"),
+        f"""SELECT (SELECT count(*) FROM detector_nodes) AS nodes, (SELECT count(*) FROM det_binary) AS edges,
+        {r('(SELECT count(*) FROM det_binary) / pow((SELECT count(*) FROM detector_nodes), 2)')} AS density,
+        {r(f'min({_D}) FILTER ({_D} > 0)', 3)} AS closest_m, {r(f'max({_D})', 3)} AS furthest_m
+        FROM detector_nodes a JOIN detector_nodes b ON a.id < b.id""",
+    ),
+)
+def _(spark, d):
+    summary = pipelines.build_graph(fx.locations(spark, d), fx.data_ids(spark, d))["summary"]
+    return rounded(rounded(summary, "density"), "closest_m", "furthest_m", digits=3)
+
+
 view("det_sees", ("det_knn",), "SELECT dst AS src, src AS dst, weight FROM det_knn")
 _ABLATED = {"binary": "det_binary", "gaussian": "det_gaussian", "knn": "det_sees", "identity": "det_identity"}
 
