@@ -173,6 +173,13 @@ def keys_of(suffix: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
+def by_shard(shard: np.ndarray, values: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """(shard, its values in their order), for the shards that have any: one sort, however many shards there are."""
+    order = np.argsort(shard, kind="stable")
+    names, first = np.unique(shard[order], return_index=True)
+    return list(zip(names.tolist(), np.split(values[order], first[1:])))
+
+
 class Stretches:
     """What a chunk has to compare, from its texts and the keys that other chunks have; the same whenever it is made."""
 
@@ -190,7 +197,7 @@ class Stretches:
         self.entry = np.searchsorted(self.batch.suffix, suffix)
         shard = np.zeros(len(self.batch.suffix), np.int64)
         shard[self.entry] = (key[mine] % np.uint64(shards)).astype(np.int64)
-        self.of_shard = {s: np.flatnonzero(shard == s) for s in np.unique(shard).tolist()}
+        self.of_shard = dict(by_shard(shard, np.arange(len(shard))))
 
 
 def open_answers(suffix: np.ndarray, key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -297,9 +304,8 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", keep
             for i in range(len(pdf)):
                 chunk, sizes, _, text = _text(pdf.iloc[i : i + 1])
                 keys = np.unique(stretches(text, sizes)[2])
-                shard = (keys % np.uint64(shards)).astype(np.int64)
-                own = ((s, keys[shard == s]) for s in range(shards))
-                yield _blobs([(chunk, 1, s, pack_sorted(k), None, None, None) for s, k in own if len(k)])
+                own = by_shard((keys % np.uint64(shards)).astype(np.int64), keys) if len(keys) else []
+                yield _blobs([(chunk, 1, s, pack_sorted(k), None, None, None) for s, k in own])
 
     def shared(pdf: pd.DataFrame) -> pd.DataFrame:
         parts = [unpack_sorted(a) for a in pdf["a"]]
