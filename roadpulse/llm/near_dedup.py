@@ -217,13 +217,15 @@ def block_links(ids: np.ndarray, component: np.ndarray, items: list[np.ndarray],
 def checked_whole(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between members (id, component, cluster) of a cluster that are in different components.
 
-    Clusters of up to BLOCK members go together by a hash; a larger one is dealt into blocks, and each two blocks meet in a group of their own.
+    Clusters of up to BLOCK members go together by a hash, into as many groups as hold BLOCK members each; a larger one is dealt into
+    blocks, and each two blocks meet in a group of their own.
     """
+    n_bins = max(4 * spread(members.sparkSession), -(-members.count() // BLOCK))
     sizes = members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     placed = members.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j")))
     placed = placed.withColumn("meet", F.explode(meets))
-    bins = F.pmod(F.xxhash64("cluster"), F.lit(4 * spread(members.sparkSession)))
+    bins = F.pmod(F.xxhash64("cluster"), F.lit(n_bins))
     own = F.concat_ws("-", F.col("cluster"), "meet.i", "meet.j")
     placed = placed.withColumn("group", F.when(F.col("blocks") == 1, bins.cast("string")).otherwise(own))
     full = placed.join(sets, "id").select("group", "cluster", "block", "id", "component", "items")
@@ -274,7 +276,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", per
     unsettled = open_.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
     rest = stored(open_.join(unsettled, "key").select("id", "center", "component"), "unsettled")
     clusters = components(rest.select(F.col("center").alias("a"), F.col("id").alias("b")))
-    members = rest.select("id", "component").distinct().join(clusters.withColumnRenamed("component", "cluster"), "id")
+    members = stored(rest.select("id", "component").distinct().join(clusters.withColumnRenamed("component", "cluster"), "id"), "members")
     more = stored(checked_whole(members, sets, percent), "cluster-links")
     final = components(links.unionByName(more)) if not more.isEmpty() else first
 
