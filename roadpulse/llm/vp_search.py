@@ -8,7 +8,8 @@ branch, or a whole shard, is left out when the least distance that the triangle
 it. A factor of one prunes only what can't matter, so the search is exact; larger factors prune more.
 
 Equal vectors are one entry with its k + 1 smallest ids, so a vector that a third of all rows hold is searched once. Queries
-are grouped the same way. Shards hold max(`SHARD_ROWS`, 16 sqrt(n)) vectors, so neither a task nor the number of shards grows as the input.
+are grouped the same way. Shards hold max(`SHARD_ROWS`, `SHARD_ROOTS` sqrt(n)) vectors and meet their queries in blocks of `QUERY_BLOCK`, so neither a
+task nor the number of shards grows as the input.
 """
 
 from __future__ import annotations
@@ -26,10 +27,13 @@ from roadpulse.llm.common import Query, stored, table
 K = 20
 FACTOR = 1.1
 SHARD_ROWS = 4096
+SHARD_ROOTS = 16
 LEAF_ROWS = 128
 #: Vectors of the sample for each shard, and of the sample in all, on which the shards' tree is built.
 SAMPLE_A_SHARD = 64
 MAX_SAMPLE = 65_536
+#: Queries that meet a shard in one task.
+QUERY_BLOCK = 4096
 #: Room for rounding in bounds.
 SLACK = 1e-9
 
@@ -182,7 +186,7 @@ def nearest(
         return spark.createDataFrame([], f"query_id long, rank int, `{id}` long, score double")
     largest = float(largest) * (1 + 1e-12)
 
-    shard_rows = max(SHARD_ROWS, int(16 * math.sqrt(n)))
+    shard_rows = max(SHARD_ROWS, int(SHARD_ROOTS * math.sqrt(n)))
     n_shards = -(-n // shard_rows)
     wanted = min(MAX_SAMPLE, n_shards * SAMPLE_A_SHARD)
     let = int(min(1.0, 2 * wanted / n) * (1 << 30))
@@ -233,7 +237,15 @@ def nearest(
     asked = stored(asked.withColumn("shard", home_of("v")).withColumn("reach", F.lit(float("inf"))), "asked")
 
     def searched(ask: DataFrame, name: str) -> DataFrame:
-        return stored(located.groupBy("shard").cogroup(ask.groupBy("shard")).applyInPandas(in_shard, schema), name)
+        """Finds of the stored queries; a shard meets its queries in blocks, so no task holds more than a shard and a block."""
+
+        def counted(name: str) -> DataFrame:
+            return ask.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias(name))
+
+        copied = located.join(counted("copies"), "shard").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+        dealt = ask.join(counted("blocks"), "shard").withColumn("block", F.pmod(F.xxhash64("query"), F.col("blocks")).cast("int"))
+        both = copied.groupBy("shard", "block").cogroup(dealt.groupBy("shard", "block"))
+        return stored(both.applyInPandas(in_shard, schema), name)
 
     def best(found: DataFrame, most: int) -> DataFrame:
         ranked = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))
@@ -245,6 +257,7 @@ def nearest(
     reach = F.when(F.col("n") > k, F.sqrt(F.greatest(F.lit(0.0), 2 * largest * (largest - F.col("least") / norm)))).otherwise(F.lit(float("inf")))
     onward = asked.drop("reach").join(last, "query", "left").withColumn("reach", reach)
     onward = onward.withColumn("shard", F.explode(others("v", "shard", "reach"))).select("query", "v", "shard", "reach")
+    onward = stored(onward, "onward")
     found = first.unionByName(searched(onward, "found-elsewhere")).select("query", F.explode("ids").alias("id"), "score").distinct()
     finds = best(found, k + 1).select("query", "id", "score")
 

@@ -145,6 +145,20 @@ def test_nearest(spark, factor, least):
         assert found == [want[q] for q in sorted(want)]
 
 
+def test_nearest_over_many_shards_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(vp_search, "SHARD_ROWS", 125)
+    monkeypatch.setattr(vp_search, "LEAF_ROWS", 16)
+    monkeypatch.setattr(vp_search, "QUERY_BLOCK", 4)
+    monkeypatch.setattr(vp_search, "SHARD_ROOTS", 1)  # so that a small table has 16 shards
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(np.float32(c)) for c in rng.normal(0, 1, 8) * (1 + i % 3)]) for i in range(2000)]
+    got = defaultdict(dict)
+    for r in vp_search.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("id") % 20 == 0, factor=1.0).collect():
+        got[r["query_id"]][r["rank"]] = r["vec_id"]
+    want = brute_nearest(rows, 20)
+    assert {q: [v[r] for r in sorted(v)] for q, v in got.items()} == want
+
+
 def test_nearest_with_few_and_none(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.5, -0.5])], "vec_id long, embedding array<float>")
     got = vp_search.nearest(few, F.col("id") % 20 == 0).collect()
