@@ -40,11 +40,13 @@ WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{SPACE}\p
 
 
 @functools.cache
-def unassigned() -> regex.Pattern:
-    """Any character without a meaning in this Python's Unicode tables: only there can other versions differ."""
-    none = np.fromiter((unicodedata.category(chr(c)) == "Cn" for c in range(0x110000)), bool, 0x110000)
-    edges = np.flatnonzero(np.diff(none, prepend=False, append=False)).tolist()
-    return regex.compile("[" + "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[0::2], edges[1::2])) + "]")
+def unassigned() -> np.ndarray:
+    """For each code point, whether it has no meaning in this Python's Unicode tables: only there can other versions differ."""
+    return np.fromiter((unicodedata.category(chr(c)) == "Cn" for c in range(0x110000)), bool, 0x110000)
+
+
+def has_unassigned(text: str) -> bool:
+    return bool(unassigned()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")].any())
 
 
 #: Stands for the end of a word inside tokens; always part of the token before it.
@@ -191,7 +193,7 @@ class Bpe:
                 i = self.added[part]
                 out.append((struct.pack("<I", i), part, 1))
                 continue
-            if not part.isascii() and unassigned().search(part):
+            if not part.isascii() and has_unassigned(part):
                 out += [get(w) or word_of(w) for w in self._library_words(part)]
                 continue
             if not part.isascii():
