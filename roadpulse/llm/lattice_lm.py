@@ -4,7 +4,11 @@ The pieces of an existing vocabulary are the arcs of a word's lattice. Their fir
 ranks, read as Zipf's law); expectation steps over all distinct training words then fit the weights.
 The log-space forward recursion sums over all segmentations; a piece that begins a word ends the one before it, so
 the weights of all words sum to one. That is the bottom of the model: above it stand the word counts of all training documents, which
-give the discounted mass of their counts to it. So the score is a true log10 probability.
+give the discounted mass of their counts to it. So the score is a true log10 probability. Beside it stands `lattice_score`, the marginal
+under the vocabulary's own scores alone, without anything learnt but how often a text ends.
+
+Words of one length are summed together, place by place. Words of a rare length, and long runs without spaces such as whole texts in
+scripts that write none, go through one automaton that names every piece at every place: time and memory grow as their length.
 
 Passes over the texts: one counts words, one scores. Words above 1/`HOT_SHARES` of all tokens (fewer than `HOT_SHARES`,
 whatever the corpus) are sent to the scoring tasks and scored in place. All others go, packed by chunk of documents, to the bucket of
@@ -14,12 +18,14 @@ chunk. No task holds more than a bucket or a chunk, and nothing but weights, tot
 
 from __future__ import annotations
 
+import math
 import zlib
 from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -38,6 +44,10 @@ STEPS = 4
 CHUNK_PAIRS = 800_000
 LEAST_BUCKETS = 12
 BUCKET_WORDS = 100_000
+#: Tokens a bucket has on average at most; its pairs are no more than its tokens.
+BUCKET_TOKENS = 10_000_000
+#: Fewer words than this are not worth a pass of array operations for every place: each is walked alone.
+TOGETHER = 200
 #: Distinct words that a task counts before it hands them on.
 COUNTED_WORDS = 200_000
 ZIPF = 2.7
@@ -75,6 +85,11 @@ class Lattice:
         self.keys = keys[self.order]
         self.lengths = sorted({len(p) for p in self.pieces})
         self.powers = np.array([pow(int(self.BASE), n, 1 << 64) for n in range(max(self.lengths) + 1)], np.uint64)
+        self.sizes = np.array([len(p) for p in self.pieces])
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for i, p in enumerate(self.pieces):
+            self.automaton.add_word(p.decode("latin-1"), i)  # a character a byte
+        self.automaton.make_automaton()
 
     def _key(self, piece: bytes) -> int:
         h = 0
@@ -82,13 +97,24 @@ class Lattice:
             h = (h * int(self.BASE) + b + 1) % (1 << 64)
         return h
 
-    def batches(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, list[list[tuple[int, np.ndarray, np.ndarray]]]]]:
-        """Words of one length at a time: (their places, for each end the arcs (length, rows, pieces))."""
+    def _step(self, n: int) -> int:
+        """Words of `n` bytes that are summed together."""
+        return 1_000_000 // (n * len(self.lengths))
+
+    def split(self, words: list[bytes]) -> tuple[dict[int, list[int]], list[int]]:
+        """Places of the words to be summed together, by length with the space, and of those walked alone."""
         by_length: dict[int, list[int]] = {}
         for i, w in enumerate(words):
             by_length.setdefault(len(w) + 1, []).append(i)
+        together = {n: places for n, places in by_length.items() if min(len(places), self._step(n)) >= TOGETHER}
+        return together, [i for n, places in by_length.items() if n not in together for i in places]
+
+    def batches(
+        self, words: list[bytes], by_length: dict[int, list[int]]
+    ) -> Iterator[tuple[np.ndarray, list[list[tuple[int, np.ndarray, np.ndarray]]]]]:
+        """Words of one length at a time: (their places, for each end the arcs (length, rows, pieces))."""
         for n, places in by_length.items():
-            step = max(1, 1_000_000 // (n * len(self.lengths)))
+            step = self._step(n)
             for at in range(0, len(places), step):
                 rows = np.array(places[at : at + step])
                 text = np.frombuffer(b"".join([b" " + words[i] for i in rows]), np.uint8).reshape(len(rows), n).astype(np.uint64) + np.uint64(1)
@@ -121,14 +147,52 @@ class Lattice:
     def log_probability(self, words: list[bytes], weight: np.ndarray) -> np.ndarray:
         """Natural log of each word's marginal probability over all segmentations, for each row of weights."""
         out = np.zeros((len(words), len(weight)))
-        for rows, ends in self.batches(words):
+        together, alone = self.split(words)
+        for rows, ends in self.batches(words, together):
             out[rows] = self._forward(len(rows), ends, weight)[-1].T
+        for i in alone:
+            ends, pieces = self._arcs(words[i])
+            places = ends.tolist(), (ends - self.sizes[pieces]).tolist()
+            out[i] = [self._walk(*places, row[pieces].tolist())[-1] for row in weight]
         return out
 
+    def _arcs(self, word: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """(ends, pieces) of all arcs of a word's lattice, by end. Every byte is a piece, so every place has an arc."""
+        ends, pieces = array("q"), array("q")
+        for end, piece in self.automaton.iter((b" " + word).decode("latin-1")):
+            ends.append(end + 1)
+            pieces.append(piece)
+        return np.frombuffer(ends, np.int64), np.frombuffer(pieces, np.int64)
+
+    @staticmethod
+    def _walk(ends: list[int], starts: list[int], weight: list[float]) -> list[float]:
+        """Log sums up to each place of one word."""
+        exp, log1p, alpha, last, total = math.exp, math.log1p, [0.0], 1, -math.inf
+        for end, start, w in zip(ends, starts, weight):
+            if end != last:
+                alpha.append(total)
+                last, total = end, -math.inf
+            value = alpha[start] + w
+            if value > total:
+                total, value = value, total
+            total += log1p(exp(value - total))
+        alpha.append(total)
+        return alpha
+
     def expected(self, words: list[bytes], weight: np.ndarray) -> np.ndarray:
         """How often each piece is used, expected over the segmentations of all words."""
         total = np.zeros(len(self.pieces))
-        for rows, ends in self.batches(words):
+        together, alone = self.split(words)
+        for i in alone:
+            ends, pieces = self._arcs(words[i])
+            starts, n = ends - self.sizes[pieces], len(words[i]) + 1
+            alpha = np.array(self._walk(ends.tolist(), starts.tolist(), weight[pieces].tolist()))
+            # The same walk from the other end: arcs by their start, backwards.
+            back = np.lexsort((ends, starts))[::-1]
+            beta = self._walk((n - starts[back]).tolist(), (n - ends[back]).tolist(), weight[pieces[back]].tolist())
+            through = alpha[starts] + weight[pieces] + np.array(beta)[n - ends] - alpha[-1]
+            total += np.bincount(pieces, np.exp(through), len(total))
+        for rows, ends in self.batches(words, together):
             alpha = self._forward(len(rows), ends, weight[None, :])[:, 0]
             beta = np.full_like(alpha, -np.inf)
             beta[-1] = 0
@@ -181,14 +245,20 @@ class Model:
 
     def log10_words(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
         """log10 probability of each word, from its training count (counts in columns are added up)."""
+        return self.log10_scores(words, counts)[0]
+
+    def log10_scores(self, words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """`log10_words`, and log10 probability of each word under the vocabulary's scores alone."""
         # In logs throughout: the probability of a long unknown word is far below the least number.
-        lattice_p = lattice(self.vocabulary).log_probability(words, self.weight[None, :])[:, 0]
+        shapes = lattice(self.vocabulary)
+        lattice_p, plain_p = shapes.log_probability(words, np.stack([self.weight, shapes.start])).T
         total = counts.sum(1) if counts.ndim > 1 else counts
         words_n = max(1, self.tokens - self.docs)
         spare = DISCOUNT * self.types / words_n if self.types else 1.0
         with np.errstate(divide="ignore"):  # words not seen: minus infinity
             seen = np.log(np.maximum(total - DISCOUNT, 0) / words_n)
-        return np.logaddexp(seen, np.log(spare) + lattice_p) / LN10 + np.log10(1 - self.end_share())
+        goes_on = np.log10(1 - self.end_share())
+        return np.logaddexp(seen, np.log(spare) + lattice_p) / LN10 + goes_on, plain_p / LN10 + goes_on
 
     def end_share(self) -> float:
         """Of all tokens, the ends; never none or all."""
@@ -275,14 +345,14 @@ def _packed(words: list[bytes], word: np.ndarray, pairs: np.ndarray, n_buckets:
     bucket = np.array([zlib.crc32(w) % n_buckets for w in words], np.int64)
     order = np.lexsort((word, bucket[word]))
     pairs, sizes = pairs[order], np.bincount(word, minlength=len(words))
+    by_bucket = np.argsort(bucket, kind="stable")
+    used, first = np.unique(bucket[by_bucket], return_index=True)
     at = 0
-    for b in range(n_buckets):
-        own = np.flatnonzero(bucket == b)
-        if len(own):
-            names, n = [words[i] for i in own.tolist()], int(sizes[own].sum())
-            head = np.array([len(own), *map(len, names), *sizes[own].tolist()], "<u4").tobytes()
-            yield b, head + b"".join(names) + pairs[at : at + n].astype("<u8").tobytes()
-            at += n
+    for b, own in zip(used.tolist(), np.split(by_bucket, first[1:])):
+        names, n = [words[i] for i in own.tolist()], int(sizes[own].sum())
+        head = np.array([len(own), *map(len, names), *sizes[own].tolist()], "<u4").tobytes()
+        yield b, head + b"".join(names) + pairs[at : at + n].astype("<u8").tobytes()
+        at += n
 
 
 def _unpacked(blob: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -296,23 +366,24 @@ def _unpacked(blob: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
 
 
 def score(docs: DataFrame, model: Model, learnt: Column, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of `docs`: id, learnt, n_tokens, n_known, base_score, score.
+    """One row per row of `docs`: id, learnt, n_tokens, n_known, base_score, score, lattice_score.
 
     `learnt` says which rows the model was trained on; it must be the rows given to `train`, as counts of rare words are
     taken from them again. A null or empty text has the end as its only token. Repeated rows are scored each; null ids
-    pass. Other columns are not read. An empty table gives no rows.
+    pass. A very long text is one row of a task and is scored whole, in time that grows as its length, with or without spaces. Other columns
+    are not read. An empty table gives no rows.
     """
     spark = docs.sparkSession
     small_batches(spark)
     sent = spark.sparkContext.broadcast(model)
     number = zlib.crc32(model.weight.tobytes()) ^ zlib.crc32(model.hot_counts.tobytes()) ^ model.n
-    n_buckets = max(LEAST_BUCKETS, -(-model.types // BUCKET_WORDS))
+    n_buckets = max(LEAST_BUCKETS, -(-model.types // BUCKET_WORDS), -(-model.tokens // BUCKET_TOKENS))
     narrow = docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"), learnt.alias("learnt"))
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m: Model = sent.value
         hot = once(("hot", number), lambda: {w: i for i, w in enumerate(m.hot)})
-        log = once(("hot-log", number), lambda: m.log10_words(m.hot, m.hot_counts))
+        log, plain = once(("hot-log", number), lambda: m.log10_scores(m.hot, m.hot_counts))
         base, get = np.log10(m.hot_counts + 1), hot.get
         chunk = TaskContext.get().partitionId() << 24
         rows, rare, word, pairs = [], {}, array("q"), array("Q")
@@ -320,7 +391,7 @@ def score(docs: DataFrame, model: Model, learnt: Column, id: str = "doc_id", tex
         def flush() -> pd.DataFrame:
             blobs = _packed(list(rare), np.array(word), np.array(pairs), n_buckets)
             blobs = pd.DataFrame(blobs, columns=["bucket", "blob"])
-            found = pd.DataFrame(rows, columns=["id", "learnt", "n_tokens", "n_known", "base", "log", "place"])
+            found = pd.DataFrame(rows, columns=["id", "learnt", "n_tokens", "n_known", "base", "log", "plain", "place"])
             frame = pd.concat([found.assign(bucket=-1), blobs])[["bucket", "blob", *found.columns]]
             return frame.assign(chunk=chunk).astype({"n_tokens": "Int64", "n_known": "Int64", "place": "Int64"})
 
@@ -336,7 +407,7 @@ def score(docs: DataFrame, model: Model, learnt: Column, id: str = "doc_id", tex
                         word.append(rare.setdefault(w, len(rare)))
                         pairs.append(ref | min(c[w], 0xFFFFFFFF))
                 at, n = at[is_hot], n[is_hot]
-                rows.append((i, own, c.total() + 1, int(n.sum()), float(n @ base[at]), float(n @ log[at]), len(rows)))
+                rows.append((i, own, c.total() + 1, int(n.sum()), *(float(n @ v[at]) for v in (base, log, plain)), len(rows)))
                 if len(pairs) >= CHUNK_PAIRS:
                     yield flush()
                     chunk, rows, rare, word, pairs = chunk + 1, [], {}, array("q"), array("Q")
@@ -344,10 +415,10 @@ def score(docs: DataFrame, model: Model, learnt: Column, id: str = "doc_id", tex
             yield flush()
 
     kind = dict(narrow.dtypes)["id"]
-    doc_columns = f"id {kind}, learnt boolean, n_tokens long, n_known long, base double, log double, place long"
+    doc_columns = f"id {kind}, learnt boolean, n_tokens long, n_known long, base double, log double, plain double, place long"
     dealt = stored(narrow.mapInPandas(deal, f"bucket int, blob binary, {doc_columns}, chunk long"), "lm-chunks")
 
-    partial = np.dtype([("doc", "<u4"), ("known", "<f8"), ("base", "<f8"), ("log", "<f8")])
+    partial = np.dtype([("doc", "<u4"), ("known", "<f8"), ("base", "<f8"), ("log", "<f8"), ("plain", "<f8")])
 
     def look_up(pdf: pd.DataFrame) -> pd.DataFrame:
         m: Model = sent.value
@@ -362,7 +433,7 @@ def score(docs: DataFrame, model: Model, learnt: Column, id: str = "doc_id", tex
             own = (pairs >> np.uint64(32)) & np.uint64(15) > 0
             np.add.at(used, word[own], (pairs[own] & np.uint64(0xFFFFFFFF)).astype(float))
         counts = used[: len(number_of)]
-        log = m.log10_words(list(number_of), counts)
+        log, plain = m.log10_scores(list(number_of), counts)
         base = np.log10(counts + 1)
         out = []
         for chunk, (word, pairs) in zip(pdf["chunk"], parts):
@@ -373,6 +444,7 @@ def score(docs: DataFrame, model: Model, learnt: Column, id: str = "doc_id", tex
             found["base"] = np.bincount(of, times * base[word])
             found["known"] = np.bincount(of, times * (counts > 0)[word])
             found["log"] = np.bincount(of, times * log[word])
+            found["plain"] = np.bincount(of, times * plain[word])
             out.append((chunk, found.tobytes()))
         return pd.DataFrame(out, columns=["chunk", "sums"])
 
@@ -381,18 +453,18 @@ def score(docs: DataFrame, model: Model, learnt: Column, id: str = "doc_id", tex
     def finish(pdf: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
         m: Model = sent.value
         pdf = pdf.sort_values("place")
-        total = pdf[["base", "n_known", "log"]].to_numpy(float)
+        total = pdf[["base", "n_known", "log", "plain"]].to_numpy(float)
         for blob in parts["sums"]:
             part = np.frombuffer(blob, partial)
-            total[part["doc"]] += np.column_stack([part["base"], part["known"], part["log"]])
+            total[part["doc"]] += np.column_stack([part[c] for c in ("base", "known", "log", "plain")])
         n = pdf["n_tokens"].to_numpy(np.int64)
         base = total[:, 0] + np.log10(m.docs + 1) - n * np.log10(m.n + m.v + 1)
         out = pdf[["id", "learnt"]].assign(n_tokens=n, n_known=np.round(total[:, 1]).astype(np.int64) + (m.docs > 0), base_score=base)
-        return out.assign(score=total[:, 2] + np.log10(m.end_share()))
+        return out.assign(score=total[:, 2] + np.log10(m.end_share()), lattice_score=total[:, 3] + np.log10(m.end_share()))
 
     heads = dealt.filter("bucket < 0").drop("bucket", "blob")
     found = heads.groupBy("chunk").cogroup(looked.groupBy("chunk")).applyInPandas(
-        finish, f"id {kind}, learnt boolean, n_tokens long, n_known long, base_score double, score double"
+        finish, f"id {kind}, learnt boolean, n_tokens long, n_known long, base_score double, score double, lattice_score double"
     )
     return found.withColumnRenamed("id", id)
 
@@ -406,7 +478,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = train(docs.filter(~held_out()))
     found = score(docs, model, ~held_out())
     train_tokens = F.lit(model.n).cast("long").alias("train_tokens")
-    return found.select("doc_id", (~F.col("learnt")).alias("held_out"), "n_tokens", "n_known", train_tokens, "base_score", "score")
+    return found.select("doc_id", (~F.col("learnt")).alias("held_out"), "n_tokens", "n_known", train_tokens, "base_score", "score", "lattice_score")
 
 
 QUERIES: dict[str, tuple[Query, str | None]] = {"op10_lattice_lm": (op10, None)}

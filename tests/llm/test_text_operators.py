@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 import unicodedata
 import re
 import zlib
@@ -211,6 +212,39 @@ def test_lattice_sums_over_all_segmentations():
     assert abs(sum(len(p) * n for p, n in zip(lattice.pieces, uses)) - 4) < 1e-9  # the pieces cover the word and its space
 
 
+def test_lattice_walks_alone_as_together(monkeypatch):
+    lattice, rng = lattice_lm.lattice(lattice_lm.VOCABULARY), random.Random(3)
+    words = [bytes(rng.choices(b"thenigsaor\xe6\xbc", k=rng.randrange(1, 30))) for _ in range(2000)]
+    weight = np.stack([lattice.start, lattice.weights(lattice.expected(words[:500], lattice.start))])
+    found = []
+    for least in (1, 10**9):
+        monkeypatch.setattr(lattice_lm, "TOGETHER", least)
+        assert bool(lattice.split(words)[0]) == (least == 1)
+        found.append((lattice.log_probability(words, weight), lattice.expected(words, weight[1])))
+    assert np.allclose(found[0][0], found[1][0]) and np.allclose(found[0][1], found[1][1])
+
+
+def test_lattice_of_long_texts_without_spaces():
+    lattice, rng = lattice_lm.lattice(lattice_lm.VOCABULARY), random.Random(5)
+    text = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(70_000)).encode()
+    began = time.process_time()
+    (whole,) = lattice.log_probability([text], lattice.start[None, :])[:, 0]
+    uses = lattice.expected([text], lattice.start)
+    assert time.process_time() - began < 20  # 210 KB; array operations for every place took minutes
+    assert math.isfinite(whole) and abs(uses @ lattice.sizes / (len(text) + 1) - 1) < 1e-5  # log sums of millions are rounded
+
+
+def test_lattice_score_is_the_marginal_under_the_vocabulary(spark):
+    rows = [(0, "the thing"), (1, ""), (2, "漢字と仮名 zzxq the the"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = lattice_lm.train(docs)
+    shapes, end = lattice_lm.lattice(lattice_lm.VOCABULARY), model.end_share()
+    plain = {w: shapes.log_probability([w], shapes.start[None, :])[0, 0] / math.log(10) for _, t in rows for w in lattice_lm.words_of(t)}
+    want = {i: sum(plain[w] + math.log10(1 - end) for w in lattice_lm.words_of(t)) + math.log10(end) for i, t in rows}
+    got = {r["doc_id"]: r["lattice_score"] for r in lattice_lm.score(docs, model, F.lit(True)).collect()}
+    assert np.allclose([got[i] for i in want], list(want.values()))
+
+
 def test_lm_scores(edge_docs, edge_rows, no_docs):
     learnt = F.coalesce(F.col("doc_id") % 3 != 1, F.lit(False))
     model = lattice_lm.train(edge_docs.filter(learnt))
