@@ -8,6 +8,7 @@ import unicodedata
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -32,6 +33,32 @@ def test_license_scan_sees_through_layout_and_spelling(spark):
     assert [r["digest"] == empty for r in found].count(True) == 3
 
 
+def test_license_scan_takes_copyright_lines_of_many_forms(spark):
+    mit = dict(license_texts.KNOWN[:1])["MIT"]
+    heads = ["Copyright Jane Doe 2020", "Copyright: 1999-2021, The Doe Company", "  * copyright by jane doe", "COPYRIGHT (C) Jane Doe", "Copyright notice"]
+    rows = [(i, f"{h}\n\n{mit}") for i, h in enumerate(heads)]
+    found = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    assert {r["doc_id"]: r["license"] for r in found} == {0: "MIT", 1: "MIT", 2: "MIT", 3: "MIT", 4: None}
+
+
+def test_license_scan_knows_long_texts_by_digest(spark):
+    folder = Path("/usr/share/common-licenses")
+    files = {"Apache-2.0": "Apache-2.0", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    if not all((folder / f).exists() for f in files.values()):
+        pytest.skip("no licence texts here")
+    rows = []
+    for name, f in files.items():
+        text = (folder / f).read_text()
+        rows += [(name, text), (name, re.sub("[ \t]+", "\t ", text.upper())), (None, text.replace("program", "car", 1).replace("Work", "Car", 1).replace("Source", "Car", 1))]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id int, text string")
+    got = {r["doc_id"]: r["license"] for r in license_scan.scan_licenses(docs).collect()}
+    assert [got[i] for i in range(0, len(rows), 3)] == list(files)
+    assert [got[i] for i in range(1, len(rows), 3)] == list(files)
+    assert [got[i] for i in range(2, len(rows), 3)] == [None] * len(files)
+    own = license_scan.scan_licenses(docs, digests=[("mine", r["digest"]) for r in license_scan.scan_licenses(docs).filter("doc_id = 2").collect()])
+    assert [r["doc_id"] for r in own.filter("license = 'mine'").collect()] == [2]
+
+
 def test_license_scan_edges(edge_docs, edge_rows, no_docs):
     found = license_scan.scan_licenses(edge_docs).collect()
     assert len(found) == len(edge_rows) and license_scan.scan_licenses(no_docs).count() == 0
