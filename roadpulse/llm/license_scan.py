@@ -22,7 +22,8 @@ MAX_KNOWN = 20_000
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: A line that begins with a copyright sign, or with "copyright" and holds a year or goes on with "by" or a sign.
 COPYRIGHT_LINE = (
-    r"^[^a-z0-9\n]*(copyright:? ?(\(c\)|©|[0-9]|by )|copyright[^\n]*[^0-9\n](19|20)[0-9][0-9]|©|\(c\) ?[0-9]|all rights reserved)[^\n]*$"
+    r"^[^a-z0-9\n]*(copyright:?[ \t]*(\(c\)|©|[0-9]|by[ \t])|copyright[^\n]*[^0-9\n](19|20)[0-9][0-9]|©|\(c\)[ \t]*[0-9]"
+    r"|all[ \t]+rights[ \t]+reserved)[^\n]*$"
 )
 NO_WORD = r"[^\p{L}\p{N}\n]+"
 #: Variants of several words may be broken by a line's end; those of one word can't.
