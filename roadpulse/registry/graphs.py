@@ -99,6 +99,11 @@ def _(spark, d):
     return rounded(graph.sigma_all_pairs(fx.customer_nodes(spark, d)), digits=3)
 
 
+@query("sigma_within_error", sql("cust_sigma", f"SELECT {r('sigma_m', -1)} AS sigma_m FROM cust_sigma"))
+def _(spark, d):
+    return rounded(graph.sigma_all_pairs(fx.customer_nodes(spark, d), max_error=1e-6), digits=-1)
+
+
 @query(
     "sym_normalized_adjacency",
     sql(
