@@ -143,45 +143,33 @@ def failed_detectors(listed: DataFrame, file_ids: DataFrame, readings: DataFrame
 
 # --- archives ------------------------------------------------------------------
 
-_LINES = T.StructType(
-    [
-        T.StructField("archive", T.StringType()),
-        T.StructField("member", T.StringType()),
-        T.StructField("header", T.StringType()),
-        T.StructField("line_no", T.LongType()),
-        T.StructField("line", T.StringType()),
-        T.StructField("error", T.StringType()),
-    ]
-)
-CHUNK_LINES = 20_000
+_CHUNKS = "archive string, member string, header string, first_line long, chunk string, error string"
+#: Characters of a member that pass from Python to Spark in one piece, to the end of a line.
+CHUNK_CHARS = 4_000_000
 
 
-def _line_reader(chunk: int = CHUNK_LINES):
+def _chunk_reader(size: int = CHUNK_CHARS):
     """Built per call, so that it is shipped by value to the executors."""
-    names = [f.name for f in _LINES.fields]
+    names = [c.split()[0] for c in _CHUNKS.split(", ")]
 
-    def members(path: str, content: bytes) -> Iterator[list[tuple]]:
+    def chunks(path: str, content: bytes) -> Iterator[tuple]:
         with tarfile.open(fileobj=io.BytesIO(content), mode="r:gz") as tar:
             for info in tar.getmembers():  # reads to the end: a cut archive fails here
                 if not (info.isfile() and info.name.endswith(".csv")):
                     continue
                 text = io.TextIOWrapper(tar.extractfile(info), encoding="utf-8-sig")
-                header = text.readline().rstrip("\r\n")
-                rows = []
-                for no, line in enumerate(text, start=1):
-                    rows.append((path, info.name, header, no, line.rstrip("\r\n"), None))
-                    if len(rows) >= chunk:
-                        yield rows
-                        rows = []
-                yield rows
+                header, line = text.readline().rstrip("\n"), 1
+                while chunk := text.read(size):
+                    chunk = (chunk + text.readline()).removesuffix("\n")
+                    yield path, info.name, header, line, chunk, None
+                    line += chunk.count("\n") + 1
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 try:
-                    for rows in members(path, content):
-                        if rows:
-                            yield pd.DataFrame(rows, columns=names)
+                    for row in chunks(path, content):
+                        yield pd.DataFrame([row], columns=names)
                 except (tarfile.TarError, EOFError, OSError, UnicodeDecodeError, ValueError) as e:
                     failed = (path, None, None, None, None, f"{type(e).__name__}: {e}")
                     yield pd.DataFrame([failed], columns=names)
@@ -197,19 +185,20 @@ def month_from_archive(path: Column | str) -> Column:
 def unpack(archives: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(lines, errors) of a frame of archives (path, content).
 
-    One task per archive streams its members; no member path is ever written. A
+    One task per archive hands on its members in chunks of text, which Spark splits into lines; no member path is ever written. A
     corrupt archive gives a row in `errors` and the others go on. Archives are read once: what they hold
     is written to the scratch folder and both results read that.
     """
-    all_rows = materialize(archives.mapInPandas(_line_reader(), _LINES), "lines")
+    all_rows = materialize(archives.mapInPandas(_chunk_reader(), _CHUNKS), "chunks")
     lines = all_rows.filter(F.col("error").isNull()).select(
         "archive",
         month_from_archive("archive").alias("month"),
         F.regexp_extract("member", r"([^/]+)\.csv$", 1).alias(DET),
         "header",
-        "line_no",
-        "line",
+        "first_line",
+        F.posexplode(F.split("chunk", "\n")).alias("_at", "line"),
     )
+    lines = lines.withColumn("line_no", F.col("first_line") + F.col("_at")).drop("first_line", "_at")
     return lines, all_rows.filter(F.col("error").isNotNull()).select("archive", "error")
 
 
@@ -218,10 +207,19 @@ def unpack_archives(spark: SparkSession, glob: str) -> tuple[DataFrame, DataFram
     return unpack(spark.read.format("binaryFile").load(glob).select("path", "content"))
 
 
+def _fields(line: Column) -> Column:
+    """Cells of a line; a separator between quotes is part of a cell."""
+    outside = SEP + r'(?=(?:[^"]*"[^"]*")*[^"]*$)'
+    bare = F.transform(
+        F.split(line, outside), lambda c: F.replace(F.regexp_replace(c, r'^\s*"(.*)"\s*$', "$1"), F.lit('""'), F.lit('"'))
+    )
+    return F.when(F.contains(line, F.lit('"')), bare).otherwise(F.split(line, SEP))
+
+
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Archive lines to readings; cells are found by the name in the header of their file."""
-    names = F.transform(F.split("header", SEP), lambda c: F.trim(c))
-    cells = lines.withColumn("_names", names).withColumn("_cells", F.split("line", SEP))
+    names = F.transform(_fields(F.col("header")), lambda c: F.trim(c))
+    cells = lines.withColumn("_names", names).withColumn("_cells", _fields(F.col("line")))
 
     def cell(name: str) -> Column:
         at = F.array_position("_names", F.lit(name)).cast("int")

@@ -165,6 +165,30 @@ def test_archives(spark, tmp_path):
     assert landed.filter("month = '01'").count() == 3
 
 
+def test_archive_lines_from_chunks(spark, monkeypatch):
+    text = csv_text([hour(f"2023-01-01 {h:02d}:00:00", h) for h in range(24)])
+    quoted = text.replace(";", '";"').replace("\n", '"\r\n"')
+    members = {"TEU1.csv": text, "TEU2.csv": '"' + quoted.removesuffix('"'), "TEU3.csv": text.split("\n")[0], "TEU4.csv": ""}
+    blob = io.BytesIO()
+    with tarfile.open(fileobj=blob, mode="w:gz") as tar:
+        for name, content in members.items():
+            info = tarfile.TarInfo(name)
+            info.size = len(content.encode())
+            tar.addfile(info, io.BytesIO(content.encode()))
+    archives = spark.createDataFrame([("detektoren_2023_01.tgz", blob.getvalue())], "path string, content binary")
+    found = []
+    for size in (1, 70, 10**6):
+        reader = readings._chunk_reader
+        monkeypatch.setattr(readings, "_chunk_reader", lambda: reader(size))
+        lines, errors = readings.unpack(archives)
+        assert errors.count() == 0
+        found.append(sorted((r.det_id, r.row_order, r.utc, r.vkfz) for r in readings.parse_lines(lines).collect()))
+        monkeypatch.undo()
+    assert found[0] == found[1] == found[2]
+    want = [(h + 1, datetime(2023, 1, 1, h), float(h)) for h in range(24)]
+    assert found[0] == [(det, *row) for det in ("TEU1", "TEU2") for row in want]
+
+
 def test_locations_and_holidays(spark, tmp_path):
     feature = {
         "type": "Feature",
