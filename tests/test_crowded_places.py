@@ -56,3 +56,24 @@ def test_work_is_cut_into_tasks(crowd, monkeypatch):
 def test_one_row_for_two_places(crowd):
     """Four places near each other, one far off: ten pairs of places with the places themselves, and the far one, whatever the nodes."""
     assert graph._close_chunks(crowd[1], 5000.0, strict=False).count() == 11
+
+
+def test_normalised_graph_without_edges(crowd, small_tasks):
+    _, nodes = crowd
+    want = graph.sym_normalized_adjacency(graph.radius_graph_gaussian(nodes, sigma=900.0))
+    got = graph.sym_normalized_radius_graph(nodes, sigma=900.0)
+    listed = lambda df: sorted((r.src, r.dst, round(r.weight, 9)) for r in df.collect())
+    assert listed(got) == listed(want)
+
+
+def test_normalised_graph_stores_no_edges(crowd, monkeypatch):
+    """What is written for 210 nodes are nodes and places, not their 14,000 edges."""
+    written, store = [], graph.materialize
+
+    def counted(df, name):
+        written.append(df.count())
+        return store(df, name)
+
+    monkeypatch.setattr(graph, "materialize", counted)
+    assert graph.sym_normalized_radius_graph(crowd[1], radius=4000.0, sigma=900.0).count() > 14_000
+    assert max(written) <= 212
