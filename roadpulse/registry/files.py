@@ -14,7 +14,7 @@ from roadpulse.plans import pipelines
 from roadpulse.registry.base import query, rounded
 from roadpulse.registry.tables import CYC, T6, cells
 from roadpulse.registry.views import r, rs, sql, view
-from roadpulse.session import scratch_path
+from roadpulse.session import materialize, scratch_path
 from roadpulse.sources import bundle, readings
 from roadpulse.streaming import continuous, refresh
 
@@ -96,8 +96,9 @@ def _(spark, d):
 def _(spark, d):
     """Files of overlapping months and locations to the committed bundle, whole chain."""
     files = fx.overlapping_files(spark, d)
-    raw = readings.read_detector_csv(spark, files)
-    listed = axes.modern_ids(readings.detectors_from_paths(spark, files))
+    # Opening the many small files costs most, so they are parsed once and their names listed once.
+    raw = materialize(readings.read_detector_csv(spark, files), "raw")
+    listed = materialize(axes.modern_ids(readings.detectors_from_paths(spark, files)), "named")
     located = axes.valid_detectors(listed, fx.locations(spark, d))
     nodes = readings.failed_detectors(located, listed, raw)
     path = scratch_path(spark, "bundle")
