@@ -10,7 +10,8 @@ is one stretch of text. Equal windows lie in stretches of one key, so keys are d
    In its shard the chunk's stretches are a batch and get a suffix array; batches join a family of levels, in which levels of
    about equal size merge, so n batches make log(n) levels and every suffix is merged log(n) times. Then all batches are scanned against the
    family: a stretch whose key has no other text has one smallest id; where texts differ, at the border of a match, suffixes at
-   every place of them are sorted `LENGTH` deep and each window gets its own.
+   every place of them are sorted `LENGTH` deep and each window gets its own. A shard does this for some of its keys at a time, so that
+   a worker holds `PART_BYTES` of stretches and a few copies of them, not all that its shard got.
 4. Each chunk marks the windows that have a smaller id elsewhere.
 
 A passage that every document holds is sent once by a chunk, not by each document. Comparisons are on bytes: hashes
@@ -38,12 +39,16 @@ GRAM = 16
 RUN = 64
 WIDTH = LENGTH - 1 + RUN
 CHUNK = 2_000_000
-SEGMENT = 2_000_000
+SEGMENT = 500_000
 #: Bytes of text for each shard, and shards at least.
 SHARD_BYTES = 16_000_000
 LEAST_SHARDS = 12
-#: Stretches whose windows are sorted at once.
-OPEN_STRETCHES = 20_000
+#: Parts that a shard's keys can be dealt to, and bytes of stretches for each: a shard is settled part by part.
+PARTS = 64
+PART_BYTES = 8_000_000
+#: Windows that are sorted at once, a key's windows always together; stretches that are copied or hashed at once.
+OPEN_WINDOWS = 100_000
+ROWS = 10_000
 NO_ID = np.iinfo(np.int64).max
 C1, C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 BLOBS = "chunk long, kind int, shard int, a binary, b binary, c binary, d binary"
@@ -120,8 +125,8 @@ def suffixes(text: np.ndarray, start: np.ndarray, size: np.ndarray, depth: int)
     padded = np.concatenate([text, np.zeros(depth, np.uint8)])
     rows = np.zeros((len(start), depth + 1), np.uint8)
     step = np.arange(depth)
-    for at in range(0, len(start), 100_000):
-        part = slice(at, at + 100_000)
+    for at in range(0, len(start), ROWS):
+        part = slice(at, at + ROWS)
         rows[part, :depth] = np.where(step < size[part, None], padded[start[part, None] + step], 0)
     rows[:, depth] = size
     return rows.reshape(-1).view(f"S{depth + 1}")
@@ -167,8 +172,8 @@ def keys_of(suffix: np.ndarray) -> np.ndarray:
     """The 48-bit key of each stretch, from its first window."""
     rows = suffix.view(np.uint8).reshape(len(suffix), -1)
     out = [np.zeros(0, np.uint64)]
-    for at in range(0, len(rows), 100_000):
-        flat = np.ascontiguousarray(rows[at : at + 100_000, :LENGTH]).reshape(-1)
+    for at in range(0, len(rows), ROWS):
+        flat = np.ascontiguousarray(rows[at : at + ROWS, :LENGTH]).reshape(-1)
         out.append(window_keys(flat)[::LENGTH] >> np.uint64(16))
     return np.concatenate(out)
 
@@ -197,6 +202,8 @@ class Stretches:
         self.entry = np.searchsorted(self.batch.suffix, suffix)
         shard = np.zeros(len(self.batch.suffix), np.int64)
         shard[self.entry] = (key[mine] % np.uint64(shards)).astype(np.int64)
+        self.part = np.zeros(len(self.batch.suffix), np.uint8)
+        self.part[self.entry] = key[mine] // np.uint64(shards) % np.uint64(PARTS)
         self.of_shard = dict(by_shard(shard, np.arange(len(shard))))
 
 
@@ -204,8 +211,9 @@ def open_answers(suffix: np.ndarray, key: np.ndarray, doc: np.ndarray) -> tuple[
     """For stretches whose keys have several texts: (place in `suffix`, first window, smallest id) wherever the id changes."""
     order = np.argsort(key, kind="stable")
     cuts = [0]
+    windows_to = np.cumsum(suffix.view(np.uint8).reshape(len(suffix), -1)[order, -1].astype(np.int64) - (LENGTH - 1))
     for at in np.flatnonzero(np.diff(key[order]) != 0) + 1:
-        if at - cuts[-1] >= OPEN_STRETCHES:
+        if windows_to[at - 1] - (windows_to[cuts[-1] - 1] if cuts[-1] else 0) >= OPEN_WINDOWS:
             cuts.append(int(at))
     out = []
     for own in np.split(order, cuts[1:]):
@@ -223,6 +231,31 @@ def open_answers(suffix: np.ndarray, key: np.ndarray, doc: np.ndarray) -> tuple[
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def settled(family: Family) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct stretches of a family, where the answers of each begin, and the answers: (first window, smallest id) wherever the id changes."""
+    suffix = family.distinct()
+    least, key = family.scan(suffix), keys_of(suffix)
+    family.levels.clear()
+    order = np.argsort(key, kind="stable")
+    same = key[order][1:] == key[order][:-1]
+    several = np.zeros(len(key), bool)
+    several[order] = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+    # One id each, or one for each part of an open one.
+    open_, closed = np.flatnonzero(several), np.flatnonzero(~several)
+    place, first, ids = closed, np.zeros(len(closed), np.int64), least[closed]
+    if len(open_):
+        p, f, i = open_answers(suffix[open_], key[open_], least[open_])
+        place, first, ids = np.concatenate([place, open_[p]]), np.concatenate([first, f]), np.concatenate([ids, i])
+    by = np.lexsort((first, place))
+    place, first, ids = place[by], first[by], ids[by]
+    return suffix, np.searchsorted(place, np.arange(len(suffix) + 1)), first, ids
+
+
+def slots(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The n places from each begin, one after the other."""
+    return np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
 def _chunks(docs: DataFrame, id: str, text: str, keep: list[str]) -> DataFrame:
     """Kind 0: sizes, ids and compressed bytes of a chunk's documents; kind 5: their other columns, as Arrow bytes."""
 
@@ -329,38 +362,39 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", keep
         rows = []
         for s, at in own.of_shard.items():
             ids, of = np.unique(own.batch.doc[at], return_inverse=True)
-            rows.append((own.chunk, 2, s, pack(ids), pack(of.astype("<u4")), pack(own.batch.suffix[at]), None))
+            rows.append((own.chunk, 2, s, pack(ids), pack(of.astype("<u4")), pack(own.batch.suffix[at]), pack(own.part[at])))
         return _blobs(rows)
 
     def settle(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("chunk")
-        family, batches = Family(), []
-        for chunk, a, b, c in zip(pdf["chunk"], pdf["a"], pdf["b"], pdf["c"]):
-            suffix = unpack(c, f"S{WIDTH + 1}")
-            family.add(Level(suffix, unpack(a, "<i8")[unpack(b, "<u4")]))
-            batches.append((chunk, suffix))
-        suffix = family.distinct()
-        least, key = family.scan(suffix), keys_of(suffix)
-        family.levels.clear()
-        order = np.argsort(key, kind="stable")
-        same = key[order][1:] == key[order][:-1]
-        several = np.zeros(len(key), bool)
-        several[order] = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        # Answers of all distinct stretches: one id each, or one for each part of an open one.
-        open_, closed = np.flatnonzero(several), np.flatnonzero(~several)
-        place, first, ids = closed, np.zeros(len(closed), np.int64), least[closed]
-        if len(open_):
-            p, f, i = open_answers(suffix[open_], key[open_], least[open_])
-            place, first, ids = np.concatenate([place, open_[p]]), np.concatenate([first, f]), np.concatenate([ids, i])
-        by = np.lexsort((first, place))
-        place, first, ids = place[by], first[by], ids[by]
-        begin = np.searchsorted(place, np.arange(len(suffix) + 1))
+        blobs = list(zip(pdf["a"], pdf["b"], pdf["c"]))
+        part = [unpack(d, "u1") for d in pdf["d"]]
+        parts = min(PARTS, -(-sum(map(len, part)) * (WIDTH + 1) // PART_BYTES))
+        counts = [np.zeros(len(x), np.int64) for x in part]
+        found: list[list[tuple]] = [[] for _ in part]
+        for p in range(parts):
+            family, batches = Family(), []
+            for i, (a, b, c) in enumerate(blobs):
+                at = np.flatnonzero(part[i] % parts == p)
+                if len(at):
+                    own = unpack(c, f"S{WIDTH + 1}")[at]
+                    family.add(Level(own, unpack(a, "<i8")[unpack(b, "<u4")[at]]))
+                    batches.append((i, at, own))
+            if not batches:
+                continue
+            suffix, begin, first, ids = settled(family)
+            for i, at, own in batches:
+                place = np.searchsorted(suffix, own)
+                counts[i][at] = n = begin[place + 1] - begin[place]
+                pick = slots(begin[place], n)
+                found[i].append((at, first[pick].astype("u1"), ids[pick].astype("<i8")))
         rows = []
-        for chunk, own in batches:
-            at = np.searchsorted(suffix, own)
-            n = begin[at + 1] - begin[at]
-            pick = np.repeat(begin[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            rows.append((chunk, 4, pdf["shard"].iloc[0], pack(n.astype("u1")), pack(first[pick].astype("u1")), pack(ids[pick].astype("<i8")), None))
+        for chunk, n, own in zip(pdf["chunk"], counts, found):
+            begin, first, ids = np.cumsum(n) - n, np.zeros(n.sum(), "u1"), np.zeros(n.sum(), "<i8")
+            for at, f, i in own:
+                to = slots(begin[at], n[at])
+                first[to], ids[to] = f, i
+            rows.append((chunk, 4, pdf["shard"].iloc[0], pack(n.astype("u1")), pack(first), pack(ids), None))
         return _blobs(rows)
 
     sent = texts.unionByName(wanted).groupBy("chunk").applyInPandas(send, BLOBS)
@@ -391,7 +425,7 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", keep
             begin, end = np.searchsorted(of, mine.entry), np.searchsorted(of, mine.entry, "right")
             n = end - begin
             run = np.repeat(np.arange(len(n)), n)
-            at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            at = slots(begin, n)
             to = np.where(at + 1 < np.repeat(end, n), first[np.minimum(at + 1, len(first) - 1)], count[run])
             gone = least[at] < doc[run]
             np.add.at(change, (start[run] + first[at])[gone], 1)

@@ -364,3 +364,46 @@ def test_pipeline_stages_keep_what_they_should(spark, edge_docs, edge_rows, no_d
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, "")
     assert empty.count() == 0
+
+
+def test_a_shard_is_settled_part_by_part(spark, monkeypatch):
+    """Parts, and pieces of a sort, change no row; no more than a part's stretches are together in a family."""
+    rng = random.Random(5)
+    pool = ["".join(rng.choices("abcd ", k=150)) for _ in range(40)]
+    rows = [(i, "".join(rng.choices(pool, k=3)) + "".join(rng.choices("xyz", k=i % 70))) for i in range(120)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    held = spark.sparkContext.accumulator(0)
+    real = suffix_dedup.settled
+
+    def spy(family):
+        out = real(family)
+        held.add(1)
+        assert len(out[0]) < 400
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "settled", spy)
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 10_000)
+    monkeypatch.setattr(suffix_dedup, "OPEN_WINDOWS", 100)
+    monkeypatch.setattr(suffix_dedup, "LEAST_SHARDS", 1)
+    got = suffix_dedup.remove_repeats(frame).select("doc_id", "_repeats.*", F.sha2("_repeats.kept", 256).alias("sha")).collect()
+    assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["sha"]) for r in got) == brute_repeats(rows)
+
+
+def test_copies_of_stretches_take_little_memory():
+    """100,000 stretches are copied, hashed and their windows sorted with little beside what is returned."""
+    import tracemalloc
+
+    text = np.random.default_rng(3).integers(97, 123, 200_000).astype(np.uint8)
+    start, count = np.arange(100_000), np.full(100_000, 5)
+    tracemalloc.start()
+    rows = suffix_dedup.suffixes(text, start, count + suffix_dedup.LENGTH - 1, suffix_dedup.WIDTH)
+    peak = tracemalloc.get_traced_memory()[1] - rows.nbytes
+    tracemalloc.reset_peak()
+    held = tracemalloc.get_traced_memory()[0]
+    keys = suffix_dedup.keys_of(rows)
+    hashed = tracemalloc.get_traced_memory()[1] - held
+    tracemalloc.reset_peak()
+    suffix_dedup.open_answers(rows, keys, start)
+    opened = tracemalloc.get_traced_memory()[1] - held
+    tracemalloc.stop()
+    assert peak < 25e6 and hashed < 25e6 and opened < 60e6, (peak, hashed, opened)
