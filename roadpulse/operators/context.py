@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from roadpulse.functions.geo import distance
 from roadpulse.operators.intervals import cover, holders
 from roadpulse.operators.skew import salted_join
+from roadpulse.session import materialize
 
 QUERY_BLOCK = 512
 VECTOR_BLOCK = 4_096
@@ -22,48 +23,64 @@ def relevant_events(
     """The k nearest events of each query within a radius and a time window, ties by event id.
 
     `queries` (q_id, utc, x, y); `events` (event_id, start_utc, end_utc, x, y). An event matches when
-    it overlaps [utc - hours, utc + hours]; one without an end is still going on, one without a start matches nothing. Time is cut
-    into buckets of twice the hours. An event's buckets, within those of the queries, are tiled by aligned blocks (`intervals`): a few rows
-    for a year as for an hour. Both sides meet on (level, block, grid cell), the event in the nine cells around it, the query in its own
-    and one block of each level that events have, so each match is found once. Hot keys are split; each task keeps its k best before the shuffle by query.
+    it overlaps [utc - hours, utc + hours]; one without an end is still going on, one without a start matches nothing.
+
+    The matches themselves, events times queries, are never listed. The distinct times of the queries are numbered in order, hour by hour, so an
+    event matches an interval of numbers, which is tiled by aligned blocks (`intervals`): a few rows for a year as for an hour. Events of one place and block match
+    the same queries at the same distance, so only their k smallest ids can be among the k best of any. These heads meet the distinct
+    (time, place) of the queries on (level, block, grid cell), the head in the nine cells around it, the query in its own and one block of each level. As a
+    head has an event, the k nearest heads hold the k nearest events; they are found once for all queries of one time and place. Hot keys are split.
     """
-    width = 2 * hours
 
-    def bucket(ts):
+    def hour(ts):
         day = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("long")
-        return F.floor((day * 24 + F.hour(ts)) / width)
+        return day * 24 + F.hour(ts)
 
     def cell(coordinate):
         return F.floor(F.col(coordinate) / radius)
 
-    asked = bucket(F.col("utc"))
-    span = queries.agg(F.struct(F.min(asked).alias("first"), F.max(asked).alias("last"))).scalar()
+    points = materialize(queries.select("utc", "x", "y").dropna().distinct(), "points")
+    times = points.groupBy(hour(F.col("utc")).alias("hour")).agg(F.array_sort(F.collect_set("utc")).alias("times"))
+    times = materialize(times, "times")
+    # Each hour has as many numbers as the fullest one has times.
+    span = times.agg(F.max(F.size("times")).alias("n"), F.min("hour").alias("first"), F.max("hour").alias("last")).first()
+    n, begin, finish = F.lit(span["n"] or 1), F.lit(span["first"]).cast("long"), F.lit(span["last"]).cast("long")
+
+    def numbered(df: DataFrame, ts: str, until) -> DataFrame:
+        """`df` and the number of the first time of the queries' that is not `until(time, ts)`."""
+        of = times.select(F.col("hour").alias("_hour"), F.col("times").alias("_times"))
+        met = df.withColumn("_hour", hour(F.col(ts))).join(of, "_hour", "left")
+        within = F.when(F.col("_times").isNull(), 0).otherwise(F.size(F.filter("_times", lambda t: until(t, F.col(ts)))))
+        return met.withColumn(f"{ts}_no", F.col("_hour") * n + within).drop("_hour", "_times")
+
     first = F.timestamp_add("HOUR", F.lit(-hours), F.col("start_utc"))
     last = F.timestamp_add("HOUR", F.lit(hours), F.col("end_utc"))
-    begin = F.greatest(bucket(first), span["first"])
-    finish = F.least(bucket(last), span["last"])
-    within = events.filter(F.col("start_utc").isNotNull()).withColumns({"begin": begin, "finish": finish})
-    tiled = within.withColumn("tiles", cover(F.col("begin"), F.col("finish")))
-    levels = tiled.select(F.explode("tiles.level").alias("level")).agg(F.collect_set("level")).scalar()
-
-    q = queries.withColumns({"asked": asked, "levels": levels}).select(
-        "q_id",
-        F.col("utc").alias("q_utc"),
+    within = events.filter(F.col("start_utc").isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull())
+    within = within.select("event_id", "x", "y", first.alias("first"), last.alias("last"))
+    within = numbered(numbered(within, "first", lambda t, own: t < own), "last", lambda t, own: t <= own)
+    tiles = cover(F.greatest("first_no", begin * n), F.least(F.col("last_no") - 1, (finish + 1) * n - 1))
+    w = Window.partitionBy("x", "y", "level", "block").orderBy("event_id")
+    tiled = within.select("event_id", "x", "y", F.inline(tiles)).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    ids = F.struct("event_id")  # a null id is an id too, and the smallest
+    heads = tiled.groupBy("x", "y", "level", "block").agg(F.collect_list(ids).alias("ids"), F.min(ids).alias("least"))
+    heads = materialize(heads, "heads")
+    levels = heads.agg(F.collect_set("level")).scalar()
+
+    q = numbered(points, "utc", lambda t, own: t < own).withColumn("levels", levels).select(
+        "utc",
         F.col("x").alias("qx"),
         F.col("y").alias("qy"),
         cell("x").alias("cx"),
         cell("y").alias("cy"),
-        F.inline(holders(F.col("asked"), F.col("levels"))),
+        F.inline(holders(F.col("utc_no"), F.col("levels"))),
     )
     around = F.sequence(F.lit(-1), F.lit(1))
     e = (
-        tiled.select("*", first.alias("first"), last.alias("last"), F.inline("tiles"))
-        .withColumn("dx", F.explode(around))
+        heads.withColumn("dx", F.explode(around))
         .withColumn("dy", F.explode(around))
         .select(
-            "event_id",
-            "first",
-            "last",
+            "ids",
+            "least",
             F.col("x").alias("ex"),
             F.col("y").alias("ey"),
             (cell("x") + F.col("dx")).alias("cx"),
@@ -73,12 +90,16 @@ def relevant_events(
         )
     )
     d = distance(F.col("qx"), F.col("qy"), F.col("ex"), F.col("ey"))
-    found = (
-        salted_join(q, e, ["level", "block", "cx", "cy"])
-        .filter((F.col("q_utc") >= F.col("first")) & (F.col("last").isNull() | (F.col("q_utc") <= F.col("last"))))
-        .withColumn("dist_m", d)
-        .filter(F.col("dist_m") <= radius)
-    )
+    near = salted_join(q, e, ["level", "block", "cx", "cy"]).withColumn("dist_m", d).filter(F.col("dist_m") <= radius)
+    w = Window.partitionBy("utc", "qx", "qy").orderBy("dist_m", "least")
+    nearest = near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    matches = F.transform("ids", lambda i: F.struct(F.col("dist_m").alias("dist_m"), i["event_id"].alias("event_id")))
+    best = F.slice(F.array_sort(F.flatten(F.collect_list(matches))), 1, k)
+    answers = nearest.groupBy(F.col("utc"), F.col("qx").alias("x"), F.col("qy").alias("y")).agg(best.alias("best"))
+    answers = materialize(answers, "answers")
+
+    found = salted_join(queries, answers, ["utc", "x", "y"], right_is_even=True).select("q_id", F.inline("best"))
+    # An id that several queries have gets the k best of them all.
     w = Window.partitionBy("q_id").orderBy("dist_m", "event_id")
     return (
         found.withColumn("rank", F.row_number().over(w))

@@ -120,3 +120,47 @@ def test_paired_test_has_its_probability(spark):
     assert row.t == pytest.approx(-math.sqrt(12)) and row.p == pytest.approx(1 - math.sqrt(12 / 14))
     same = [(m, "A", t, 3, v, 0.0, True) for m, v in (("a", 1.0), ("b", 2.0)) for t in range(3)]
     assert evaluate.paired_t_statistic(spark.createDataFrame(same, schema), "a", "b").first().p is None
+
+
+def brute_context(events, asked, k):
+    reach, found = timedelta(hours=3), {}
+    for name, t, x, y in asked:
+        for i, s, f, ex, ey in events:
+            if None not in (t, x, y, s, ex, ey) and s - reach <= t and (f is None or t <= f + reach) and math.dist((x, y), (ex, ey)) <= 2000:
+                found.setdefault(name, []).append((math.dist((x, y), (ex, ey)), -1 if i is None else i))
+    return {name: sorted(rows)[:k] for name, rows in found.items()}
+
+
+def test_repeated_and_null_ids_at_any_second(spark):
+    import random
+
+    rng, start = random.Random(3), datetime(2023, 3, 1)
+    places = [(rng.uniform(-3000, 3000), rng.uniform(-3000, 3000)) for _ in range(6)]
+    at = lambda: start + timedelta(seconds=rng.randrange(40 * 3600))
+    events = [(rng.choice([None, *range(90)]), s := at(), s + timedelta(minutes=rng.randrange(-500, 900)) if i % 9 else None, *rng.choice(places)) for i in range(250)]
+    asked = [(rng.choice([None, *map(str, range(40))]), at(), *rng.choice(places)) for _ in range(120)]
+    asked += [asked[0], ("out", start - timedelta(days=9), 0.0, 0.0), ("late", start + timedelta(days=9), 0.0, 0.0)]
+    found = context.relevant_events(spark.createDataFrame(asked, ASKED), spark.createDataFrame(events, EVENTS), hours=3, radius=2000.0, k=4)
+    got = {}
+    for r in found.orderBy("q_id", "rank").collect():
+        got.setdefault(r.q_id, []).append((r.dist_m, -1 if r.event_id is None else r.event_id))
+    want = brute_context(events, asked, 4)
+    assert {n: [i for _, i in rows] for n, rows in got.items()} == {n: [i for _, i in rows] for n, rows in want.items()}
+    assert all(a == pytest.approx(b) for n in want for (a, _), (b, _) in zip(got[n], want[n]))
+
+
+def test_matches_are_not_listed(spark, monkeypatch):
+    """300 events and 300 questions at one place and time: 90,000 matches, of which no join makes more than some a question."""
+    start = datetime(2023, 3, 1)
+    events = [(i, start, start + timedelta(hours=1), 10.0, 10.0) for i in range(300)]
+    asked = [(f"q{i}", start, 10.0, 10.0) for i in range(300)]
+    made, real = [], context.salted_join
+
+    def spy(*args, **kw):
+        made.append(real(*args, **kw))
+        return made[-1]
+
+    monkeypatch.setattr(context, "salted_join", spy)
+    found = context.relevant_events(spark.createDataFrame(asked, ASKED), spark.createDataFrame(events, EVENTS), k=5)
+    assert sorted(map(tuple, found.select("q_id", "rank", "event_id").collect())) == sorted((q, n, n - 1) for q, *_ in asked for n in range(1, 6))
+    assert max(df.count() for df in made) <= 5 * len(asked)
