@@ -117,7 +117,8 @@ def bundle_schema_check(tables: dict[str, DataFrame]) -> DataFrame:
 def write_graph(nodes: DataFrame, edges: DataFrame, path: str) -> str:
     """Sparse adjacency and the ordered nodes (n_idx, id, x, y) as a new build; the nodes complete it."""
     target = _new_build(path)
-    edges.write.parquet(f"{target}/edges")
+    # Edges of a source take less than a byte each; Parquet's writer then adds up its buffers at every row, unless told a least number of rows.
+    edges.write.option("parquet.page.size.row.check.min", 2**31 - 1).parquet(f"{target}/edges")
     nodes.write.parquet(f"{target}/graph_nodes")
     return target
 
