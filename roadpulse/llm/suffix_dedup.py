@@ -7,11 +7,12 @@ is one stretch of text. Equal windows lie in stretches of one key, so keys are d
 1. Documents are packed into chunks of about `CHUNK` bytes, compressed and written once.
 2. Each chunk sends its distinct keys (48 bits); a shard answers with those that other chunks have too. Few keys are.
 3. Each chunk sends its stretches of these keys, and of keys that several of its own documents have, once for equal ones, with the smallest id.
-   In its shard the chunk's stretches are a batch and get a suffix array; batches join a family of levels, in which levels of
+   In its shard about `BATCH_ROWS` stretches are a batch and get a suffix array; batches join a family of levels, in which levels of
    about equal size merge, so n batches make log(n) levels and every suffix is merged log(n) times. Then all batches are scanned against the
    family: a stretch whose key has no other text has one smallest id; where texts differ, at the border of a match, suffixes at
    every place of them are sorted `LENGTH` deep and each window gets its own. A shard does this for some of its keys at a time, so that
-   a worker holds `PART_BYTES` of stretches and a few copies of them, not all that its shard got.
+   a worker holds `ROUND_BYTES` of stretches and a few copies of `PART_BYTES` of them, not all that its shard got. Chunks of which a shard
+   got little share a batch, so that its steps grow with its stretches, not with the number of chunks.
 4. Each chunk marks the windows that have a smaller id elsewhere.
 
 A passage that every document holds is sent once by a chunk, not by each document. Comparisons are on bytes: hashes
@@ -38,7 +39,7 @@ GRAM = 16
 #: Windows of a stretch at most.
 RUN = 64
 WIDTH = LENGTH - 1 + RUN
-CHUNK = 2_000_000
+CHUNK = 4_000_000
 SEGMENT = 500_000
 #: Bytes of text for each shard, and shards at least.
 SHARD_BYTES = 16_000_000
@@ -46,6 +47,9 @@ LEAST_SHARDS = 12
 #: Parts that a shard's keys can be dealt to, and bytes of stretches for each: a shard is settled part by part.
 PARTS = 64
 PART_BYTES = 8_000_000
+#: Bytes of stretches that are unpacked at once, some parts of them; stretches of a batch.
+ROUND_BYTES = 48_000_000
+BATCH_ROWS = 20_000
 #: Windows that are sorted at once, a key's windows always together; stretches that are copied or hashed at once.
 OPEN_WINDOWS = 100_000
 ROWS = 10_000
@@ -123,11 +127,12 @@ def stretches(text: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def suffixes(text: np.ndarray, start: np.ndarray, size: np.ndarray, depth: int) -> np.ndarray:
     """The bytes from each start, as comparable values: `size` of them, filled up to `depth`, and the size as a last byte."""
     padded = np.concatenate([text, np.zeros(depth, np.uint8)])
-    rows = np.zeros((len(start), depth + 1), np.uint8)
-    step = np.arange(depth)
+    rows = np.empty((len(start), depth + 1), np.uint8)
+    view, step = np.lib.stride_tricks.sliding_window_view(padded, depth), np.arange(depth)
     for at in range(0, len(start), ROWS):
         part = slice(at, at + ROWS)
-        rows[part, :depth] = np.where(step < size[part, None], padded[start[part, None] + step], 0)
+        rows[part, :depth] = view[start[part]]
+        rows[part, :depth] *= step < size[part, None]
     rows[:, depth] = size
     return rows.reshape(-1).view(f"S{depth + 1}")
 
@@ -136,9 +141,11 @@ class Level:
     """A suffix array: distinct suffixes in order, each with the smallest id of a document that has it."""
 
     def __init__(self, suffix: np.ndarray, doc: np.ndarray):
-        self.suffix, place = np.unique(suffix, return_inverse=True)
-        self.doc = np.full(len(self.suffix), NO_ID, np.int64)
-        np.minimum.at(self.doc, place, doc)
+        # A stable sort takes runs in order as they are: what merges are levels.
+        order = np.argsort(suffix, kind="stable")
+        rows = suffix[order]
+        first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]])[: len(rows)])
+        self.suffix, self.doc = rows[first], np.minimum.reduceat(doc[order], first) if len(first) else np.zeros(0, np.int64)
 
     def merged(self, other: Level) -> Level:
         return Level(np.concatenate([self.suffix, other.suffix]), np.concatenate([self.doc, other.doc]))
@@ -165,7 +172,7 @@ class Family:
         return least
 
     def distinct(self) -> np.ndarray:
-        return np.unique(np.concatenate([x.suffix for x in self.levels]))
+        return self.levels[0].suffix if len(self.levels) == 1 else np.unique(np.concatenate([x.suffix for x in self.levels]))
 
 
 def keys_of(suffix: np.ndarray) -> np.ndarray:
@@ -369,32 +376,44 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", keep
         pdf = pdf.sort_values("chunk")
         blobs = list(zip(pdf["a"], pdf["b"], pdf["c"]))
         part = [unpack(d, "u1") for d in pdf["d"]]
-        parts = min(PARTS, -(-sum(map(len, part)) * (WIDTH + 1) // PART_BYTES))
-        counts = [np.zeros(len(x), np.int64) for x in part]
-        found: list[list[tuple]] = [[] for _ in part]
-        for p in range(parts):
-            family, batches = Family(), []
-            for i, (a, b, c) in enumerate(blobs):
-                at = np.flatnonzero(part[i] % parts == p)
+        to = np.cumsum([0, *map(len, part)])
+        row_bytes = WIDTH + 1
+        parts = min(PARTS, -(-int(to[-1]) * row_bytes // PART_BYTES))
+        part = np.concatenate(part) % parts
+        rounds = min(parts, -(-int(to[-1]) * row_bytes // ROUND_BYTES))
+        # Rows by round and part, those of a part in the order of their chunks.
+        order = np.lexsort((part, part % rounds))
+        place = np.empty(len(part), np.int64)
+        place[order] = np.arange(len(part))
+        counts = np.zeros(len(part), np.int64)
+        found = [(np.zeros(0, "u1"), np.zeros(0, "<i8"))]
+        for r in range(rounds):
+            own = [np.flatnonzero(part[x:y] % rounds == r) for x, y in zip(to, to[1:])]
+            begin = int((part % rounds < r).sum())
+            n = sum(map(len, own))
+            suffix, doc = np.empty(n, f"S{row_bytes}"), np.empty(n, np.int64)
+            for x, at, (a, b, c) in zip(to, own, blobs):
                 if len(at):
-                    own = unpack(c, f"S{WIDTH + 1}")[at]
-                    family.add(Level(own, unpack(a, "<i8")[unpack(b, "<u4")[at]]))
-                    batches.append((i, at, own))
-            if not batches:
-                continue
-            suffix, begin, first, ids = settled(family)
-            for i, at, own in batches:
-                place = np.searchsorted(suffix, own)
-                counts[i][at] = n = begin[place + 1] - begin[place]
-                pick = slots(begin[place], n)
-                found[i].append((at, first[pick].astype("u1"), ids[pick].astype("<i8")))
+                    row = place[x + at] - begin
+                    suffix[row] = unpack(c, f"S{row_bytes}")[at]
+                    doc[row] = unpack(a, "<i8")[unpack(b, "<u4")[at]]
+            cuts = np.cumsum([0, *(n for n in np.bincount(part, minlength=parts)[r::rounds] if n)])
+            for x, y in zip(cuts, cuts[1:]):
+                family = Family()
+                for at in range(x, y, BATCH_ROWS):
+                    family.add(Level(suffix[at : min(y, at + BATCH_ROWS)], doc[at : min(y, at + BATCH_ROWS)]))
+                distinct, first_of, first, ids = settled(family)
+                at = np.searchsorted(distinct, suffix[x:y])
+                counts[begin + x : begin + y] = n = first_of[at + 1] - first_of[at]
+                pick = slots(first_of[at], n)
+                found.append((first[pick].astype("u1"), ids[pick].astype("<i8")))
+        first, ids = (np.concatenate(x) for x in zip(*found))
+        starts = np.cumsum(counts) - counts
         rows = []
-        for chunk, n, own in zip(pdf["chunk"], counts, found):
-            begin, first, ids = np.cumsum(n) - n, np.zeros(n.sum(), "u1"), np.zeros(n.sum(), "<i8")
-            for at, f, i in own:
-                to = slots(begin[at], n[at])
-                first[to], ids[to] = f, i
-            rows.append((chunk, 4, pdf["shard"].iloc[0], pack(n.astype("u1")), pack(first), pack(ids), None))
+        for chunk, x, y in zip(pdf["chunk"], to, to[1:]):
+            n = counts[place[x:y]]
+            pick = slots(starts[place[x:y]], n)
+            rows.append((chunk, 4, pdf["shard"].iloc[0], pack(n.astype("u1")), pack(first[pick]), pack(ids[pick]), None))
         return _blobs(rows)
 
     sent = texts.unionByName(wanted).groupBy("chunk").applyInPandas(send, BLOBS)
